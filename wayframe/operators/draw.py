@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wayframe.sources.scratch import settle
+
 _PREFIX_DIGITS = 4
 
 
@@ -38,7 +40,10 @@ def draw(
     ``quotas`` has one row per group: the key columns and ``quota``. Groups without a
     positive quota yield nothing. ``token`` must be unique.
     """
-    hashed = df.select(*keys, F.col(token).alias("_token"), draw_key(token, seed).alias("_key"))
+    hashed = settle(
+        df.select(*keys, F.col(token).alias("_token"), draw_key(token, seed).alias("_key")),
+        "draw-keys",
+    )
     prefix = F.substring("_key", 1, _PREFIX_DIGITS)
     histogram = hashed.groupBy(*keys, prefix.alias("_prefix")).agg(F.count("*").alias("_n"))
     running = Window.partitionBy(*keys).orderBy("_prefix")

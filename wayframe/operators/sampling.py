@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from wayframe.functions.conditions import STRATUM_COLUMNS, stratum_label
 from wayframe.operators.draw import allocate, draw, draw_n
 from wayframe.operators.manifest import only_present
+from wayframe.sources.scratch import settle
 
 log = logging.getLogger("wayframe")
 
@@ -64,8 +65,9 @@ def labelling_sample(
     rule with the next seed.
     """
     frames = only_present(samples.filter(F.col("channel") == channel), manifest)
+    frames = settle(frames, "frames")
     keys, token = list(STRATUM_COLUMNS), "sample_data_token"
-    sample = stratified_draw(frames, keys, size, floor, token, seed)
+    sample = settle(stratified_draw(frames, keys, size, floor, token, seed), "sample")
     subset = stratified_draw(sample, keys, subset_size, subset_floor, token, seed + 1)
     marked = subset.select(token, F.lit(True).alias("in_subset"))
     return sample.join(marked, token, "left").select(

@@ -228,6 +228,7 @@ PROXIES = {
         FROM {boxes}""",
 }
 
+_KVALUE_SPARK = "get_json_object(props, '$.k')"
 _WORD = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
 def _spelled(sql: str, dialect: str) -> str:
     if dialect == "spark":

@@ -124,11 +124,12 @@ def count_violations(stream: DataFrame, rules: Sequence[Rule], name: str = "rule
     return stream.observe(name, F.count("*").alias("rows"), *counts)
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process what is available into a Parquet table and stop."""
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
+    """Process what is available into a Parquet table; return the finished query."""
     query = (
         stream.writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).outputMode(mode)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query
