@@ -173,8 +173,18 @@ def _project(center, size, rotation, intrinsic, width, height, clip, min_z):
     return out
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.stack(series.to_numpy()).astype(float)
+def _columns(part: tuple[pd.Series, ...], *widths: int) -> list[np.ndarray]:
+    """Flat scalar series regrouped into (N, width) matrices."""
+    flat = np.column_stack([s.to_numpy(dtype=float) for s in part])
+    return np.split(flat, np.cumsum(widths)[:-1], axis=1)
+
+
+def _scalars(name: str, n: int) -> list[Column]:
+    """Entries of a fixed-length array column.
+
+    UDFs are handed scalars: nested arrays cross into Python one object per row.
+    """
+    return [F.col(name)[i] for i in range(n)]
 
 
 def _multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -192,37 +202,45 @@ def _enter_frame(center, rotation, origin, orientation):
 
 
 @F.pandas_udf(CAMERA_BOX)
-def to_camera_frame(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-    """``(center, rotation, ego_t, ego_q, sensor_t, sensor_q)``: global -> ego -> sensor."""
+def _moved(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        if len(part[0]) == 0:
-            yield pd.DataFrame({"center": [], "rotation": []})
-            continue
-        center, rotation, ego_t, ego_q, sensor_t, sensor_q = (_matrix(s) for s in part)
+        center, rotation, ego_t, ego_q, sensor_t, sensor_q = _columns(part, 3, 4, 3, 4, 3, 4)
         center, rotation = _enter_frame(center, rotation, ego_t, ego_q)
         center, rotation = _enter_frame(center, rotation, sensor_t, sensor_q)
         yield pd.DataFrame({"center": list(center), "rotation": list(rotation)})
 
 
+def to_camera_frame(center, rotation, ego_t, ego_q, sensor_t, sensor_q) -> Column:
+    """Box ``center`` and ``rotation`` moved global -> ego -> sensor; arguments are names."""
+    threes_and_fours = zip(
+        (center, rotation, ego_t, ego_q, sensor_t, sensor_q), (3, 4, 3, 4, 3, 4)
+    )
+    return _moved(*[c for name, n in threes_and_fours for c in _scalars(name, n)])
+
+
 def project_box(*, clip: bool = True, min_z: float = 0.1):
-    """Arrow UDF ``(center, size, rotation, intrinsic, width, height) -> struct``.
+    """Column function ``(center, size, rotation, intrinsic, width, height) -> struct``.
 
-    Boxes are in the camera frame. Corners more than ``min_z`` in front of the camera are
-    projected and the bounding box of (their hull within the image) is returned; its
-    fields are NULL when fewer than three corners are in front or nothing of the box is
-    on the image.
+    Arguments are column names; boxes are in the camera frame. Corners more than ``min_z``
+    in front of the camera are projected and the bounding box of (their hull within the
+    image) is returned; its fields are NULL when fewer than three corners are in front or
+    nothing of the box is on the image.
     """
 
     @F.pandas_udf(PROJECTED_BOX)
     def projected(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for center, size, rotation, intrinsic, width, height in parts:
-            boxes = np.empty((0, 4))
-            if len(center):
-                boxes = _project(
-                    _matrix(center), _matrix(size), _matrix(rotation),
-                    np.stack([np.stack(m) for m in intrinsic]).astype(float),
-                    width.to_numpy(dtype=float), height.to_numpy(dtype=float), clip, min_z,
-                )
+        for part in parts:
+            center, size, rotation, k, image = _columns(part, 3, 3, 4, 9, 2)
+            boxes = _project(
+                center, size, rotation, k.reshape(-1, 3, 3), image[:, 0], image[:, 1], clip, min_z
+            )
             yield pd.DataFrame(boxes, columns=["x_min", "y_min", "x_max", "y_max"])
 
-    return projected
+    def call(center, size, rotation, intrinsic, width, height) -> Column:
+        return projected(
+            *_scalars(center, 3), *_scalars(size, 3), *_scalars(rotation, 4),
+            *[F.col(intrinsic)[i][j] for i in range(3) for j in range(3)],
+            F.col(width), F.col(height),
+        )
+
+    return call

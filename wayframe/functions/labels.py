@@ -30,88 +30,89 @@ BATCH_DISCOUNT = 0.5
 _ENUMS = {"time_of_day": TIMES_OF_DAY, "weather": WEATHERS, "label_confidence": CONFIDENCES}
 _LISTS = ("hazards", "notable_conditions")
 _NUMBER_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
-_MAX_INT = 2**63 - 1
 
 
-def _kind(value: Column) -> Column:
-    """Type name of a JSON value: BIGINT, DOUBLE, DECIMAL(..), STRING, BOOLEAN, VOID, ..."""
-    return F.schema_of_variant(value)
-
-
-def _child(document: Column, path: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(document, path, kind)
+def _document_type(count: str) -> str:
+    counts = ", ".join(f"{f}: {count}" for f in COUNT_FIELDS)
+    return (
+        f"struct<time_of_day: string, weather: string, object_counts: struct<{counts}>, "
+        "hazards: array<string>, notable_conditions: array<string>, label_confidence: string>"
+    )
 
 
-def _keys(document: Column, path: str) -> Column:
-    return F.array_sort(F.map_keys(_child(document, path, "map<string,variant>")))
+def _shape(count: str, item: str) -> str:
+    """The type text of a document with the right keys, as Spark spells it."""
+    counts = ", ".join(f"{f}: {count}" for f in sorted(COUNT_FIELDS))
+    parts = {name: "STRING" for name in _ENUMS}
+    parts |= {name: f"ARRAY<{item}>" for name in _LISTS}
+    parts["object_counts"] = f"OBJECT<{counts}>"
+    return "OBJECT<" + ", ".join(f"{k}: {parts[k]}" for k in sorted(DOCUMENT_KEYS)) + ">"
 
 
-def _has_exactly(document: Column, path: str, keys) -> Column:
-    wanted = F.array(*[F.lit(k) for k in sorted(keys)])
-    is_object = F.startswith(_kind(_child(document, path)), F.lit("OBJECT"))
-    return is_object & (_keys(document, path) == wanted)
+# Whole numbers may also come as numeric text, as 2.0 or as booleans.
+_ALLOWED_SHAPE = "^" + _shape(
+    r"(BIGINT|DOUBLE|STRING|BOOLEAN|DECIMAL\(\d+,\d+\))", "(STRING|VOID)"
+) + "$"
+_PLAIN_SHAPE = "^" + _shape("BIGINT", "(STRING|VOID)") + "$"
 
 
-def _count(document: Column, field: str) -> Column:
-    """A count as BIGINT: whole numbers, numeric text and booleans; NULL otherwise."""
-    path = f"$.object_counts.{field}"
-    kind = _kind(_child(document, path))
-    number = _child(document, path, "double")
-    text = _child(document, path, "string")
-    return (
-        F.when(kind == "BIGINT", _child(document, path, "bigint"))
-        .when(
-            (kind == "DOUBLE") | kind.startswith("DECIMAL"),
-            F.when(
-                (number == F.floor(number)) & (F.abs(number) < float(_MAX_INT)),
-                number.try_cast("bigint"),
-            ),
-        )
-        .when(
-            (kind == "STRING") & text.rlike(_NUMBER_TEXT),
-            F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("bigint"),
-        )
-        .when(kind == "BOOLEAN", _child(document, path, "boolean").cast("bigint"))
+def _count(text: Column, shape: Column, field: str) -> Column:
+    """A count as BIGINT from its text; NULL when it is not a whole number."""
+    number = F.when(
+        text.rlike(_NUMBER_TEXT), F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("bigint")
     )
+    is_boolean = F.contains(shape, F.lit(f"{field}: BOOLEAN"))
+    truth = F.when(is_boolean, (text == "true").cast("bigint"))
+    return F.when(text.isin("true", "false"), truth).otherwise(number)
 
 
-def _text_list(document: Column, name: str) -> Column:
-    """A list whose every item is a string; NULL otherwise."""
-    items = _child(document, f"$.{name}", "array<variant>")
-    texts = F.forall(items, lambda item: F.coalesce(_kind(item) == "STRING", F.lit(False)))
-    return F.when(texts, _child(document, f"$.{name}", "array<string>"))
-
-
-def _enum(document: Column, name: str) -> Column:
-    value = _child(document, f"$.{name}", "string")
-    is_text = _kind(_child(document, f"$.{name}")) == "STRING"
-    return F.when(is_text & value.isin(*_ENUMS[name]), value)
+def _label(values: Column, counts: dict[str, Column]) -> Column:
+    """Label struct, NULL unless enumerations, counts and list items are valid."""
+    tests = [values[name].isin(*allowed) for name, allowed in _ENUMS.items()]
+    tests += [F.coalesce(c >= 0, F.lit(False)) for c in counts.values()]
+    tests += [F.forall(values[name], lambda item: item.isNotNull()) for name in _LISTS]
+    label = F.struct(
+        values["time_of_day"].alias("time_of_day"),
+        values["weather"].alias("weather"),
+        F.struct(*[c.alias(f) for f, c in counts.items()]).alias("object_counts"),
+        *[values[name].alias(name) for name in _LISTS],
+        values["label_confidence"].alias("label_confidence"),
+    )
+    return F.when(reduce(Column.__and__, tests), label)
 
 
-def parse_document(document: Column) -> Column:
-    """Label document (VARIANT) as a struct, NULL when it breaks the schema.
+def parse_documents(df: DataFrame, document: str, label: str) -> DataFrame:
+    """Add a VARIANT label document as a struct, NULL when it breaks the schema.
 
     Required and closed keys at both levels, enumerated strings, non-negative whole counts
-    and lists of strings. Unlike ``from_json`` nothing is silently dropped or nulled.
+    and lists of strings. The document's own type text settles keys and types in one
+    comparison, so that, unlike with ``from_json``, nothing is silently dropped or nulled.
+    Plainly typed documents are read by one cast; the others by way of text. The steps are
+    columns of their own so that each is computed once per row.
     """
-    enums = {name: _enum(document, name) for name in _ENUMS}
-    counts = {field: _count(document, field) for field in COUNT_FIELDS}
-    lists = {name: _text_list(document, name) for name in _LISTS}
-    tests = [
-        _has_exactly(document, "$", DOCUMENT_KEYS),
-        _has_exactly(document, "$.object_counts", COUNT_FIELDS),
-        *[v.isNotNull() for v in (*enums.values(), *lists.values())],
-        *[c >= 0 for c in counts.values()],
-    ]
-    valid = reduce(Column.__and__, [F.coalesce(t, F.lit(False)) for t in tests])
-    label = F.struct(
-        enums["time_of_day"].alias("time_of_day"),
-        enums["weather"].alias("weather"),
-        F.struct(*[c.alias(f) for f, c in counts.items()]).alias("object_counts"),
-        *[lists[name].alias(name) for name in _LISTS],
-        enums["label_confidence"].alias("label_confidence"),
+    steps = df.withColumn("_shape", F.schema_of_variant(document)).withColumns(
+        {
+            "_plain": F.when(
+                F.col("_shape").rlike(_PLAIN_SHAPE),
+                F.try_variant_get(document, "$", _document_type("bigint")),
+            ),
+            "_texts": F.when(
+                F.col("_shape").rlike(_ALLOWED_SHAPE) & ~F.col("_shape").rlike(_PLAIN_SHAPE),
+                F.try_variant_get(document, "$", _document_type("string")),
+            ),
+        }
     )
-    return F.when(valid, label)
+    plain, texts = F.col("_plain"), F.col("_texts")
+    counts = {
+        f: F.when(texts.isNotNull(), _count(texts["object_counts"][f], F.col("_shape"), f))
+        for f in COUNT_FIELDS
+    }
+    read = _label(plain, {f: plain["object_counts"][f] for f in COUNT_FIELDS})
+    steps = steps.withColumns({f"_n_{f}": c for f, c in counts.items()})
+    coerced = _label(texts, {f: F.col(f"_n_{f}") for f in COUNT_FIELDS})
+    return steps.withColumn(
+        label, F.when(plain.isNotNull(), read).when(texts.isNotNull(), coerced)
+    ).drop("_shape", "_plain", "_texts", *[f"_n_{f}" for f in COUNT_FIELDS])
 
 
 def parse_status(json_ok: Column, schema_ok: Column) -> Column:
@@ -135,8 +136,8 @@ def parse_status(json_ok: Column, schema_ok: Column) -> Column:
 
 def with_status(raw: DataFrame) -> DataFrame:
     """Add ``parse_status`` and the parsed ``label`` (NULL unless the status is ok)."""
-    parsed = raw.withColumn("_document", F.try_parse_json("text")).withColumn(
-        "_label", parse_document(F.col("_document"))
+    parsed = parse_documents(
+        raw.withColumn("_document", F.try_parse_json("text")), "_document", "_label"
     )
     status = parse_status(F.col("_document").isNotNull(), F.col("_label").isNotNull())
     return (

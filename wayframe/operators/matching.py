@@ -169,7 +169,8 @@ def match_boxes(
 ) -> DataFrame:
     """Greedy matches per (frame, class, IoU threshold), as ``MATCH_COLUMNS``.
 
-    Group sizes are counted first. Ordinary groups are folded in one row each; groups
+    Both inputs are read twice, so they should be stored tables (see ``settle``). Group
+    sizes are counted first. Ordinary groups are folded in one row each; groups
     with more than ``fold_limit`` possible pairs are compared on a grid and resolved by
     rounds of joins, with the same result.
     """
@@ -248,8 +249,10 @@ def failure_sweep(
         frames = frames.orderBy("sample_data_token").limit(limit)
     token = frames.select(F.col("sample_data_token").alias("frame"))
     truth = ground_truth(annotations, visibility_min=visibility_min)
-    truth = truth.join(token, "frame", "left_semi")
-    found = predictions.filter(F.col("conf") >= conf_low).join(token, "frame", "left_semi")
+    # Both sides are read several times: for group sizes, matching and totals.
+    truth = settle(truth.join(token, "frame", "left_semi"), "truth")
+    found = predictions.filter(F.col("conf") >= conf_low)
+    found = settle(found.join(token, "frame", "left_semi"), "predictions")
     return score_frames(frames, truth, match_boxes(found, truth, (iou_min,)), conf_hit=conf_hit)
 
 

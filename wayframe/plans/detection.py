@@ -227,7 +227,8 @@ def projected_boxes_unclipped(spark, d):
 
 
 def _detections(spark, d):
-    return table(spark, d, "predictions"), matching.ground_truth(flat_tables(spark, d)[1])
+    truth = matching.ground_truth(flat_tables(spark, d)[1])
+    return settle(table(spark, d, "predictions"), "predictions"), settle(truth, "truth")
 
 
 @query("P17 J13", f"""
@@ -288,12 +289,15 @@ def first_frames(spark, d):
 
 
 def _class_metrics(spark, d):
-    samples = flat_tables(spark, d)[0]
-    members = slice_members(samples).select(F.col("sample_data_token").alias("frame"), "slice")
-    frames = settle(samples.select(F.col("sample_data_token").alias("frame")), "frames")
+    samples = flat_tables(spark, d)[0].select(
+        F.col("sample_data_token").alias("frame"), "scene_description"
+    )
+    samples = settle(samples, "frames")
+    members = slice_members(samples).select("frame", "slice")
+    frames = samples.select("frame")
     pred, gt = _detections(spark, d)
     pred = settle(pred.join(frames, "frame", "left_semi"), "predictions")
-    return detection.class_metrics(pred, settle(gt, "truth"), settle(members, "members"))
+    return detection.class_metrics(pred, gt, settle(members, "members"))
 
 
 def _metrics(spark, d):
