@@ -49,19 +49,23 @@ def draw(
     running = Window.partitionBy(*keys).orderBy("_prefix")
     before = F.sum("_n").over(running) - F.col("_n")
     reach = null_safe(histogram.withColumn("_before", before), quotas, keys, "inner")
-    edge = (
+    # One row per group, written so that its measured size decides the joins below: with
+    # few groups the large side is filtered in place instead of being shuffled by group.
+    edge = settle(
         reach.filter(F.col("_before") < F.col("quota"))
         .groupBy(*keys)
-        .agg(F.max(F.struct("_prefix", (F.col("quota") - F.col("_before")).alias("_left"))).alias("_edge"))
+        .agg(F.max(F.struct("_prefix", (F.col("quota") - F.col("_before")).alias("_left"))).alias("_edge")),
+        "draw-edges",
     )
     straddling = null_safe(hashed, edge, keys, "inner").filter(prefix == F.col("_edge._prefix"))
     ranked = straddling.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_key", "_token"))
     )
-    last = (
+    last = settle(
         ranked.filter(F.col("_rank") <= F.col("_edge._left"))
         .groupBy(*keys)
-        .agg(F.max(F.struct("_key", "_token")).alias("_last"))
+        .agg(F.max(F.struct("_key", "_token")).alias("_last")),
+        "draw-limits",
     )
     here = F.struct(draw_key(token, seed).alias("_key"), F.col(token).alias("_token"))
     return null_safe(df, last, keys, "inner").filter(here <= F.col("_last")).drop("_last")

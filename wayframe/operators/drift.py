@@ -26,25 +26,6 @@ DRIFT_SHARE = 0.25
 # --- End of fixed values ------------------------------------------------------------
 
 
-def usable_columns(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] = FEATURES
-) -> list[str]:
-    """Shared columns with a value on both sides; raises when there is none."""
-    shared = [c for c in columns if c in reference.columns and c in current.columns]
-    if not shared:
-        raise ValueError("the tables share no feature column")
-    filled = [
-        side.agg(*[F.count(_number(c)).alias(c) for c in shared]).first().asDict()
-        for side in (reference, current)
-    ]
-    usable = [c for c in shared if all(side[c] for side in filled)]
-    if dropped := sorted(set(shared) - set(usable)):
-        log.warning("skipping columns without values: %s", ", ".join(dropped))
-    if not usable:
-        raise ValueError("no shared feature column has values on both sides")
-    return usable
-
-
 def _number(name: str) -> Column:
     """The column as a double, NaN as NULL."""
     value = F.col(name).cast("double")
@@ -64,27 +45,41 @@ def side_counts(df: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame:
 
 
 def merge_counts(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """Two sides' counts as ``column, value, n_ref, n_cur``."""
+    """Two sides' counts as a stored table ``column, value, n_ref, n_cur``."""
     zero = F.lit(0).cast("long")
     ref = reference.select("column", "value", F.col("n").alias("n_ref"), zero.alias("n_cur"))
     cur = current.select("column", "value", zero.alias("n_ref"), F.col("n").alias("n_cur"))
-    return ref.unionByName(cur).groupBy("column", "value").agg(
+    merged = ref.unionByName(cur).groupBy("column", "value").agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
     )
+    return settle(merged, "value-counts")
 
 
 def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     return merge_counts(side_counts(reference, columns), side_counts(current, columns))
 
 
+def usable_columns(counts: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns with a value on both sides of merged counts; raises when there is none."""
+    sides = counts.groupBy("column").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
+    )
+    filled = {r["column"] for r in sides.collect() if r["n_ref"] and r["n_cur"]}
+    if dropped := sorted(set(columns) - filled):
+        log.warning("skipping columns without values: %s", ", ".join(dropped))
+    if not filled:
+        raise ValueError("no shared feature column has values on both sides")
+    return [c for c in columns if c in filled]
+
+
 def column_statistics(counts: DataFrame) -> DataFrame:
     """Per column: sizes, distinct values, and the distances between the two sides.
 
     ``ks`` is the largest gap between the cumulative distributions, ``wasserstein`` the
     area between them over the reference's standard deviation, ``jensen_shannon`` the
     distance between value frequencies and ``chi_square`` its goodness-of-fit statistic.
+    ``counts`` is read several times and should be a stored table.
     """
-    counts = settle(counts, "value-counts")
     curves = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
     mean = F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")
     totals = counts.groupBy("column").agg(
@@ -167,8 +162,12 @@ def column_drift(
     columns of at most five values) and drift means p < 0.05; beyond that it is a distance
     (normalised Wasserstein, or Jensen-Shannon) and drift means 0.1 or more.
     """
-    usable = usable_columns(reference, current, columns)
-    return drift_from_counts(value_counts(reference, current, usable))
+    shared = [c for c in columns if c in reference.columns and c in current.columns]
+    if not shared:
+        raise ValueError("the tables share no feature column")
+    counts = value_counts(reference, current, shared)
+    usable = usable_columns(counts, shared)
+    return drift_from_counts(counts.filter(F.col("column").isin(*usable)))
 
 
 def drift_from_counts(counts: DataFrame) -> DataFrame:

@@ -76,6 +76,14 @@ class FunctionEmbedder:
         return df.withColumn("vector", encode(F.col(column)))
 
 
+def _stored_rows(todo: DataFrame, embedder: Embedder, column: str) -> DataFrame:
+    embedded = embedder.embed(todo.filter(F.col(column).isNotNull()), column)
+    kept = [F.col(c) for c in STORED if c in embedded.columns and c != "n_boxes"]
+    if "n_boxes" in embedded.columns:
+        kept.append(F.col("n_boxes").cast("int").alias("n_boxes"))
+    return embedded.select("vector", *kept)
+
+
 def embed_frames(
     frames: DataFrame,
     embedder: Embedder,
@@ -88,14 +96,9 @@ def embed_frames(
 
     A frame whose input is NULL (an unreadable image) is left out.
     """
-    todo = only_present(frames, manifest)
-    if done is not None:
-        todo = not_done(todo, done)
-    embedded = embedder.embed(todo.filter(F.col(column).isNotNull()), column)
-    kept = [F.col(c) for c in STORED if c in embedded.columns and c != "n_boxes"]
-    if "n_boxes" in embedded.columns:
-        kept.append(F.col("n_boxes").cast("int").alias("n_boxes"))
-    return embedded.select("vector", *kept)
+    present = only_present(frames, manifest)
+    todo = present if done is None else not_done(present, done)
+    return _stored_rows(todo, embedder, column)
 
 
 def run_embedding(
@@ -115,22 +118,30 @@ def run_embedding(
     spark = frames.sparkSession
     if rebuild:
         vectors.drop_store(spark, store)
-    exists = vectors.store_exists(spark, store)
-    done = vectors.open_store(spark, store).select("sample_data_token") if exists else None
     present = only_present(frames, manifest)
-    todo = present if done is None else not_done(present, done)
-    scenes = present.select("scene_name").distinct()
-    busy = todo.select("scene_name").distinct()
-    n_scenes, n_busy = scenes.count(), busy.count()
-    unreadable = todo.filter(F.col(column).isNull()).count()
+    marked = present.withColumn("_done", F.lit(False))
+    todo = present
+    if vectors.store_exists(spark, store):
+        done = vectors.open_store(spark, store).select("sample_data_token")
+        mark = done.withColumn("_stored", F.lit(True))
+        marked = present.join(mark, "sample_data_token", "left")
+        marked = marked.withColumn("_done", F.col("_stored").isNotNull())
+        todo = not_done(present, done)
+    per_scene = marked.groupBy("scene_name").agg(
+        F.count_if(~F.col("_done")).alias("todo"),
+        F.count_if(~F.col("_done") & F.col(column).isNull()).alias("unreadable"),
+    )
+    plan = per_scene.agg(
+        F.count_if(F.col("todo") > 0).alias("busy"), F.count("*").alias("scenes"),
+        F.coalesce(F.sum("unreadable"), F.lit(0)).alias("unreadable"),
+    ).first()
     seen = Observation("embedding")
-    rows = embed_frames(todo, embedder, column, manifest=None if manifest is None else manifest)
-    rows = rows.observe(seen, F.count("*").alias("added"))
+    rows = _stored_rows(todo, embedder, column).observe(seen, F.count("*").alias("added"))
     vectors.append(rows, store)
     return {
-        "scenes_processed": n_busy,
-        "scenes_skipped": n_scenes - n_busy,
+        "scenes_processed": plan["busy"],
+        "scenes_skipped": plan["scenes"] - plan["busy"],
         "frames_added": seen.get["added"],
-        "unreadable": unreadable,
+        "unreadable": plan["unreadable"],
         "total": vectors.open_store(spark, store).count(),
     }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wayframe.functions.geometry import IMAGE_WIDTH, iou, visibility_at_least
 from wayframe.functions.taxonomy import class_index
@@ -138,23 +138,26 @@ def _claim_by_rounds(pairs: DataFrame) -> DataFrame:
     confident prediction of every group always succeeds, so the loop ends.
     """
     group = ["frame", "cls", "iou_threshold"]
-    by_pred = Window.partitionBy(*group, "pred_id").orderBy(F.desc("iou"), "gt_id")
-    by_box = Window.partitionBy(*group, "gt_id").orderBy(F.desc("conf"), "pred_id")
-    open_pairs = settle(pairs.select(*MATCH_COLUMNS), "open-pairs")
+    columns = list(MATCH_COLUMNS)
+    open_pairs = settle(pairs.select(*columns), "open-pairs")
     done = open_pairs.limit(0)
     while not open_pairs.isEmpty():
+        # Aggregates rather than windows: a box or prediction with very many pairs is
+        # reduced before the shuffle.
+        wish = F.min(F.struct((-F.col("iou")).alias("far"), "gt_id", "conf", "iou"))
+        choices = open_pairs.groupBy(*group, "pred_id").agg(wish.alias("w"))
+        choices = choices.select(*group, "pred_id", "w.gt_id", "w.conf", "w.iou")
+        turn = F.min(F.struct((-F.col("conf")).alias("rank"), "pred_id"))
+        turns = open_pairs.groupBy(*group, "gt_id").agg(turn.alias("t"))
+        turns = turns.select(*group, "gt_id", F.col("t.pred_id").alias("pred_id"))
         claims = settle(
-            open_pairs.withColumn("_choice", F.row_number().over(by_pred))
-            .withColumn("_turn", F.row_number().over(by_box))
-            .filter((F.col("_choice") == 1) & (F.col("_turn") == 1))
-            .select(*MATCH_COLUMNS),
-            "claims",
+            choices.join(turns, [*group, "pred_id", "gt_id"]).select(*columns), "claims"
         )
         done = done.unionByName(claims)
         open_pairs = settle(
             open_pairs.join(claims.select(*group, "pred_id"), [*group, "pred_id"], "left_anti")
             .join(claims.select(*group, "gt_id"), [*group, "gt_id"], "left_anti")
-            .select(*MATCH_COLUMNS),
+            .select(*columns),
             "open-pairs",
         )
     return done

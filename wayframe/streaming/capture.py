@@ -92,19 +92,21 @@ def drift_per_window(
     def judge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         windowed = batch.withColumn("window_start", F.window("ts", width)["start"])
-        side_counts(windowed, columns, "window_start").write.mode("overwrite").parquet(
-            f"{out}/counts/batch={number}"
-        )
+        key = F.date_format("window_start", "yyyyMMdd'T'HHmmss")
+        counted = side_counts(windowed, columns, "window_start")
+        counted.withColumn("window_key", key).write.mode("overwrite").partitionBy(
+            "window_key"
+        ).parquet(f"{out}/counts/batch={number}")
         counts = spark.read.parquet(f"{out}/counts")
-        touched = counts.filter(F.col("batch") == number).select("window_start").distinct()
-        # A batch spans few windows; each verdict reads that window's counts only.
-        for (start,) in touched.collect():
-            own = counts.filter(F.col("window_start") == F.lit(start))
+        touched = counts.filter(F.col("batch") == number).select("window_key", "window_start")
+        # A batch spans few windows; each verdict reads that window's folders only.
+        for name, start in touched.distinct().collect():
+            own = counts.filter(F.col("window_key") == name)
             own = own.groupBy("column", "value").agg(F.sum("n").alias("n"))
             verdict = dataset_verdict(drift_from_counts(merge_counts(ref, own)), share)
             verdict.withColumn("window_start", F.lit(start)).coalesce(1).write.mode(
                 "overwrite"
-            ).parquet(f"{out}/verdicts/window={start:%Y%m%dT%H%M%S}")
+            ).parquet(f"{out}/verdicts/window={name}")
 
     return (
         stream.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
