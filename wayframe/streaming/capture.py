@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayframe import schemas
@@ -66,8 +67,8 @@ def append_missing(stream: DataFrame, store: str, checkpoint: str,
         try:
             stored = spark.read.schema(batch.schema).parquet(store).select(token)
             fresh = fresh.join(stored, token, "left_anti")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # anything but a first batch
                 raise
         fresh.write.mode("append").parquet(store)
 
