@@ -48,6 +48,14 @@ def collect_labels(raw: DataFrame) -> DataFrame:
     return keep_last(flatten_labels(with_status(raw)))
 
 
+def latest_status(raw: DataFrame) -> DataFrame:
+    """Only the status of the last result per (token, model); the label is not carried."""
+    statuses = with_status(raw).select(
+        F.col("custom_id").alias("sample_data_token"), "model", "parse_status", "path", "position"
+    )
+    return keep_last(statuses)
+
+
 def status_counts(labels: DataFrame) -> DataFrame:
     return labels.groupBy("model", "parse_status").agg(F.count("*").alias("n"))
 

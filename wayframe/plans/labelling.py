@@ -327,7 +327,7 @@ def collected_labels(spark, d):
 
 @query("A15", "SELECT model, parse_status, count(*) AS n FROM {collected} GROUP BY ALL")
 def label_status_counts(spark, d):
-    return labelling.status_counts(labelling.collect_labels(table(spark, d, "results")))
+    return labelling.status_counts(labelling.latest_status(table(spark, d, "results")))
 
 
 @query("A27", """
@@ -351,7 +351,7 @@ def result_type_counts(spark, d):
       AND NOT EXISTS (SELECT 1 FROM {batches} b WHERE b.model = r.model
         AND b.sample_data_token = r.sample_data_token AND b.status <> 'ended')""")
 def pending_requests(spark, d):
-    statuses = labelling.collect_labels(table(spark, d, "results"))
+    statuses = labelling.latest_status(table(spark, d, "results"))
     batches = table(spark, d, "batches").select(
         "model", "status", F.array("sample_data_token").alias("custom_ids")
     )
