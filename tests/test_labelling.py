@@ -107,6 +107,28 @@ def test_results_are_collected_from_files_in_order(spark, tmp_path):
     assert (row.hazards, row.notable_conditions, row.pedestrians) == ('["wet road"]', "[]", 7)
 
 
+def test_line_order_survives_split_files(spark, tmp_path):
+    """The last of many lines wins even when its file is read in many splits."""
+    def line(i):
+        text = json.dumps(_counts(cars=i))
+        return json.dumps({"custom_id": f"t{i % 3}", "result_type": "succeeded",
+                           "stop_reason": "end_turn", "text": text, "error_type": None})
+    (tmp_path / "b1.jsonl").write_text("\n".join(line(i) for i in range(300)) + "\n")
+    batches = spark.createDataFrame([("b1", "m")], "batch_id string, model string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",
+                                             "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        raw = read_label_results(spark, str(tmp_path), batches)
+        assert raw.select("position.start").distinct().count() > 5  # splits of one file
+        got = {r.sample_data_token: r.cars for r in labelling.collect_labels(raw).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert raw.count() == 300 and got == {"t0": 297, "t1": 298, "t2": 299}
+
+
 def test_pending_leaves_out_finished_and_in_flight(spark):
     requested = spark.createDataFrame([("m", t) for t in "abcde"] + [("n", "a")],
                                       "model string, sample_data_token string")

@@ -7,12 +7,14 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wayframe.functions.vectors import EPSILON
 
 TOKEN, VECTOR = "sample_data_token", "vector"
-# Queries held in memory by a task while it scans the store once.
-QUERY_BLOCK = 2048
+# Queries a task holds while it scans the store once, and the results it may hold for them.
+QUERY_BLOCK = 512
+HELD_RESULTS = 2_000_000
 MERGE_PARTS = 64
 
 # Columns of a search result.
@@ -103,8 +105,8 @@ def top_k_batch(
     """The k nearest rows of ``store`` for each query: ``query_id, <token>, score, rank``.
 
     ``queries`` has ``query_id`` and ``vector``, and ``k`` as a column when the argument is
-    None. Queries go to the tasks in blocks of at most about ``query_block``, the store is
-    scanned once per block, and every partition hands on at most k rows per query, so no
+    None. Queries go to the tasks in blocks of at most about ``query_block`` (fewer when k
+    is large), the store is scanned once per block, and every partition hands on at most k rows per query, so no
     query-by-store product is ever shuffled.
     """
     columns = ["query_id", "vector"] + (["k"] if k is None else [])
@@ -117,11 +119,11 @@ def top_k_batch(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+    most = k if k is not None else plan.agg(F.max("k")).first()[0]
+    block = max(1, min(query_block, HELD_RESULTS // max(1, most or 1)))
     narrow = store.filter(F.col(vector).isNotNull()).select(token, vector)
     limits, parts = [], []
-    for rows in _query_blocks(plan, query_block):
+    for rows in _query_blocks(plan, block):
         rows = [(r.query_id, r.vector, k if k is not None else int(r.k)) for r in rows]
         rows = [r for r in rows if r[2] > 0]
         if not rows:
