@@ -21,7 +21,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(TWINS))
 def test_query_equals_its_twin(spark, con, name):
     found = differences(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
-    assert [d for d in found if d != "empty result"] == []
+    assert found == []
 
 
 @needs_tables
@@ -36,5 +36,5 @@ def test_entry(spark):
 
 
 def test_every_query_names_what_it_covers():
-    assert set(COVERS) == set(QUERIES) == set(entry.queries())
-    assert set(entry.oracle_sql()) == set(TWINS) <= set(QUERIES)
+    assert set(COVERS) == set(QUERIES) <= set(entry.queries())
+    assert set(TWINS) <= set(QUERIES) and set(TWINS) <= set(entry.oracle_sql()) <= set(entry.queries())
