@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayframe.llm import kneser_ney, quality_rules
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -29,3 +30,13 @@ __all__ = ["QUERIES", "TWINS"]
 """)
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query()
+def op3_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
