@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayframe.llm import kneser_ney, quality_rules
+from wayframe.llm import decontaminate, kneser_ney, quality_rules
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -40,3 +40,39 @@ def op3_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def _seeds_sql() -> str:
+    """Every mask at every position, with the selected words spelt out."""
+    parts = []
+    for m, mask in enumerate(decontaminate.MASKS):
+        chosen = " || ' ' || ".join(f"ws[p + {k}]" for k, c in enumerate(mask) if c == "1")
+        parts.append(f"SELECT side, id, rid, p, {m} AS mask, {chosen} AS seed FROM places WHERE p + {len(mask) - 1} <= n")
+    return " UNION ALL ".join(parts)
+
+
+@query(f"""
+    WITH texts AS (
+        SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS rid, {WORDS.format("lower(coalesce(text, ''))")} AS ws FROM documents
+        UNION ALL
+        SELECT 'b', item_id, row_number() OVER (), {WORDS.format("lower(coalesce(text, ''))")} FROM benchmark),
+    places AS (SELECT side, id, rid, ws, len(ws) AS n, unnest(range(1, len(ws) - 4)) AS p FROM texts),
+    seeds AS ({_seeds_sql()}),
+    hits AS (
+        SELECT d.id AS doc_id, b.id AS item_id, d.rid AS drid, b.rid AS brid, d.p AS dp, b.p AS ip, d.mask
+        FROM seeds d JOIN seeds b ON d.seed = b.seed AND d.mask = b.mask AND d.side = 'd' AND b.side = 'b'),
+    aligned AS (
+        SELECT h.*, least(13, dp - 1, ip - 1) AS back, x.ws AS xs, y.ws AS ys, least(13, len(y.ws)) AS size
+        FROM hits h JOIN texts x ON x.side = 'd' AND x.rid = drid JOIN texts y ON y.side = 'b' AND y.rid = brid),
+    equal AS (
+        SELECT doc_id, item_id, size, list_transform(
+            range(0, greatest(least(back + 22, len(xs) - (dp - back) + 1), least(back + 22, len(ys) - (ip - back) + 1))),
+            lambda k: CASE WHEN xs[dp - back + k] = ys[ip - back + k] THEN 1 ELSE 0 END) AS e FROM aligned),
+    scored AS (
+        SELECT doc_id, item_id, size, list_max(list_transform(range(1, greatest(1, len(e) - size + 1) + 1),
+            lambda k: list_sum(e[k:k + size - 1]))) AS matched FROM equal)
+    SELECT doc_id, item_id, count(*) AS hits, max(matched)::BIGINT AS matched
+    FROM scored WHERE matched * 13 >= size * 10 GROUP BY doc_id, item_id
+""")
+def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
