@@ -171,7 +171,7 @@ _OPEN = "node long, parts array<struct<bin: long, fill: long>>, fill long, open
 
 
 def _merger(capacity: int, fanout: int):
-    def merge(key, table: pa.Table) -> pa.Table:
+    def merge(key, table):
         rows = sorted(table.to_pylist(), key=lambda r: (-r["fill"], r["parts"][0]["bin"]))
         bins, _, fills = best_fit([r["fill"] for r in rows], capacity)
         parts: list[list[dict]] = [[] for _ in fills]
