@@ -12,10 +12,12 @@ No group is expanded into pairs:
 * A collection that no second node has is dropped before pairs of collections are formed.
 * In each table key all nodes are compared with one pivot, the node whose collections are
   the most common; the pivot of a group of edited copies is close to their origin.
-* Only keys that still hold several components are looked at again, between components. A
-  shingle found in one set alone is in no intersection: with the number of shared shingles
-  of each set, nodes and pairs that can't reach the threshold are ruled out unread. The
-  pairs that can are verified, so that no link is lost.
+* Only keys that still hold several components are looked at again, between components,
+  around one pivot per key, the node that shares most of its shingles. A shingle that no
+  other of these nodes has is in no intersection. Of two nodes' intersection, what lies in
+  the pivot is at most what either has of it, and the rest are shingles both have outside
+  of it: pairs come from an index of those, which are few around a good pivot, and only
+  pairs that can reach the threshold are verified. No link is lost by it.
 
 Defined results: a null text, or one without words, is linked with nothing. A null doc_id
 is linked with nothing, its component is null and it is kept. Repeated rows of one doc_id
@@ -29,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayframe.llm import words as wd
 from wayframe.llm.frames import components
@@ -142,6 +144,17 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def _in_several_parts(rows: DataFrame, by: str) -> DataFrame:
+    """The rows whose key or pivot still holds several components."""
+    open_ones = rows.groupBy(by).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return rows.join(open_ones.select(by), by, "left_semi")
+
+
+def _parted(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    return rows.drop("part").join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn(
+        "part", F.coalesce("part", "node"))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, collections: int = 16, rows: int = 2,
 ) -> DataFrame:
@@ -157,7 +170,7 @@ def near_duplicates(
     # Equal sets are one node, named by the smallest doc_id.
     prints = ["print_a", "print_b", "n_shingles"]
     named = signed.where("n_shingles > 0 and doc_id is not null")
-    groups = named.groupBy(*prints).agg(F.min("doc_id").alias("node"))
+    groups = settle(named.groupBy(*prints).agg(F.min("doc_id").alias("node")), "groups")
     members = settle(
         named.join(groups, prints)
         .select("doc_id", "node", "n_shingles", F.when(F.col("doc_id") == F.col("node"), F.col("collections")).alias("collections")),
@@ -194,44 +207,70 @@ def near_duplicates(
     ids = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     repeats = members.select("doc_id", F.col("node").alias("b")).join(ids.select("doc_id", "a"), "doc_id").where("a <> b")
     links = settle(links.union(repeats.select("a", "b")).distinct(), "links")
-    first = components(links, settle)
+    parts = components(links, settle)
 
     # What is left: pairs of nodes of one key in different components.
-    placed = met.join(first.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("n_shingles").alias("least")).where("low <> high")
-    active = settle(placed.join(open_keys.select("key", "least"), "key").select("key", "node", "n_shingles", "part", "least"), "active")
+    active = settle(_in_several_parts(_parted(met.select("key", "node", "n_shingles"), parts), "key"), "active")
     if not active.isEmpty():
-        owned = (
-            candidates.join(active.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            .mapInArrow(_shingle_rows(words), "node long, shingle long")
-            .groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
-            .where("node = last").groupBy("node").agg(F.count("*").alias("own"))
-        )
-        # A doc_id with several sets owns nothing for sure.
+        # The shingles of each set that another active set has too: no others can be common.
+        rows_of = candidates.join(active.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+            _shingle_rows(words), "node long, shingle long")
+        known = rows_of.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
         several = signed.groupBy("doc_id").agg(F.min("print_a").alias("low"), F.max("print_a").alias("high")).where("low <> high")
-        owned = owned.join(several.select(F.col("doc_id").alias("node")), "node", "left_anti")
-        least = F.greatest(F.col("least"), F.ceil(F.col("n_shingles") * percent / 100))
-        bounded = (
-            active.join(owned, "node", "left")
-            .withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
-            .where((least <= F.col("common")) | ((100 + percent) * F.col("common") >= percent * (F.col("n_shingles") + least)))
-            .select("key", "node", "n_shingles", "part", "common")
-        )
-        bounded = settle(bounded, "bounded")
-        a, b = bounded.alias("a"), bounded.alias("b")
-        rest = (
-            a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.part") != F.col("b.part"))
-                   & (100 * F.least("a.n_shingles", "b.n_shingles") >= percent * F.greatest("a.n_shingles", "b.n_shingles"))
-                   & ((100 + percent) * F.least("a.common", "b.common") >= percent * (F.col("a.n_shingles") + F.col("b.n_shingles"))))
-            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+        sets = settle(
+            rows_of.join(known.select("shingle"), "shingle").groupBy("node").agg(F.collect_set("shingle").alias("shared"))
+            .join(several.select(F.col("doc_id").alias("node"), F.lit(True).alias("several")), "node", "left"), "sets")
+        # One pivot per key, the node with most of its shingles in common; then no more keys.
+        best = active.join(sets.select("node", F.size("shared").alias("common")), "node", "left").groupBy("key").agg(
+            F.max(F.struct((F.coalesce("common", F.lit(0)) / F.col("n_shingles")).alias("share"), (-F.col("node")).alias("minus"))).alias("top"))
+        around = active.join(best.select("key", (-F.col("top.minus")).alias("pivot")), "key").select(
+            "node", "pivot", "n_shingles", "part").distinct()
+        none = F.array().cast("array<long>")
+        around = around.join(sets, "node", "left").join(
+            sets.select(F.col("node").alias("pivot"), F.col("shared").alias("pivot_shared")), "pivot", "left").join(
+            nodes.groupBy(F.col("node").alias("pivot")).agg(F.max("n_shingles").alias("pivot_n")), "pivot")
+        around = settle(around.select(
+            "node", "pivot", "n_shingles", "part", "pivot_n", F.coalesce("several", F.lit(False)).alias("several"),
+            F.coalesce(F.size(F.array_intersect("shared", "pivot_shared")), F.lit(0)).alias("inside"),
+            F.coalesce(F.array_except("shared", "pivot_shared"), none).alias("outside")), "around")
+        # Their intersection with the pivot is known now, and so is every link to it.
+        direct = around.where(
+            (F.col("node") != F.col("pivot")) & ~F.col("several")
+            & (100 * F.col("inside") >= percent * (F.col("n_shingles") + F.col("pivot_n") - F.col("inside"))))
+        links = settle(links.union(direct.select(F.col("node").alias("a"), F.col("pivot").alias("b"))), "links")
+        parts = components(links, settle)
+        around = settle(_in_several_parts(_parted(around, parts), "pivot"), "around")
+
+        # Of a pair's intersection min(inside) may lie in the pivot, the rest is common outside.
+        a, b = around.alias("a"), around.alias("b")
+        both = 100 + percent
+        sizes = F.col("a.n_shingles") + F.col("b.n_shingles")
+        inside = F.least("a.inside", "b.inside")
+        apart = (F.col("a.pivot") == F.col("b.pivot")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.node") < F.col("b.node"))
+        pair = [F.col("a.node").alias("a"), F.col("b.node").alias("b")]
+        # Pairs that need nothing outside: few, as either would be linked with the pivot if as large.
+        inner = around.where(F.col("several") | (both * F.col("inside") >= percent * (F.col("n_shingles") + F.ceil(F.col("n_shingles") * percent / 100))))
+        inner = inner.drop("outside")
+        near = inner.alias("a").join(
+            inner.alias("b"), apart & (F.col("a.several") | F.col("b.several") | (both * inside >= percent * sizes))).select(*pair)
+        # The others share a shingle outside, and enough of them.
+        listed = around.where(both * (F.col("inside") + F.size("outside")) >= percent * (
+            F.col("n_shingles") + F.ceil(F.col("n_shingles") * percent / 100))).select(
+            "node", "pivot", "part", "n_shingles", "inside", F.explode("outside").alias("shingle"))
+        a, b = listed.alias("a"), listed.alias("b")
+        far = (
+            a.join(b, apart & (F.col("a.shingle") == F.col("b.shingle")))
+            .groupBy("a.pivot", F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+            .agg(F.count("*").alias("common"), F.max(sizes).alias("sizes"), F.max(inside).alias("inside"))
+            .where(both * (F.col("inside") + F.col("common")) >= percent * F.col("sizes")).select("a", "b")
         )
         tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = settle(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-        more = settle(_similar(rest, candidates, words, percent), "more")
+        pairs = settle(near.union(far).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = settle(_similar(pairs, candidates, words, percent), "more")
         if not more.isEmpty():
-            first = components(links.union(more), settle)
+            parts = components(links.union(more), settle)
 
-    found = members.select("doc_id", "node").join(first, "node", "left").groupBy("doc_id").agg(
+    found = members.select("doc_id", "node").join(parts, "node", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
         signed.select("doc_id", "n_shingles").join(found, "doc_id", "left")
