@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules
+from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -81,3 +81,11 @@ def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 @query()
 def op6_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op5_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = 24
+    return sharding.shard(table(spark, sf_dir, "documents"), shards).select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
+        "shard", "slot", sharding.shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"))
