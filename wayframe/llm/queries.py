@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding
+from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding, url_filter
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -89,3 +89,25 @@ def op5_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards).select(
         "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
         "shard", "slot", sharding.shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"))
+
+
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+_RULES_SQL = ", ".join(f"('{v}', '{k}', '{k[:k.index('/')]}', '{k[k.index('/'):]}')" for v, k in URL_RULES)
+
+
+@query(f"""
+    WITH rules(verdict, rule, rule_host, rule_path) AS (VALUES {_RULES_SQL}),
+    split AS (
+        SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+    parts AS (
+        SELECT page_id, {LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM split),
+    fits AS (
+        SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+        FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY page_id)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
+""")
+def op4_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "verdict string, key string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
