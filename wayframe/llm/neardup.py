@@ -278,3 +278,13 @@ def near_duplicates(
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
         .select("doc_id", "n_shingles", "component_id", "kept")
     )
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group, with all columns of docs; of repeated rows of it, one."""
+    kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    out = docs.join(settle(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return out
+    return out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
