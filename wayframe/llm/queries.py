@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding, url_filter
+from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding, url_filter, warc
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -111,3 +111,25 @@ _RULES_SQL = ", ".join(f"('{v}', '{k}', '{k[:k.index('/')]}', '{k[k.index('/'):]
 def op4_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "verdict string, key string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("""
+    WITH payloads AS (
+        SELECT page_id, url, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+    typed AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM payloads),
+    keyed AS (
+        SELECT *, lower(substr(url, position('://' IN url) + 3)) AS rest,
+               strftime(make_timestamp((1577836800 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM typed),
+    named AS (
+        SELECT *, CASE WHEN position('://' IN url) > 0
+            THEN array_to_string(list_reverse(string_split(regexp_extract(rest, '^[^/?#]*'), '.')), ',') || ')'
+                 || regexp_extract(rest, '^[^/?#]*(.*)', 1, 's')
+            ELSE lower(coalesce(url, '')) END AS url_key FROM keyed)
+    SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+           CASE WHEN bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN bytes >= 100 AND page_id <> first THEN first END AS refers_to, url_key, captured,
+           row_number() OVER (PARTITION BY url_key ORDER BY captured, page_id) AS capture
+    FROM named
+""")
+def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
