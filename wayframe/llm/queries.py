@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, packing, quality_rules, sharding, url_filter, warc
+from wayframe.llm import decontaminate, kneser_ney, langid, packing, quality_rules, sharding, url_filter, warc
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -133,3 +133,16 @@ def op4_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def _held_out() -> Column:
+    """Documents that nothing is learned from; a null doc_id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+@query()
+def op9_script_viterbi_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~_held_out()))
+    return langid.identify(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
