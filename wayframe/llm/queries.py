@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, langid, packing, quality_rules, sharding, url_filter, warc
+from wayframe.llm import decontaminate, kneser_ney, langid, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -146,3 +146,9 @@ def op9_script_viterbi_language_id(spark: SparkSession, sf_dir: str) -> DataFram
     model = langid.train(docs.where(~_held_out()))
     return langid.identify(docs, model).select(
         "doc_id", _held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query()
+def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.train(docs))
