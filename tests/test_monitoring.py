@@ -26,12 +26,18 @@ def test_shifted_features_drift_and_equal_ones_do_not(spark, n):
     day = _features(spark, n, (110, 20), 12, 0)
     night = _features(spark, n, (40, 15), 5, 1)
     same = _features(spark, n, (110, 20), 12, 2)
-    shifted = {r["column"]: r for r in drift.column_drift(day, night).collect()}
+    constants = {"categorical": ("width", "height")}
+    shifted = {r["column"]: r for r in drift.column_drift(day, night, **constants).collect()}
+    assert {r.method for r in shifted.values()} == {"wasserstein", "jensen_shannon"}
+    p = {r["column"]: r for r in drift.column_drift(day, night, method="p_value", **constants).collect()}
+    assert {c: r.drift_detected for c, r in p.items()} == {c: r.drift_detected for c, r in shifted.items()}
+    assert {r.method for r in p.values()} == {"ks", "chi_square"}
     assert shifted["brightness"].drift_detected and shifted["n_boxes"].drift_detected
     assert not shifted["width"].drift_detected and not shifted["height"].drift_detected
     verdict = drift.dataset_verdict(drift.column_drift(day, night)).first()
     assert tuple(verdict) == (4, 2, 0.5, True)
-    assert not drift.dataset_verdict(drift.column_drift(day, same)).first().dataset_drift
+    alike = drift.column_drift(day, same, method="p_value", **constants)
+    assert not drift.dataset_verdict(alike).first().dataset_drift
     identical = drift.column_drift(day, day)
     assert identical.filter("drift_detected").isEmpty()
 
@@ -84,12 +90,13 @@ def test_low_cardinality_columns(spark):
         return spark.createDataFrame(
             [(float(k),) for k, s in enumerate(shares) for _ in range(int(s * n))], "width double")
     even, skewed = kinds([.5, .3, .2], 400), kinds([.2, .3, .5], 400)
-    row = drift.column_drift(even, skewed).first()
+    kind = {"categorical": ("width",)}
+    row = drift.column_drift(even, skewed, method="p_value", **kind).first()
     assert row.method == "chi_square" and row.drift_detected
-    assert not drift.column_drift(even, kinds([.5, .3, .2], 200)).first().drift_detected
-    big = drift.column_drift(kinds([.5, .3, .2], 4000), kinds([.2, .3, .5], 4000)).first()
+    assert not drift.column_drift(even, kinds([.5, .3, .2], 200), **kind).first().drift_detected
+    big = drift.column_drift(kinds([.5, .3, .2], 4000), kinds([.2, .3, .5], 4000), **kind).first()
     assert big.method == "jensen_shannon" and big.drift_detected
-    unseen = drift.column_drift(even, kinds([.4, .3, .2, .1], 400)).first()
+    unseen = drift.column_drift(even, kinds([.4, .3, .2, .1], 400), method="p_value", **kind).first()
     assert unseen.score == 0 and unseen.drift_detected
 
 
@@ -187,7 +194,7 @@ def test_a_window_is_judged_over_all_its_batches(spark, tmp_path):
             streams.read_capture(spark, str(log)), reference, str(out), state,
             ("brightness", "n_boxes"), "1 hour")
         job.start().awaitTermination()
-        found = spark.read.parquet(f"{out}/verdicts/*").orderBy("window_start").collect()
+        found = streams.latest_verdicts(spark, str(out)).orderBy("window_start").collect()
         return [r.n_drifted for r in found]
     _log(log, "1.json", [(i % 59, 100.0 + i % 10, i % 7) for i in range(60)])
     assert run() == [0]

@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -17,33 +17,51 @@ def _order(tokens, seed):
     return sorted(tokens, key=lambda t: (hashlib.md5(f"{t}|{seed}".encode()).hexdigest(), t))
 
 
-def test_allocation_of_the_real_strata():
-    quota = allocate(STRATA, 5000, 250)
+def quotas(spark, counts, total, floor):
+    strata = spark.createDataFrame([(str(k), n) for k, n in counts.items()], "kind string, n long")
+    return {r.kind: r.quota for r in allocate(strata, ["kind"], total, floor).collect()}
+
+
+def test_allocation_of_the_real_strata(spark):
+    quota = quotas(spark, STRATA, 5000, 250)
     assert sum(quota.values()) == 5000
     assert max(quota.values()) == 1726
     assert sorted(quota.values())[:3] == [250, 250, 250]
 
 
-def test_allocation_edges():
-    assert allocate({"a": 10, "b": 1000}, 200, 50) == {"a": 10, "b": 190}
-    assert allocate({"a": 10, "b": 5}, 99, 50) == {"a": 10, "b": 5}
-    with pytest.raises(ValueError):
-        allocate({"a": 100, "b": 100, "c": 100}, 100, 50)
-    assert allocate({"b": 11, "a": 11}, 9, 0) == allocate({"a": 11, "b": 11}, 9, 0)
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.integers(0, 30), st.integers(1, 500), min_size=1, max_size=9),
-       st.integers(1, 600), st.integers(0, 20))
-def test_allocation_properties(counts, total, floor):
-    try:
-        quota = allocate(counts, total, floor)
-    except ValueError:
-        assert sum(min(floor, n) for n in counts.values()) > total
-        return
-    assert set(quota) == set(counts)
-    assert sum(quota.values()) == min(total, sum(counts.values()))
-    assert all(min(floor, counts[k]) <= q <= counts[k] for k, q in quota.items())
+def test_allocation_edges(spark):
+    assert quotas(spark, {"a": 10, "b": 1000}, 200, 50) == {"a": 10, "b": 190}
+    assert quotas(spark, {"a": 10, "b": 5}, 99, 50) == {"a": 10, "b": 5}
+    assert quotas(spark, {}, 5, 1) == {}
+    with pytest.raises(Exception, match="floor of 50"):
+        quotas(spark, {"a": 100, "b": 100, "c": 100}, 100, 50)
+    assert quotas(spark, {"b": 11, "a": 11, "c": 11}, 10, 0) == {"a": 4, "b": 3, "c": 3}
+
+
+def by_definition(counts, total, floor):
+    """One common rate above the floors, found by trying every prefix of the sizes."""
+    order = sorted(counts, key=lambda k: counts[k])
+    least = {k: min(floor, counts[k]) for k in counts}
+    for bound in range(len(order) + 1):
+        free = order[bound:]
+        budget, mass = total - sum(least[k] for k in order[:bound]), sum(counts[k] for k in free)
+        if all(budget * counts[k] >= least[k] * mass for k in free):
+            break
+    quota = {**least, **{k: budget * counts[k] // mass for k in free}}
+    spare = total - sum(quota.values())
+    for k in sorted(free, key=lambda k: (-(budget * counts[k] % mass), -counts[k], k))[:spare]:
+        quota[k] += 1
+    return quota
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.sampled_from("abcdefghijkl"), st.integers(1, 60), min_size=1, max_size=9),
+       st.integers(1, 200), st.integers(0, 9))
+def test_allocation_properties(spark, counts, total, floor):
+    if total >= sum(counts.values()):
+        assert quotas(spark, counts, total, floor) == counts
+    elif sum(min(floor, n) for n in counts.values()) <= total:
+        assert quotas(spark, counts, total, floor) == by_definition(counts, total, floor)
 
 
 def test_draw_is_exact_with_one_hot_stratum(spark):

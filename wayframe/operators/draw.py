@@ -9,7 +9,7 @@ filtered, never shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -82,41 +82,56 @@ def draw_n(df: DataFrame, n: int | None, token: str, seed: int) -> DataFrame:
     return draw(whole, ["_all"], quotas, token, seed).drop("_all")
 
 
-def allocate(counts: Mapping, total: int, floor: int) -> dict:
-    """Split ``total`` over strata in proportion to size, at least ``floor`` each.
+def allocate(strata: DataFrame, keys: Sequence[str], total: int, floor: int) -> DataFrame:
+    """Split ``total`` over strata ``[keys], n`` in proportion to size; adds ``quota``.
 
-    A stratum whose proportional share is below its floor (or below its own size, when
-    that is smaller) is given that floor and leaves the pool; passes repeat until none
-    does. The rest is shared proportionally, and units lost to truncation go to the
-    largest fractions. Ties are resolved by (count desc, key asc) so that the outcome
-    does not depend on the order of ``counts``.
+    A stratum's floor is ``floor``, or its own size where that is smaller. With a common
+    rate for all strata above their floor, the floor binds first for the smallest strata:
+    taken by size, the binding ones are a prefix, and running sums tell where it ends. The
+    others share what is left at one rate, rounded down, and the units lost to rounding go
+    to the largest remainders; ties go to the larger stratum, then to the smaller key. A
+    total that covers everything takes everything; floors beyond the total are an error.
+
+    All of it depends on sizes alone, so the sums run over the distinct sizes, of which n
+    rows have at most about sqrt(2 n); strata of one size are only ranked by key.
     """
-    if total >= sum(counts.values()):
-        return dict(counts)
-    order = sorted(counts, key=lambda k: (-counts[k], k))
-    quota: dict = {}
-    budget = total
-    while True:
-        pool = [k for k in order if k not in quota]
-        mass = sum(counts[k] for k in pool)
-        settled = len(quota)
-        for k in pool:
-            least = min(floor, counts[k])
-            if budget * counts[k] < least * mass:
-                quota[k] = least
-                budget -= least
-        if len(quota) == settled or len(quota) == len(order):
-            break
-    if budget < 0:
-        raise ValueError(f"a floor of {floor} over {len(counts)} strata exceeds {total}")
-    pool = [k for k in order if k not in quota]
-    mass = sum(counts[k] for k in pool)
-    fraction = {}
-    for k in pool:
-        quota[k], fraction[k] = divmod(budget * counts[k], mass)
-    spare = budget - sum(quota[k] for k in pool)
-    for k in sorted(pool, key=lambda k: -fraction[k]):
-        if spare > 0 and quota[k] < counts[k]:
-            quota[k] += 1
-            spare -= 1
-    return quota
+    exact = "decimal(19,0)"
+    n, strata_of = F.col("n").cast(exact), F.col("_strata").cast(exact)
+    least = F.least(n, F.lit(floor).cast(exact))
+    smaller = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+
+    def over(value: Column, window) -> Column:
+        return F.coalesce(F.sum(value).over(window), F.lit(0)).cast(exact)
+
+    sizes = strata.groupBy("n").agg(F.count("*").alias("_strata"))
+    sizes = sizes.select(
+        "n", "_strata", over(n * strata_of, every).alias("_all"), over(least * strata_of, every).alias("_floors"),
+        (over(n * strata_of, every) - over(n * strata_of, smaller)).cast(exact).alias("_rest"),
+        (F.lit(total) - over(least * strata_of, smaller)).cast(exact).alias("_left"),
+    )
+    sizes = sizes.withColumn("_bound", F.col("_left") * n < least * F.col("_rest"))
+    free = F.when(F.col("_bound"), F.lit(0).cast(exact))
+    sizes = sizes.withColumns({
+        "_mass": over(free.otherwise(n * strata_of), every),
+        "_budget": (F.lit(total) - over(F.when(F.col("_bound"), least * strata_of), every)).cast(exact),
+    })
+    product = F.col("_budget") * n
+    sizes = sizes.withColumns({
+        "_share": F.when(F.col("_bound"), least).otherwise(F.floor((product - product % F.col("_mass")) / F.col("_mass"))).cast(exact),
+        "_over": free.otherwise(product % F.col("_mass")),
+    })
+    sizes = sizes.withColumn("_spare", F.col("_budget") - over(free.otherwise(F.col("_share") * strata_of), every))
+    first = Window.orderBy(F.col("_bound"), F.desc("_over"), F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    extra = F.greatest(F.lit(0), F.least(strata_of, F.col("_spare") - over(strata_of, first)))
+    sizes = sizes.select(
+        "n", "_share", "_all", "_floors", F.when(F.col("_bound"), 0).otherwise(extra).cast("long").alias("_extra"))
+    rank = F.row_number().over(Window.partitionBy("n").orderBy(*[F.asc_nulls_first(k) for k in keys]))
+    message = F.lit(f"a floor of {floor} per stratum exceeds the total of {total}")
+    quota = (
+        F.when(F.col("_all") <= total, F.col("n"))
+        .when(F.col("_floors") > total, F.raise_error(message).cast("long"))
+        .otherwise(F.col("_share").cast("long") + (F.col("_rank") <= F.col("_extra")).cast("long"))
+    )
+    ranked = strata.select(*keys, "n", rank.alias("_rank"))
+    return ranked.join(sizes, "n").select(*keys, quota.alias("quota"))

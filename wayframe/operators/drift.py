@@ -17,8 +17,6 @@ log = logging.getLogger("wayframe")
 
 # --- Fixed values: feature columns, test choice and cut-offs -------------------------
 FEATURES = ("brightness", "width", "height", "n_boxes")
-SMALL_REFERENCE = 1000  # up to here p-values, beyond it distances
-FEW_VALUES = 5
 P_VALUE = 0.05
 DISTANCE = 0.1
 MIN_SPREAD = 0.001
@@ -65,24 +63,27 @@ def usable_columns(counts: DataFrame, columns: Sequence[str]) -> list[str]:
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
     )
     filled = {r["column"] for r in sides.collect() if r["n_ref"] and r["n_cur"]}
-    if dropped := sorted(set(columns) - filled):
-        log.warning("skipping columns without values: %s", ", ".join(dropped))
-    if not filled:
-        raise ValueError("no shared feature column has values on both sides")
-    return [c for c in columns if c in filled]
+    kept = [c for c in columns if c in filled]
+    if not kept:
+        raise ValueError(f"none of {list(columns)} can be compared: each lacks values on a side")
+    for name in columns:
+        if name not in filled:
+            log.warning("drift of %s is not judged, one side has no value of it", name)
+    return kept
 
 
-def column_statistics(counts: DataFrame) -> DataFrame:
-    """Per column: sizes, distinct values, and the distances between the two sides.
+def column_statistics(counts: DataFrame, *keys: str) -> DataFrame:
+    """Per column (and ``keys``): sizes, distinct values, and the distances between the two sides.
 
     ``ks`` is the largest gap between the cumulative distributions, ``wasserstein`` the
     area between them over the reference's standard deviation, ``jensen_shannon`` the
     distance between value frequencies and ``chi_square`` its goodness-of-fit statistic.
     ``counts`` is read several times and should be a stored table.
     """
-    curves = running_totals(counts, ["column"], "value", ["n_ref", "n_cur"])
+    by = [*keys, "column"]
+    curves = running_totals(counts, by, "value", ["n_ref", "n_cur"])
     mean = F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")
-    totals = counts.groupBy("column").agg(
+    totals = counts.groupBy(*by).agg(
         F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"),
         F.count("*").alias("n_values"), mean.alias("mean_ref"),
     )
@@ -96,8 +97,8 @@ def column_statistics(counts: DataFrame) -> DataFrame:
     expected = p * F.col("rows_cur")
     misfit = (F.col("n_cur") - expected) * (F.col("n_cur") - expected) / expected
     spread = F.col("n_ref") * F.pow(F.col("value") - F.col("mean_ref"), F.lit(2.0))
-    joined = curves.join(totals, "column")
-    stats = joined.groupBy("column").agg(
+    joined = curves.join(totals, by)
+    stats = joined.groupBy(*by).agg(
         F.first("rows_ref").alias("rows_ref"), F.first("rows_cur").alias("rows_cur"),
         F.first("n_values").alias("n_values"),
         F.max(gap).alias("ks"),
@@ -109,7 +110,7 @@ def column_statistics(counts: DataFrame) -> DataFrame:
     )
     deviation = F.sqrt(F.col("_spread") / F.col("rows_ref"))
     return stats.select(
-        "column", "rows_ref", "rows_cur", "n_values", "ks",
+        *by, "rows_ref", "rows_cur", "n_values", "ks",
         (F.col("_area") / F.greatest(deviation, F.lit(MIN_SPREAD))).alias("wasserstein"),
         F.sqrt(F.greatest(F.col("_divergence") / 2, F.lit(0.0))).alias("jensen_shannon"),
         # A value the reference never shows makes the fit infinitely bad.
@@ -154,52 +155,55 @@ def chi_square_p_value(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
 
 
 def column_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] = FEATURES
+    reference: DataFrame, current: DataFrame, columns: Sequence[str] = FEATURES,
+    *, method: str = "distance", categorical: Sequence[str] = (),
 ) -> DataFrame:
     """Drift verdict per usable column: ``column, method, score, drift_detected``.
 
-    Up to 1000 reference rows the score is a p-value (two-sample KS, or chi-square for
-    columns of at most five values) and drift means p < 0.05; beyond that it is a distance
-    (normalised Wasserstein, or Jensen-Shannon) and drift means 0.1 or more.
+    ``method`` is the same at every size: ``distance`` scores normalised Wasserstein, or
+    Jensen-Shannon for ``categorical`` columns, and drift means 0.1 or more; ``p_value``
+    scores the two-sample KS test, or chi-square, and drift means p < 0.05.
     """
     shared = [c for c in columns if c in reference.columns and c in current.columns]
     if not shared:
         raise ValueError("the tables share no feature column")
     counts = value_counts(reference, current, shared)
     usable = usable_columns(counts, shared)
-    return drift_from_counts(counts.filter(F.col("column").isin(*usable)))
+    return drift_from_counts(
+        counts.filter(F.col("column").isin(*usable)), method=method, categorical=categorical)
 
 
-def drift_from_counts(counts: DataFrame) -> DataFrame:
-    """The verdicts of :func:`column_drift` from merged value counts.
+def drift_from_counts(
+    counts: DataFrame, *keys: str, method: str = "distance", categorical: Sequence[str] = ()
+) -> DataFrame:
+    """The verdicts of :func:`column_drift` from merged value counts, per ``keys``.
 
     Columns without values on one side get no row.
     """
-    stats = column_statistics(counts)
+    if method not in ("distance", "p_value"):
+        raise ValueError(f"method must be distance or p_value, not {method!r}")
+    stats = column_statistics(counts, *keys)
     stats = stats.filter((F.col("rows_ref") > 0) & (F.col("rows_cur") > 0))
-    small, few = F.col("rows_ref") <= SMALL_REFERENCE, F.col("n_values") <= FEW_VALUES
-    method = (
-        F.when(small & few, "chi_square").when(small, "ks")
-        .when(few, "jensen_shannon").otherwise("wasserstein")
-    )
-    score = (
-        F.when(small & few, chi_square_p_value("chi_square", F.col("n_values") - 1))
-        .when(small, ks_p_value(F.col("ks"), F.col("rows_ref"), F.col("rows_cur")))
-        .when(few, F.col("jensen_shannon"))
-        .otherwise(F.col("wasserstein"))
-    )
-    drifted = F.when(small, F.col("score") < P_VALUE).otherwise(F.col("score") >= DISTANCE)
-    return stats.select("column", method.alias("method"), score.alias("score"), "rows_ref").select(
-        "column", "method", "score", drifted.alias("drift_detected")
-    )
-
-
-def dataset_verdict(drift: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
-    """One row: how many columns drifted, and whether that is at least ``share`` of them."""
-    return drift.agg(
+    kinds = F.col("column").isin(*categorical) if categorical else F.lit(False)
+    if method == "p_value":
+        name = F.when(kinds, "chi_square").otherwise("ks")
+        score = F.when(kinds, chi_square_p_value("chi_square", F.col("n_values") - 1)).otherwise(
+            ks_p_value(F.col("ks"), F.col("rows_ref"), F.col("rows_cur")))
+        drifted = F.col("score") < P_VALUE
+    else:
+        name = F.when(kinds, "jensen_shannon").otherwise("wasserstein")
+        score = F.when(kinds, F.col("jensen_shannon")).otherwise(F.col("wasserstein"))
+        drifted = F.col("score") >= DISTANCE
+    return stats.select(*keys, "column", name.alias("method"), score.alias("score")).withColumn(
+        "drift_detected", drifted)
+
+
+def dataset_verdict(drift: DataFrame, share: float = DRIFT_SHARE, *keys: str) -> DataFrame:
+    """How many columns drifted, and whether that is at least ``share`` of them, per ``keys``."""
+    return drift.groupBy(*keys).agg(
         F.count("*").alias("n_columns"), F.count_if("drift_detected").alias("n_drifted")
     ).select(
-        "n_columns", "n_drifted",
+        *keys, "n_columns", "n_drifted",
         (F.col("n_drifted") / F.col("n_columns")).alias("share_drifted"),
         (F.col("n_drifted") / F.col("n_columns") >= share).alias("dataset_drift"),
     )
@@ -210,7 +214,7 @@ def feature_table(
     image_stats: DataFrame | None = None,
     *,
     condition: str = "all",
-    sample_images: int | None = 2000,
+    sample_images: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """Reference feature table: filter by condition, draw frames, attach brightness.

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 from wayframe.functions.labels import TERMINAL, frame_price, with_status
 from wayframe.functions.taxonomy import COUNT_FIELDS
 
-REQUESTS_PER_SHARD = 200_000
 KNOWN_RESULTS = ("succeeded", "errored", "canceled", "expired")
 
 
@@ -111,19 +110,16 @@ def assign_batches(
     *,
     chunk_size: int = 500,
     max_bytes: int = 190_000_000,
-    shards: int | None = None,
+    shards: int,
 ) -> DataFrame:
     """Add ``shard`` and ``batch`` to requests ``(model, sample_data_token, size)``.
 
     Batches are bounded by count and by total size; an item larger than the bound gets a
     batch of its own. Filling is sequential, so each model's requests are first spread
     over shards by token hash and batches never span shards; with one shard the result is
-    plain sequential filling in token order. By default the shard count follows from the
-    largest model, so that a shard stays near ``REQUESTS_PER_SHARD`` rows.
+    plain sequential filling in token order. ``shards`` is the caller's, so that a growing
+    table does not regroup what was batched before.
     """
-    if shards is None:
-        most = requests.groupBy("model").count().agg(F.max("count")).first()[0] or 0
-        shards = max(1, -(-most // REQUESTS_PER_SHARD))
     prefix = F.conv(F.substring(F.md5("sample_data_token"), 1, 8), 16, 10).cast("long")
     sharded = requests.select(
         "model", "sample_data_token", F.col("size").cast("long").alias("size"),

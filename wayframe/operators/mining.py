@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayframe.operators.draw import allocate
 from wayframe.operators.matching import top_failures
@@ -57,7 +57,9 @@ def cluster_stats(assigned: DataFrame, failures: DataFrame, k: int) -> DataFrame
 
 def cluster_quotas(sizes: dict[int, int], n: int) -> dict[int, int]:
     """Share n over the clusters by size; an empty cluster still counts as one."""
-    return allocate({c: max(size, 1) for c, size in sizes.items()}, n, 0)
+    rows = [(int(c), max(int(size), 1)) for c, size in sizes.items()]
+    strata = SparkSession.active().createDataFrame(rows, "cluster int, n long")
+    return {r["cluster"]: r["quota"] for r in allocate(strata, ["cluster"], n, 0).collect()}
 
 
 def select_mined(candidates: DataFrame, quotas: dict[int, int], n: int) -> DataFrame:

@@ -15,7 +15,6 @@ from wayframe.sources.scratch import settle
 log = logging.getLogger("wayframe")
 
 ARMS = ("baseline", "mined", "random")
-MAX_STRATA = 1_000_000
 
 
 def stratum_counts(frames: DataFrame, keys: Sequence[str] = STRATUM_COLUMNS) -> DataFrame:
@@ -27,18 +26,9 @@ def quotas_for(
 ) -> DataFrame:
     """Allocate ``total`` over the strata of ``frames``.
 
-    Only the strata's counts reach the driver; more than ``MAX_STRATA`` of them means
-    the keys do not describe strata, and is an error.
+    The quotas stay in the plan: one row per stratum, however many there are.
     """
-    rows = stratum_counts(frames, keys).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata over {list(keys)}")
-    # NULL keys sort first; the flag keeps them comparable with values.
-    counts = {tuple((r[k] is not None, r[k]) for k in keys): r["n"] for r in rows}
-    quota = allocate(counts, total, floor)
-    schema = frames.select(*keys).schema.add("quota", "long")
-    data = [(*[value for _, value in key], q) for key, q in quota.items()]
-    return frames.sparkSession.createDataFrame(data, schema)
+    return allocate(stratum_counts(frames, keys), keys, total, floor)
 
 
 def stratified_draw(

@@ -53,16 +53,12 @@ _KS_P = (
 )
 view("drift_scores", f"""
     SELECT "column", method, score,
-      CASE WHEN method IN ('ks', 'constant') THEN score < 0.05 ELSE score >= 0.1 END
-        AS drift_detected
-    FROM (SELECT *, CASE WHEN rows_ref <= 1000 AND n_values <= 5 THEN 'chi_square'
-          WHEN rows_ref <= 1000 THEN 'ks' WHEN n_values <= 5 THEN 'jensen_shannon'
+      score >= 0.1 AS drift_detected
+    FROM (SELECT *, CASE WHEN "column" IN ('width', 'height') THEN 'jensen_shannon'
           ELSE 'wasserstein' END AS method,
-        -- The only columns of few values here are constants: p is 1, the distance 0.
-        CASE WHEN rows_ref <= 1000 AND n_values <= 5 THEN 1 WHEN rows_ref <= 1000 THEN {_KS_P}
-          WHEN n_values <= 5 THEN jensen_shannon ELSE wasserstein END AS score
-      FROM {{column_stats}})""".replace(
-    "method IN ('ks', 'constant')", "method IN ('ks', 'chi_square')"))
+        CASE WHEN "column" IN ('width', 'height') THEN jensen_shannon ELSE wasserstein END AS score
+      FROM {{column_stats}})""")
+CONSTANTS = ("width", "height")
 
 
 def _halves(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -96,7 +92,7 @@ def ks_drift(spark, d):
 @query("A21 A22", f"""
     SELECT "column", method, {r6("score")} AS score, drift_detected FROM {{drift_scores}}""")
 def column_drift(spark, d):
-    return rounded(drift.column_drift(*_halves(spark, d)), "score")
+    return rounded(drift.column_drift(*_halves(spark, d), categorical=CONSTANTS), "score")
 
 
 @query("A22", f"""
@@ -105,7 +101,8 @@ def column_drift(spark, d):
       count(*) FILTER (drift_detected) / count(*) >= 0.25 AS dataset_drift
     FROM {{drift_scores}}""")
 def drift_verdict(spark, d):
-    return rounded(drift.dataset_verdict(drift.column_drift(*_halves(spark, d))), "share_drifted")
+    return rounded(drift.dataset_verdict(
+        drift.column_drift(*_halves(spark, d), categorical=CONSTANTS)), "share_drifted")
 
 
 view("type_counts", """
@@ -249,13 +246,12 @@ def stream_rules(spark, d):
         validate.positive("brightness"), validate.between("brightness", 0, 255),
         validate.at_least("n_boxes", 10),
     ]
-    watched = streams.count_violations(_stream(spark, d), rules)
     out = scratch_path(spark, "watched")
-    query_run = streams.run_to_table(watched, out, scratch_path(spark, "watched-state"))
-    seen = [p.observedMetrics["rules"] for p in query_run.recentProgress if p.observedMetrics]
-    totals = [sum(metrics[i] for metrics in seen) for i in range(4)]
+    job = streams.write_and_count(_stream(spark, d), rules, out, scratch_path(spark, "watched-state"))
+    job.start().awaitTermination()
+    counted = spark.read.parquet(f"{out}/violations")
     names = ("rows", "not_positive", "out_of_range", "few_boxes")
-    return spark.createDataFrame([tuple(totals)], ", ".join(f"{n} long" for n in names))
+    return counted.agg(*[F.sum(c).alias(n) for c, n in zip(streams.rule_columns(rules), names)])
 
 
 view("weekly_counts", """
@@ -289,8 +285,7 @@ view("weekly_stats", """
 @query("ST3 A22", f"""
     SELECT w AS window_start, count(*) AS n_columns, count(*) FILTER (drifted) AS n_drifted,
       count(*) FILTER (drifted) / count(*) >= 0.25 AS dataset_drift
-    FROM (SELECT w, CASE WHEN rows_ref <= 1000 THEN {_KS_P} < 0.05 ELSE wasserstein >= 0.1 END
-        AS drifted FROM {{weekly_stats}}) GROUP BY w""")
+    FROM (SELECT w, wasserstein >= 0.1 AS drifted FROM {{weekly_stats}}) GROUP BY w""")
 def stream_drift(spark, d):
     """A verdict per week of the stream against the first half of the month."""
     out = scratch_path(spark, "drift")
@@ -299,7 +294,7 @@ def stream_drift(spark, d):
         ("brightness", "n_boxes"), "7 days",
     )
     job.start().awaitTermination()
-    verdicts = spark.read.parquet(f"{out}/verdicts/*")
+    verdicts = streams.latest_verdicts(spark, out)
     return verdicts.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_columns",
         "n_drifted", "dataset_drift",

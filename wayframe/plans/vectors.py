@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from wayframe.functions.vectors import cosine_score, normalize
 from wayframe.operators import embedding, mining, search
-from wayframe.operators.draw import allocate
 from wayframe.plans.metadata import flat_tables
 from wayframe.plans.proxies import table
 from wayframe.plans.registry import query, r6, rounded, view
@@ -129,7 +128,8 @@ def cluster_diagnostics(spark, d):
 
 
 N_MINE, OVERFETCH = 120, 2
-QUOTA_BY_LABEL = allocate({c: c + 1 for c in range(10)}, N_MINE, 0)
+# Fewer than N_MINE in all, so every cluster's quota is its size.
+QUOTA_BY_LABEL = {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 5: 6, 6: 7, 7: 8, 8: 9, 9: 10}
 _QUOTAS = "(VALUES " + ", ".join(
     f"({c}, {q}, {i})"
     for i, (c, q) in enumerate(sorted(QUOTA_BY_LABEL.items(), key=lambda x: (-x[1], x[0])), 1)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayframe import schemas
 from wayframe.operators.drift import (
-    FEATURES, dataset_verdict, drift_from_counts, merge_counts, side_counts,
+    FEATURES, dataset_verdict, drift_from_counts, side_counts,
 )
 from wayframe.operators.validate import Rule
 from wayframe.sources.scratch import settle
@@ -30,8 +30,8 @@ def window_stats(
     """Feature statistics per tumbling window and model version.
 
     Rows later than ``lateness`` behind the newest are dropped, which bounds the state to
-    the open windows. The percentile is a bounded sketch, exact for windows of up to a few
-    thousand rows.
+    the open windows. The percentile is exact, the smallest latency that 95 % of the window
+    do not exceed; its state is the count of each distinct latency of an open window.
     """
     return (
         capture.withWatermark("ts", lateness)
@@ -40,7 +40,7 @@ def window_stats(
             F.count("*").alias("n"),
             F.avg("brightness").alias("mean_brightness"),
             F.avg("n_boxes").alias("mean_n_boxes"),
-            F.percentile_approx("latency_ms", 0.95, 10_000).alias("p95_latency_ms"),
+            F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms)").alias("p95_latency_ms"),
         )
         .select(F.col("window.start").alias("window_start"), "model_version", "n",
                 "mean_brightness", "mean_n_boxes", "p95_latency_ms")
@@ -85,8 +85,10 @@ def drift_per_window(
     """Compare every event-time window with a reference, keeping one verdict per window.
 
     A micro-batch adds its value counts under ``out/counts`` in a folder of its own, then
-    the verdicts of the windows it touched are recomputed from all their counts and
-    overwritten under ``out/verdicts``. Replaying a batch rewrites the same folders.
+    the verdicts of the windows it touched are recomputed from all their counts, in jobs
+    whose number does not depend on the windows, under ``out/verdicts``. Replaying a batch
+    rewrites the same folders; :func:`latest_verdicts` reads the last verdict of each
+    window. The reference's value counts are repeated per touched window.
     """
     ref = settle(side_counts(reference, columns), "reference-counts")
 
@@ -100,14 +102,20 @@ def drift_per_window(
         ).parquet(f"{out}/counts/batch={number}")
         counts = spark.read.parquet(f"{out}/counts")
         touched = counts.filter(F.col("batch") == number).select("window_key", "window_start")
-        # A batch spans few windows; each verdict reads that window's folders only.
-        for name, start in touched.distinct().collect():
-            own = counts.filter(F.col("window_key") == name)
-            own = own.groupBy("column", "value").agg(F.sum("n").alias("n"))
-            verdict = dataset_verdict(drift_from_counts(merge_counts(ref, own)), share)
-            verdict.withColumn("window_start", F.lit(start)).coalesce(1).write.mode(
-                "overwrite"
-            ).parquet(f"{out}/verdicts/window={name}")
+        # All touched windows in one job, keyed by window; their folders alone are read.
+        names = touched.select("window_key").distinct()
+        own = counts.join(names, "window_key", "left_semi").groupBy("window_start", "column", "value").agg(
+            F.sum("n").alias("n_cur"))
+        zero = F.lit(0).cast("long")
+        windows = own.agg(F.collect_set("window_start")).scalar()  # of one batch: few
+        sides = own.select("window_start", "column", "value", zero.alias("n_ref"), "n_cur").unionByName(
+            ref.withColumn("windows", windows).select(
+                F.explode("windows").alias("window_start"), "column", "value", F.col("n").alias("n_ref"), zero.alias("n_cur")))
+        merged = settle(
+            sides.groupBy("window_start", "column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")),
+            "value-counts")
+        verdicts = dataset_verdict(drift_from_counts(merged, "window_start"), share, "window_start")
+        verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
@@ -115,6 +123,40 @@ def drift_per_window(
     )
 
 
+def latest_verdicts(spark: SparkSession, out: str) -> DataFrame:
+    """The last batch's verdict of each window."""
+    read = spark.read.parquet(f"{out}/verdicts")
+    values = F.struct("batch", *[c for c in read.columns if c not in ("batch", "window_start")])
+    return read.groupBy("window_start").agg(F.max(values).alias("last")).select("window_start", "last.*").drop("batch")
+
+
+def rule_columns(rules: Sequence[Rule]) -> list[str]:
+    """The columns of violation counts: rows, then one per rule."""
+    return ["rows", *[f"{r.name}_{'_'.join(r.columns)}" for r in rules if r.broken is not None]]
+
+
+def write_and_count(stream: DataFrame, rules: Sequence[Rule], out: str, checkpoint: str):
+    """Write a stream's rows under ``out/rows`` and each batch's violations under ``out/violations``.
+
+    Both are folders per batch, so that a replayed batch replaces its own and the sum over
+    all batches is complete however long the stream runs.
+    """
+    names = rule_columns(rules)
+    counts = [F.count("*"), *[F.count_if(r.broken) for r in rules if r.broken is not None]]
+
+    def add(batch: DataFrame, number: int) -> None:
+        path = f"{out}/rows/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(path)
+        written.agg(*[c.alias(n) for c, n in zip(counts, names)]).write.mode("overwrite").parquet(
+            f"{out}/violations/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+
+
 def count_violations(stream: DataFrame, rules: Sequence[Rule], name: str = "rules") -> DataFrame:
     """Observe a rule suite on a stream: rows and violations per micro-batch.
 
