@@ -48,6 +48,9 @@ def _scan(queries: np.ndarray, names: Sequence, ks: Sequence[int], schema: pa.Sc
             if batch.num_rows == 0:
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
+            sizes = np.unique(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            if sizes.tolist() != [queries.shape[1]]:
+                raise ValueError(f"queries have {queries.shape[1]} dimensions, stored vectors {sizes.tolist()}")
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             store = _unit_rows(flat.reshape(batch.num_rows, -1).astype(np.float64))
             rough = store @ queries.T

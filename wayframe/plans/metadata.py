@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayframe import schemas
 from wayframe.functions import conditions, paths, taxonomy
 from wayframe.functions.geometry import normalised_box
 from wayframe.operators import flatten as flat
@@ -74,7 +75,7 @@ def manifest_of(spark: SparkSession, d: str) -> DataFrame:
 # --- flattening -----------------------------------------------------------------------
 
 
-@query("J1 J2 P1 P9 P12 S2", "SELECT * FROM {samples}")
+@query("J1 J2 P1 P9 P12", "SELECT * FROM {samples}")
 def flatten_samples(spark, d):
     return flat_tables(spark, d)[0]
 
@@ -169,7 +170,7 @@ def category_mapping(spark, d):
 # --- availability ---------------------------------------------------------------------
 
 
-@query("J3 J4 P12 S4", "SELECT * FROM {manifest}")
+@query("J3 J4 P12", "SELECT * FROM {manifest}")
 def build_manifest(spark, d):
     return manifest_of(spark, d)
 
@@ -404,7 +405,7 @@ view("label_files", """
     ON e.split = l.split AND parse_filename(filename, true) = l.stem""")
 
 
-@query("A16 P14 S10", "SELECT * FROM {label_files}")
+@query("A16 P14", "SELECT * FROM {label_files}")
 def label_files(spark, d):
     frames = exported(spark, d, train_frames=table(spark, d, "listed_frames"))
     return training.label_table(frames, flat_tables(spark, d)[1])
@@ -418,7 +419,7 @@ def export_stats(spark, d):
     return training.export_stats(label_files(spark, d))
 
 
-@query("S11 P2", """
+@query("P2", """
     SELECT dim, slice, filename FROM (
       SELECT filename, unnest([
         CASE WHEN contains(lower(scene_description), 'night') THEN 'time_of_day/night'
@@ -432,10 +433,11 @@ def slice_image_lists(spark, d):
     return images.select("dim", "slice", "filename")
 
 
-_HASHED = ["sample_data_token", "channel", "filename", "n_boxes", "scene_name", "location"]
+# Every column, so that a change anywhere changes the fingerprint.
+_HASHED = schemas.SAMPLES.fieldNames()
 
 
-@query("A18 A19", f"""
+@query("A18", f"""
     SELECT substr(sha256(concat_ws('|', CAST(n AS STRING), CAST(total AS STRING),
         CAST(mix AS STRING))), 1, 16) AS fingerprint, n AS n_rows FROM (
       SELECT count(*) AS n, sum(CAST(h AS HUGEINT)) AS total, bit_xor(h) AS mix FROM (

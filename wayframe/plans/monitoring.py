@@ -182,7 +182,7 @@ def _stream(spark, d, per_trigger: int | None = None) -> DataFrame:
     )
 
 
-@query("ST1 ST2 S6", f"""
+@query("ST2 S6", f"""
     SELECT window_start, model_version, count(*) AS n,
       {r6("avg(brightness)")} AS mean_brightness, {r6("avg(n_boxes)")} AS mean_n_boxes,
       {r6("quantile_disc(latency_ms, 0.95)")} AS p95_latency_ms
@@ -301,7 +301,7 @@ def stream_drift(spark, d):
     )
 
 
-@query("S5 S6 S12", f"""
+@query("S5 S6", f"""
     SELECT count(*) AS n, {r6("avg(brightness)")} AS mean_brightness,
       CAST(sum(n_boxes) AS BIGINT) AS boxes FROM {{capture}}""")
 def capture_log_roundtrip(spark, d):

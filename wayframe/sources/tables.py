@@ -74,23 +74,27 @@ def list_files(directories: DataFrame, root: str, batch: int = 100_000) -> DataF
     return once.mapInPandas(scan, "filename string")
 
 
-def read_label_results(spark: SparkSession, path: str, batches: DataFrame) -> DataFrame:
+def read_label_results(
+    spark: SparkSession, path: str, batches: DataFrame,
+    files: str = "*.jsonl", batch: str = r"([^/]+)\.jsonl$",
+) -> DataFrame:
     """Raw label results with their model and place: ``path, position`` order the lines.
 
     Files are split like any text, however long. A line's position is where its split
     starts and its number inside the split, which is the order of lines in the file.
-    ``batches`` maps ``batch_id`` (a file's stem) to ``model``; an unknown one is ``?``.
+    ``batches`` maps ``batch_id`` to ``model``; an unknown one is ``?``. ``batch`` is where a
+    file's path has its id, the stem of a .jsonl file unless told otherwise.
     """
     place = F.struct(
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
     )
-    lines = spark.read.text(path, pathGlobFilter="*.jsonl").select(
+    lines = spark.read.text(path, pathGlobFilter=files, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("path"), place.alias("position"), "value"
     )
     record = F.from_json("value", schemas.LABEL_RESULT)
     raw = lines.filter(F.trim("value") != "").select("path", "position", record.alias("r"))
-    stem = F.regexp_extract("path", r"([^/]+)\.jsonl$", 1)
+    stem = F.regexp_extract("path", batch, 1)
     raw = raw.select("r.*", "path", "position", stem.alias("batch_id"))
     known = batches.select("batch_id", "model")
     return raw.join(known, "batch_id", "left").withColumn(
