@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from wayframe.llm import words as wd
 
 BUCKETS = 1 << 16
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 LEAST_SHARE = 0.01  # of a language's letters, for a script to count as its own
 # Code point ranges of scripts.
 SCRIPTS = (
