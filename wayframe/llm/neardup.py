@@ -215,10 +215,14 @@ def near_duplicates(
         # The shingles of each set that another active set has too: no others can be common.
         rows_of = candidates.join(active.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
             _shingle_rows(words), "node long, shingle long")
-        known = rows_of.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
+        known = rows_of.groupBy("shingle").agg(
+            F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n")).where("first <> last")
+        # How common a shingle is goes before its hash, so that sorting puts the rare ones first.
+        ranked = F.shiftleft(F.least("n", F.lit(65_535)), 47).bitwiseOR(F.col("shingle").bitwiseAND(F.lit((1 << 47) - 1)))
         several = signed.groupBy("doc_id").agg(F.min("print_a").alias("low"), F.max("print_a").alias("high")).where("low <> high")
         sets = settle(
-            rows_of.join(known.select("shingle"), "shingle").groupBy("node").agg(F.collect_set("shingle").alias("shared"))
+            rows_of.join(known.select("shingle", ranked.alias("ranked")), "shingle").groupBy("node").agg(
+                F.collect_set("ranked").alias("shared"))
             .join(several.select(F.col("doc_id").alias("node"), F.lit(True).alias("several")), "node", "left"), "sets")
         # One pivot per key, the node with most of its shingles in common; then no more keys.
         best = active.join(sets.select("node", F.size("shared").alias("common")), "node", "left").groupBy("key").agg(
@@ -253,17 +257,16 @@ def near_duplicates(
         inner = inner.drop("outside")
         near = inner.alias("a").join(
             inner.alias("b"), apart & (F.col("a.several") | F.col("b.several") | (both * inside >= percent * sizes))).select(*pair)
-        # The others share a shingle outside, and enough of them.
-        listed = around.where(both * (F.col("inside") + F.size("outside")) >= percent * (
-            F.col("n_shingles") + F.ceil(F.col("n_shingles") * percent / 100))).select(
-            "node", "pivot", "part", "n_shingles", "inside", F.explode("outside").alias("shingle"))
+        # The others need some common shingles outside, at least `need` of them; so they share
+        # one among all but need - 1 of each, of which the rarest are listed.
+        need = F.greatest(F.lit(1), F.ceil(
+            percent * (F.col("n_shingles") + F.ceil(F.col("n_shingles") * percent / 100)) / both) - F.col("inside"))
+        listed = around.withColumn("most", F.size("outside")).where(F.col("most") >= need).select(
+            "node", "pivot", "part", "n_shingles", "inside", "most",
+            F.explode(F.slice(F.array_sort("outside"), F.lit(1), (F.col("most") - need + 1).cast("int"))).alias("shingle"))
         a, b = listed.alias("a"), listed.alias("b")
-        far = (
-            a.join(b, apart & (F.col("a.shingle") == F.col("b.shingle")))
-            .groupBy("a.pivot", F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-            .agg(F.count("*").alias("common"), F.max(sizes).alias("sizes"), F.max(inside).alias("inside"))
-            .where(both * (F.col("inside") + F.col("common")) >= percent * F.col("sizes")).select("a", "b")
-        )
+        enough = both * (inside + F.least("a.most", "b.most")) >= percent * sizes
+        far = a.join(b, apart & (F.col("a.shingle") == F.col("b.shingle")) & enough).select(*pair)
         tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = settle(near.union(far).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         more = settle(_similar(pairs, candidates, words, percent), "more")
