@@ -1,5 +1,6 @@
 """Metadata files to manifest, flattened tables, validation and exports."""
 
+import os
 import json
 import struct
 import zlib
@@ -295,3 +296,16 @@ def test_query_over_registered_views(spark, tmp_path):
     out = tables.query(spark, "SELECT channel, sum(present::int) AS n FROM availability GROUP BY 1",
                        str(tmp_path))
     assert rows(out) == [("CAM_FRONT", 1)]
+
+
+def test_a_scope_leaves_no_scratch_behind(spark, tmp_path):
+    from wayframe.sources import scratch
+
+    root = scratch.scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with scratch.scope(spark):
+        kept = scratch.settle(spark.range(5), "numbers")
+        assert set(os.listdir(root)) > before
+        kept.write.parquet(str(tmp_path / "out"))
+    assert set(os.listdir(root)) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5

@@ -213,3 +213,16 @@ def test_violations_are_observed_per_batch(spark, tmp_path):
     done = streams.run_to_table(watched, str(tmp_path / "o"), str(tmp_path / "s"))
     seen = [p.observedMetrics["rules"] for p in done.recentProgress if p.observedMetrics]
     assert [tuple(s) for s in seen] == [(3, 2, 1)]
+
+
+def test_a_wide_window_has_an_exact_percentile(spark, tmp_path):
+    n = 100_000
+    capture = spark.range(n).selectExpr(
+        "timestamp_seconds(1700000000 + id % 60) AS ts", "'m' AS model_version", "1.0 AS brightness", "1L AS n_boxes",
+        f"double((id * 7919) % {n}) AS latency_ms")
+    capture.union(capture.limit(1).withColumn("ts", F.expr("ts + INTERVAL 2 DAYS"))).coalesce(1).write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(capture.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    streams.run_to_table(streams.window_stats(stream, "1 hour"), str(tmp_path / "out"), str(tmp_path / "state"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [r.n for r in rows][:1] == [n]
+    assert rows[0].p95_latency_ms == 0.95 * n - 1

@@ -206,3 +206,12 @@ def test_user_models_run_once_per_task_and_are_normalised(spark):
     df = spark.createDataFrame([("abc",), ("",)], "text string")
     got = {r.text: r.vector for r in model.embed(df, "text").collect()}
     assert got["abc"] == pytest.approx([3 / 10**0.5, 1 / 10**0.5]) and got[""] == [0, 1]
+
+
+def test_vectors_of_another_dimension_are_refused(spark):
+    store = spark.createDataFrame(
+        [("a", [1.0, 0.0, 0.0, 0.0]), ("b", [0.0, 1.0]), ("c", [0.0, 0.0, 1.0, 0.0, 0.0, 0.0])],
+        "sample_data_token string, vector array<float>").coalesce(1)
+    queries = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0], 3)], "query_id int, vector array<double>, k int")
+    with pytest.raises(Exception, match="dimensions"):
+        search.top_k_batch(store, queries).collect()

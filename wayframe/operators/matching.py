@@ -178,6 +178,8 @@ def match_boxes(
     rounds of joins, with the same result.
     """
     lowest = min(thresholds)
+    if lowest <= 0:
+        raise ValueError("an IoU threshold must be positive: boxes apart do not match")
     sizes = [
         side.groupBy("frame", "cls").agg(F.count("*").alias(name))
         for side, name in ((pred, "_n_pred"), (gt, "_n_gt"))

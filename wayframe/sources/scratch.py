@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -16,6 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
+        if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{root} is a folder of one machine; executors can't share it")
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -26,7 +33,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at its end, the scratch paths handed out inside: results must be written by then."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _made[first:]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        del _made[first:]
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
