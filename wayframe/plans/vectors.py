@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from wayframe.functions.vectors import cosine_score, normalize
 from wayframe.operators import embedding, mining, search
@@ -37,8 +37,17 @@ def _centroids(vectors):
     )
 
 
+def _millionths(vector) -> Column:
+    """All components in whole millionths, as one text."""
+    return F.array_join(F.transform(vector, lambda x: F.rint(x.cast("double") * 1e6).cast("long").cast("string")), ",")
+
+
+_MILLIONTHS_SQL = (
+    "array_to_string(list_transform({}, lambda x: CAST(CAST(round_even({}, 0) AS BIGINT) AS VARCHAR)), ',')")
+
+
 @query("P19", f"""
-    SELECT sample_data_token, {r6("vector[1] / n")} AS first, {r6("vector[64] / n")} AS last,
+    SELECT sample_data_token, {_MILLIONTHS_SQL.format("vector", "CAST(x AS DOUBLE) / n * 1e6")} AS unit,
       {r6("n")} AS norm FROM (
       SELECT *, sqrt(list_inner_product(CAST(vector AS DOUBLE[]), CAST(vector AS DOUBLE[]))) AS n
       FROM {{vectors}})""")
@@ -49,8 +58,8 @@ def normalized_vectors(spark, d):
     ))
     return rounded(
         table(spark, d, "vectors").select(
-            TOKEN, unit[0].alias("first"), unit[63].alias("last"), length.alias("norm")
-        ), "first", "last", "norm",
+            TOKEN, _millionths(unit).alias("unit"), length.alias("norm")
+        ), "norm",
     )
 
 
@@ -92,16 +101,17 @@ def centroid_top_k(spark, d):
     return rounded(search.top_k_batch(vectors, _centroids(vectors), 15), "score")
 
 
-@query("J16 J7", """
-    SELECT sample_data_token, CAST(label AS INT) AS label, len(vector) AS dim
-    FROM {vectors} WHERE label IN (2, 3)""")
+@query("J16 J7", f"""
+    SELECT sample_data_token, CAST(label AS INT) AS label, len(vector) AS dim,
+      {_MILLIONTHS_SQL.format("vector", "CAST(x AS DOUBLE) * 1e6")} AS components
+    FROM {{vectors}} WHERE label IN (2, 3)""")
 def read_vectors(spark, d):
     vectors = table(spark, d, "vectors")
     tokens = vectors.filter(F.col("label").isin(2, 3)).select(TOKEN)
     found = search.read_vectors(vectors, tokens)
     labels = vectors.select(TOKEN, "label")
     return found.join(labels, TOKEN).select(
-        TOKEN, "label", F.size("vector").cast("long").alias("dim")
+        TOKEN, "label", F.size("vector").cast("long").alias("dim"), _millionths("vector").alias("components")
     )
 
 
