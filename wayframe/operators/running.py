@@ -1,7 +1,7 @@
 """Running totals over an ordered column without a single-task window.
 
 A plain window needs all rows of a key in one task, which fails when the keys are a
-handful of classes or columns. Here the order column is cut at approximate quantiles,
+handful of classes or columns. Here the order column is dealt by ranges into cuts,
 totals run inside each cut in parallel, and each cut starts from the totals before it.
 """
 
@@ -9,34 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS_PER_CUT = 2_000_000
-MAX_CUTS = 1024
+from wayframe.sources.scratch import settle
 
+ROWS_PER_CUT = 2_000_000
 
-def cut_points(points: DataFrame, order: str, rows_per_cut: int = ROWS_PER_CUT) -> list[float]:
-    """Approximate quantiles that split ``points`` into cuts of about ``rows_per_cut``."""
-    n = points.count()
-    cuts = min(MAX_CUTS, -(-n // rows_per_cut))
-    if cuts < 2:
-        return []
-    shares = [i / cuts for i in range(1, cuts)]
-    accuracy = 10 * cuts
-    found = points.agg(
-        F.percentile_approx(F.col(order).cast("double"), shares, accuracy)
-    ).first()[0]
-    return sorted(set(found))
 
+def _in_cuts(points: DataFrame, order: str, rows_per_cut: int) -> DataFrame | None:
+    """``points`` dealt by ranges of ``order`` and written, with their range as ``_cut``.
 
-def _cut_of(order: Column, bounds: Sequence[float], first: int = 0) -> Column:
-    """Number of bounds at or below the value, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(
-        order < F.lit(bounds[middle]), _cut_of(order, bounds[:middle], first)
-    ).otherwise(_cut_of(order, bounds[middle + 1:], first + middle + 1))
+    There are as many cuts as it takes; None when one will do. Equal values share a cut.
+    """
+    cuts = -(-points.count() // rows_per_cut)
+    if cuts < 2:
+        return None
+    return settle(
+        points.repartitionByRange(cuts, order).withColumn("_cut", F.spark_partition_id()), "cuts")
 
 
 def running_totals(
@@ -53,20 +42,19 @@ def running_totals(
     ``points`` must be pre-aggregated to one row per (keys, order), with a numeric order
     column, and be cheap to read more than once (see ``settle``).
     """
-    bounds = cut_points(points, order, rows_per_cut)
+    cut = _in_cuts(points, order, rows_per_cut)
     ordering = F.col(order).desc() if descending else F.col(order).asc()
-    if not bounds:
+    if cut is None:
         window = Window.partitionBy(*keys).orderBy(ordering)
         upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         totals = {f"cum_{m}": F.sum(m).over(upto) for m in measures}
         return points.withColumns({**totals, f"next_{order}": F.lead(order).over(window)})
 
-    cut = points.withColumn("_cut", _cut_of(F.col(order).cast("double"), bounds))
     first = F.max(order) if descending else F.min(order)
     summary = cut.groupBy(*keys, "_cut").agg(
         *[F.sum(m).alias(f"_total_{m}") for m in measures], first.alias("_first")
     )
-    # At most MAX_CUTS rows per key from here on.
+    # One row per key and cut from here on.
     cut_order = F.col("_cut").desc() if descending else F.col("_cut").asc()
     over_cuts = Window.partitionBy(*keys).orderBy(cut_order)
     before = over_cuts.rowsBetween(Window.unboundedPreceding, -1)
