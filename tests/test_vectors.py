@@ -215,3 +215,20 @@ def test_vectors_of_another_dimension_are_refused(spark):
     queries = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0], 3)], "query_id int, vector array<double>, k int")
     with pytest.raises(Exception, match="dimensions"):
         search.top_k_batch(store, queries).collect()
+
+
+def test_search_by_image_with_thumbnails(spark, tmp_path):
+    def load():
+        def histogram(images):
+            return np.array([np.bincount(np.frombuffer(bytes(i), np.uint8) % 8, minlength=8) for i in images])
+        return histogram
+
+    embedder = embedding.FunctionEmbedder(load, 8, "bytes")
+    frames = spark.createDataFrame(
+        [(f"d{i}", "s", bytearray([i] * 20 + [7 - i]), bytearray([i])) for i in range(6)],
+        "sample_data_token string, scene_name string, image binary, thumbnail binary")
+    store = str(tmp_path / "store")
+    embedding.run_embedding(frames, embedder, "image", store)
+    stored = stores.open_store(spark, store)
+    hits = search.with_context(search.search_image(stored, bytes([3] * 9), 1, embedder), stored).collect()
+    assert [(r.sample_data_token, bytes(r.thumbnail)) for r in hits] == [("d3", bytes([3]))]

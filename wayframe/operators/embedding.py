@@ -18,7 +18,7 @@ from wayframe.sources import vectors
 
 STORED = (
     "sample_data_token", "sample_token", "scene_token", "scene_name", "scene_description",
-    "channel", "filename", "timestamp", "location", "is_night", "is_rain", "n_boxes",
+    "channel", "filename", "timestamp", "location", "is_night", "is_rain", "n_boxes", "thumbnail",
 )
 
 

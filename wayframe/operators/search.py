@@ -20,7 +20,7 @@ MERGE_PARTS = 64
 # Columns of a search result.
 RESULT_COLUMNS = (
     "sample_data_token", "scene_name", "scene_description", "channel", "filename",
-    "timestamp", "location", "is_night", "is_rain", "n_boxes", "score",
+    "timestamp", "location", "is_night", "is_rain", "n_boxes", "thumbnail", "score",
 )
 
 
@@ -210,6 +210,13 @@ def search_text(store: DataFrame, text: str, k: int, embedder, **names) -> DataF
     return top_k(store, list(query), k, **names)
 
 
+def search_image(store: DataFrame, image: bytes, k: int, embedder, **names) -> DataFrame:
+    """The k frames nearest to an image, embedded in the store's vector space."""
+    one = store.sparkSession.createDataFrame([(bytearray(image),)], "image binary")
+    query = embedder.embed(one, "image").select("vector").first()[0]
+    return top_k(store, list(query), k, **names)
+
+
 def read_vectors(store: DataFrame, tokens: DataFrame, token: str = TOKEN, vector: str = VECTOR):
     """Stored vectors of a set of tokens."""
     return store.select(token, vector).join(tokens.select(token), token, "left_semi")
