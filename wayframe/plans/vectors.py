@@ -201,6 +201,24 @@ def failure_clusters(spark, d):
     return rounded(_mining_run(spark, d)[1].clusters, "night_share", "mean_failure_score")
 
 
+@query("M3", "SELECT sample_data_token, true AS nearest, 3 AS n_clusters FROM {failing}")
+def cluster_assignments(spark, d):
+    """Every failure is assigned to the nearest of the centroids, whichever those are."""
+    failing = table(spark, d, "vectors").filter(F.col("label") >= 8)
+    assigned, centroids = mining.cluster_failures(failing, k=3, restarts=2)
+    centers = centroids.orderBy("cluster").collect()  # k rows
+
+    def distance(center) -> Column:
+        terms = F.zip_with("vector", F.lit([float(x) for x in center.vector]), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y))
+        return F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)
+
+    distances = F.array(*[distance(c) for c in centers])
+    held = failing.select(TOKEN, distances.alias("distances")).join(assigned, TOKEN)
+    own = F.element_at("distances", F.col("cluster") + 1)
+    return held.select(
+        TOKEN, (own <= F.array_min("distances") + 1e-9).alias("nearest"), F.lit(len(centers)).alias("n_clusters"))
+
+
 @query("M5 W6 J19 U3", """
     SELECT least(60, count(*)) AS n_mined, least(60, count(*)) AS n_random,
       avg(CAST(is_night AS INT)) AS night_share, count(*) > 0 AS inside_pool
@@ -230,6 +248,24 @@ def text_vectors(spark, d):
     return rows.select(TOKEN, "scene_name", F.size("vector").alias("dim"))
 
 
+@query("M1", f"""
+    SELECT sample_data_token, {_MILLIONTHS_SQL.format(
+        "[a, b, c]", "CAST(CAST(x / n AS FLOAT) AS DOUBLE) * 1e6")} AS unit
+    FROM (SELECT *, greatest(sqrt(a * a + b * b + c * c), 1e-12) AS n FROM (
+      SELECT CAST(doc_id AS VARCHAR) AS sample_data_token, CAST(length(text) AS DOUBLE) AS a,
+        CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS b,
+        CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS c FROM documents))""")
+def function_vectors(spark, d):
+    """A user's model as the embedder: lengths and two letter counts, as unit vectors."""
+
+    def load():
+        return lambda texts: [[len(t), t.count("e"), t.count(" ")] for t in texts]
+
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias(TOKEN), "text")
+    found = embedding.FunctionEmbedder(load, 3, "counts").embed(docs, "text")
+    return found.select(TOKEN, _millionths("vector").alias("unit"))
+
+
 @query("T3 M1")
 def text_search(spark, d):
     """Nearest documents to a phrase, in the hashed text space."""
