@@ -112,8 +112,9 @@ def run_embedding(
 ) -> dict[str, int]:
     """Append the missing frames to a vector store; return what was done.
 
-    Scenes are counted as processed or skipped (nothing left to do). Counting the added
-    rows rides on the write itself.
+    Scenes are counted as processed or skipped (nothing left to do), from tokens alone; the
+    added and the unreadable rows are counted by the write itself, so that the input column
+    is read once.
     """
     spark = frames.sparkSession
     if rebuild:
@@ -127,21 +128,17 @@ def run_embedding(
         marked = present.join(mark, "sample_data_token", "left")
         marked = marked.withColumn("_done", F.col("_stored").isNotNull())
         todo = not_done(present, done)
-    per_scene = marked.groupBy("scene_name").agg(
-        F.count_if(~F.col("_done")).alias("todo"),
-        F.count_if(~F.col("_done") & F.col(column).isNull()).alias("unreadable"),
-    )
+    per_scene = marked.groupBy("scene_name").agg(F.count_if(~F.col("_done")).alias("todo"))
     plan = per_scene.agg(
-        F.count_if(F.col("todo") > 0).alias("busy"), F.count("*").alias("scenes"),
-        F.coalesce(F.sum("unreadable"), F.lit(0)).alias("unreadable"),
-    ).first()
-    seen = Observation("embedding")
+        F.count_if(F.col("todo") > 0).alias("busy"), F.count("*").alias("scenes")).first()
+    seen, given = Observation("embedding"), Observation("embedding-input")
+    todo = todo.observe(given, F.count_if(F.col(column).isNull()).alias("unreadable"))
     rows = _stored_rows(todo, embedder, column).observe(seen, F.count("*").alias("added"))
     vectors.append(rows, store)
     return {
         "scenes_processed": plan["busy"],
         "scenes_skipped": plan["scenes"] - plan["busy"],
         "frames_added": seen.get["added"],
-        "unreadable": plan["unreadable"],
+        "unreadable": given.get["unreadable"],
         "total": vectors.open_store(spark, store).count(),
     }
