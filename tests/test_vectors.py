@@ -174,10 +174,10 @@ def test_embedding_resumes_and_rebuilds(spark, tmp_path):
     assert (built["frames_added"], built["total"]) == (12, 12)
     stored = stores.open_store(spark, store)
     before = rows(stored.select(TOKEN))
-    assert stores.with_dimension(stored, 16).isEmpty()
+    assert stores.of_other_dimension(stored, 16).isEmpty()
     length = stored.select(F.sqrt(dot(F.col("vector"), F.col("vector")))).distinct().collect()
     assert all(r[0] == pytest.approx(1, abs=1e-6) for r in length)
-    stores.compact(spark, store, 1)
+    store = stores.compact(spark, store, 1, f"{store}-compacted")
     assert rows(stores.open_store(spark, store).select(TOKEN)) == before
     hit = search.search_text(stores.open_store(spark, store), "RAIN at night", 4, embedder).collect()
     assert {r[TOKEN][:2] for r in hit} == {"d2"}

@@ -38,26 +38,19 @@ def drop_store(spark: SparkSession, path: str) -> None:
         filesystem.delete(where, True)
 
 
-def compact(spark: SparkSession, path: str, files: int) -> None:
-    """Rewrite a store into about ``files`` files, ranged by token.
+def compact(spark: SparkSession, path: str, files: int, to: str) -> str:
+    """Write a store's rows as about ``files`` files, ranged by token, to the new path ``to``.
 
-    The new files are written beside the store and swapped in; the old ones are deleted
-    only after the swap.
+    The store itself is left as it is: readers go on reading it, and its owner switches to
+    the returned path, and drops the old one, when it suits.
     """
-    base = path.rstrip("/")
-    fresh, replaced = f"{base}-compacting", f"{base}-replaced"
     open_store(spark, path).repartitionByRange(files, "sample_data_token").sortWithinPartitions(
         "sample_data_token"
-    ).write.mode("overwrite").parquet(fresh)
-    drop_store(spark, replaced)
-    filesystem, old = _filesystem(spark, base)
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
-    filesystem.rename(old, as_path(replaced))
-    filesystem.rename(as_path(fresh), old)
-    drop_store(spark, replaced)
+    ).write.mode("errorifexists").parquet(to)
+    return to
 
 
-def with_dimension(store: DataFrame, dim: int) -> DataFrame:
+def of_other_dimension(store: DataFrame, dim: int) -> DataFrame:
     """Rows whose vector does not have ``dim`` entries (should be none)."""
     return store.filter(F.size("vector") != dim)
 
