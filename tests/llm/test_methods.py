@@ -163,6 +163,34 @@ def test_perplexity_equals_a_plain_kneser_ney(spark):
         assert got[doc][1] == pytest.approx(-sum(logs) / len(logs), abs=1e-5)
 
 
+def test_gibberish_of_plain_words_is_not_kept(spark):
+    rng = random.Random(8)
+
+    def word(size):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+
+    common = [word(5) for _ in range(300)]
+    docs = [" ".join(word(9) if rng.random() < 0.4 else rng.choice(common) for _ in range(60)) for _ in range(300)]
+    docs += [" ".join(word(9) for _ in range(60)) for _ in range(20)]
+    frame = spark.createDataFrame([(k, t, "en") for k, t in enumerate(docs)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in kneser_ney.keep_good(frame, labels).collect()}
+    assert not kept & set(range(300, 320)) and len(kept & set(range(300))) > 285
+
+
+def test_three_words_are_told_from_their_pairs(spark):
+    texts = ["a b c", "d b e"] * 20
+    frame = spark.createDataFrame([*enumerate(texts), (99, "a b e"), (100, "a zz b")], "doc_id long, text string")
+    trained = kneser_ney.train(frame.where("doc_id < 40").select("text"), 3)
+    got = {r.doc_id: (r.n_pairs, r.log_perplexity) for r in kneser_ney.score(frame, trained, shards=3, replicas=2).collect()}
+    assert got[0][0] == 4 and got[99][1] > got[0][1] + 0.2
+    # Below the spare mass of its context a word never seen has one of IDS parts of the unseen mass.
+    # Words a, b, c, d, e and the end follow 1, 2, 1, 1, 1 and 2 different words: counts of counts 4 and 2.
+    y = 4 / (4 + 2 * 2)
+    unseen = (4 * (1 - 2 * y * 2 / 4) + 2 * min(2 - 0, 1.95)) / 8 / kneser_ney.IDS
+    assert trained[3][kneser_ney.UNKNOWN] == pytest.approx(unseen)
+
+
 # Decontamination
 
 
