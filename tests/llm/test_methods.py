@@ -219,6 +219,42 @@ def test_overlaps_survive_substitutions(spark):
     assert {(r.doc_id, r.matched) for r in got.collect()} == expected
 
 
+def test_short_items_are_searched_without_loss():
+    import itertools
+
+    for size in range(1, decontaminate.WINDOW):
+        allowed = size * decontaminate.SUBSTITUTIONS // decontaminate.WINDOW
+        masks = decontaminate.MASKS + decontaminate.short_masks(size, allowed, decontaminate.MASKS)
+        for gone in itertools.combinations(range(size), allowed):
+            assert any(
+                all(at + k not in gone for k, c in enumerate(mask) if c == "1")
+                for mask in masks for at in range(size - len(mask) + 1)), (size, gone)
+
+
+def test_overlaps_of_short_items_equal_all_alignments(spark):
+    rng = random.Random(9)
+    items = {n: [f"i{n}t{k}" for k in range(n)] for n in range(1, 13)}
+    docs = []
+    for n, item in items.items():
+        for wrong in range(4):
+            for _ in range(4):
+                text = list(item)
+                for at in rng.sample(range(n), min(wrong, n)):
+                    text[at] = f"x{rng.randrange(10_000)}"
+                text = ["pre"] * rng.randrange(3) + text[rng.choice([0, 0, 1]):] + ["post"] * rng.randrange(3)
+                docs.append((len(docs), text))
+    expected = set()
+    for doc, text in docs:
+        for n, item in items.items():
+            best = max((sum(0 <= at + k < len(text) and text[at + k] == t for k, t in enumerate(item)) for at in range(-n, len(text))), default=0)
+            if best * decontaminate.WINDOW >= n * (decontaminate.WINDOW - decontaminate.SUBSTITUTIONS):
+                expected.add((doc, n, best))
+    got = decontaminate.overlaps(
+        spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id long, text string"),
+        spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.matched) for r in got.collect()} == expected
+
+
 # Packing
 
 

@@ -12,16 +12,22 @@ however large the benchmark), read as a scalar subquery inside the scan's own st
 only drop what can't match; the join on hashes decides. Around each hit the tokens of both
 sides, aligned, are compared: an overlap is a window with enough equal tokens. The window
 holds the seed or touches its surroundings of one window's length, so that a row carries a
-bounded piece of its document. Items shorter than the window are compared whole.
+bounded piece of its document. Items shorter than the window are compared whole, with the
+same share of substitutions; where the masks would miss some of them, items of that length
+get further masks (see ``short_masks``), so that every length is searched without loss.
 
 Defined results: null texts, null ids' texts included, are read like any other (a null id
-stays null); items shorter than the shortest mask are not searched; repeated rows of one
+stays null); items without a token are not searched; repeated rows of one
 doc_id or item_id are searched each and reported together. Columns other than doc_id, text
 and item_id are not read; the filtering form returns all columns as they were.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayframe.sources.scratch import settle
@@ -32,6 +38,39 @@ SUBSTITUTIONS = 3
 _WORDS_OF_MAP = 32768  # of 64 bits
 
 
+def _placed(mask: str, size: int) -> list[frozenset[int]]:
+    """The selected positions of a mask at each of its places in ``size`` tokens."""
+    return [frozenset(at + k for k, c in enumerate(mask) if c == "1") for at in range(size - len(mask) + 1)]
+
+
+@functools.cache
+def short_masks(size: int, substitutions: int, masks: tuple[str, ...]) -> tuple[str, ...]:
+    """Masks that, beside the given ones, find an item of ``size`` tokens after any substitutions.
+
+    The heaviest few that do; of large cases one plain run, which some gap must leave whole.
+    """
+    run = "1" * (size // (substitutions + 1))
+    if math.comb(size, substitutions) > 1000 or size > 14:
+        return (run,)
+    missed = {
+        gone for gone in itertools.combinations(range(size), substitutions)
+        if not any(place.isdisjoint(gone) for mask in masks for place in _placed(mask, size))}
+    inner = [format(bits, "b").rstrip("0") for bits in range(1, 1 << size)]
+    for weight in range(size - substitutions, 0, -1):
+        left, chosen = set(missed), []
+        some = sorted({m for m in inner if m.count("1") == weight})
+        hit = {m: {gone for gone in missed if any(place.isdisjoint(gone) for place in _placed(m, size))} for m in some}
+        while left and len(chosen) < 4:
+            best = max(some, key=lambda m: len(hit[m] & left))
+            chosen.append(best)
+            if not hit[best] & left:
+                break
+            left -= hit[best]
+        if not left:
+            return tuple(chosen)
+    return (run,)
+
+
 def tokens(text: str) -> Column:
     """Hashes of the words of a text column."""
     trimmed = F.btrim(F.lower(F.col(text).cast("string")), F.lit(" \t\n\x0b\f\r"))
@@ -73,9 +112,19 @@ def overlaps(
     ``matched`` the most equal tokens in a window.
     """
     items = settle(benchmark.select("item_id", tokens("text").alias("tokens")).withColumn("item", F.xxhash64("tokens")), "items")
+    # The lengths below the window that occur, at most as many as the window has tokens.
+    sizes = [r[0] for r in items.select(F.size("tokens")).where(F.size("tokens").between(1, window - 1)).distinct().collect()]
+    short = {n: short_masks(n, n * substitutions // window, tuple(masks)) for n in sizes}
+    given, masks = len(masks), (*masks, *sorted({m for own in short.values() for m in own} - {*masks}))
+
+    def for_item(number: int, mask: str) -> Column:
+        own = [n for n, chosen in short.items() if mask in chosen]
+        return F.lit(True) if number < given else F.size("tokens").isin(own)
+
     test = settle(
         _positions(items, masks, "item").select("item", "at", F.explode(F.array(*[
-            F.struct(F.lit(m).alias("mask"), _seed(mask, F.col("at"), "tokens", m).alias("seed")) for m, mask in enumerate(masks)
+            F.struct(F.lit(m).alias("mask"), F.when(for_item(m, mask), _seed(mask, F.col("at"), "tokens", m)).alias("seed"))
+            for m, mask in enumerate(masks)
         ])).alias("s")).where("s.seed is not null").select("item", F.col("at").alias("item_at"), "s.mask", "s.seed").distinct(), "seeds")
     known = _bit_map(test).scalar()
     at = F.col("at")
