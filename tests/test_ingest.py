@@ -309,3 +309,13 @@ def test_a_scope_leaves_no_scratch_behind(spark, tmp_path):
         kept.write.parquet(str(tmp_path / "out"))
     assert set(os.listdir(root)) == before
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_json_files_grow_in_number_not_in_rows(spark, tmp_path):
+    from wayframe.plans import files
+
+    table = spark.range(600_000).select(F.md5(F.col("id").cast("string")).alias("token"))
+    files._json_arrays(table, str(tmp_path / "rows.json"))
+    read = spark.read.schema("token string").option("multiLine", True).json(str(tmp_path / "rows.json"))
+    sizes = [r[1] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 600_000 == read.distinct().count() and max(sizes) < 60_000

@@ -15,10 +15,14 @@ from wayframe.sources.scratch import scratch_path
 from wayframe.streaming import capture as streams
 
 
-def _json_arrays(df: DataFrame, path: str, files: int = 8) -> None:
-    """Write a table as files of one JSON array of objects each."""
+FILE_ROWS = 50_000  # of a JSON array, about
+
+
+def _json_arrays(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """Write a table as files of one JSON array of objects each, more files for more rows."""
+    files = max(8, -(-df.count() // file_rows))
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("row"), F.pmod(F.xxhash64("token"), F.lit(files)).alias("file"))
-    arrays = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("value"))
+    arrays = rows.repartition(files, "file").groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("row"), ",\n"), F.lit("]")).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
