@@ -269,6 +269,18 @@ def test_ids_are_those_of_the_tokenizers_library(text):
     assert packing.encoder(packing.default_ranks())(text) == packing._loaded["own"].encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.just("<|endoftext|>"), st.sampled_from([" ", "\n\n", "<|", "|>"]), st.text(max_size=10)), max_size=8))
+def test_added_tokens_have_their_own_ids(parts):
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    if not packing._loaded.get("unmodified"):
+        packing._loaded["unmodified"] = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    encode = packing.encoder(packing.default_ranks())
+    for text in ("".join(parts), f"a <|endoftext|> b{''.join(parts)}"):
+        assert encode(text) == packing._loaded["unmodified"].encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit_fills_bins_without_gaps(lengths):

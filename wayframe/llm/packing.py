@@ -19,6 +19,9 @@ are not read.
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -39,15 +42,37 @@ _SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|
 _loaded: dict[str, object] = {}
 
 
+def added_tokens(ranks_file: str) -> dict[str, int]:
+    """Ids of the added tokens of the JSON beside a rank file; without one there are none."""
+    path = os.path.splitext(ranks_file)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of {path} that take more or less than their own string")
+    return {t["content"]: t["id"] for t in added}
+
+
 def encoder(ranks_file: str):
-    """Ids of a text under a byte-level BPE rank file; strings of special tokens are text."""
+    """Ids of a text under a byte-level BPE rank file and the added tokens beside it."""
     if ranks_file not in _loaded:
         import tiktoken
 
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _loaded[ranks_file] = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-    return _loaded[ranks_file].encode_ordinary
+        ordinary = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        added = added_tokens(ranks_file)
+        longest_first = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+        def encode(text: str) -> list[int]:
+            ids = []
+            for k, part in enumerate(longest_first.split(text)):
+                ids += [added[part]] if k % 2 else ordinary(part)
+            return ids
+
+        _loaded[ranks_file] = encode if added else ordinary
+    return _loaded[ranks_file]
 
 
 def default_ranks() -> str:
@@ -91,8 +116,9 @@ def _tokenizer(ranks_file: str | None, capacity: int, end: int, with_ids: bool):
 def pieces(docs: DataFrame, ranks_file: str | None = None, capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document.
 
-    ranks_file is the vocabulary's rank file at a path every executor has; by default the
-    one that comes with the tokenizers' package.
+    ranks_file is the vocabulary's rank file at a path every executor has, with the
+    vocabulary's JSON beside it if it has added tokens; by default those that come with the
+    tokenizers' package.
     """
     ids = ", ids array<int>" if with_ids else ""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
