@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wayframe.llm import decontaminate, kneser_ney, langid, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc
+from wayframe.llm import (
+    decontaminate, kneser_ney, langid, mixing, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc)
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -152,3 +153,33 @@ def op9_script_viterbi_language_id(spark: SparkSession, sf_dir: str) -> DataFram
 def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pseudo_likelihood.score(docs, *pseudo_likelihood.train(docs))
+
+
+# Places are the first 60 bits of an md5; a row is taken once more when the sizes before it
+# and half of its own lie inside what its source's whole copies leave of the target.
+@query(f"""
+    WITH sized AS (SELECT doc_id, source, len({WORDS.format("coalesce(text, '')")})::BIGINT AS size FROM documents),
+    placed AS (
+        SELECT *, ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), size, 11)), 1, 15))::BIGINT AS place FROM sized),
+    sizes AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+               [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM sized GROUP BY source),
+    levels AS (SELECT *, source_size * 3 / weight AS level FROM sizes),
+    shares AS (
+        SELECT l.level, ((SELECT sum(source_size)::BIGINT FROM sizes) - coalesce(sum(3 * b.source_size), 0)::BIGINT)
+               / ((SELECT sum(weight) FROM sizes) - coalesce(sum(b.weight), 0)) AS shared
+        FROM (SELECT DISTINCT level FROM levels) l LEFT JOIN levels b ON b.level < l.level GROUP BY l.level),
+    aims AS (
+        SELECT source, source_size, CASE WHEN level < (SELECT max(shared) FROM shares WHERE level >= shared)
+            THEN (3 * source_size)::DOUBLE ELSE (SELECT max(shared) FROM shares WHERE level >= shared) * weight END AS target FROM levels),
+    copied AS (
+        SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size))::BIGINT ELSE 0 END AS copies FROM aims),
+    runs AS (
+        SELECT doc_id, size, source_size, target, copies, target - copies * source_size AS space,
+               sum(size) OVER (PARTITION BY p.source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT - size AS before
+        FROM placed p JOIN copied c ON p.source IS NOT DISTINCT FROM c.source)
+    SELECT doc_id, size, source_size, target,
+           (least(3, copies + CASE WHEN before + size / 2 < space THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM runs
+""")
+def op11_hash_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select("row.doc_id", "size", "source_size", "target", "taken")
