@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayframe.llm import (
-    decontaminate, kneser_ney, langid, mixing, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc)
+    decontaminate, divergence, filter_audit, kneser_ney, langid, mixing, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc)
 from wayframe.llm.frames import table
 from wayframe.llm.neardup import near_duplicates
 from wayframe.llm.registry import LOWER, QUERIES, TWINS, WORDS, query
@@ -183,3 +183,78 @@ def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op11_hash_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_BILLIONTHS = "(1 + (1000000000 * ({n}::HUGEINT + 5)) // ({total}::HUGEINT + 5 * {size}))::BIGINT"
+
+
+@query(f"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               {_TERMS.format(LOWER.format('text'))} AS terms FROM documents),
+    found AS (SELECT rid, lang, source, unnest(terms) AS term FROM texts),
+    kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+    sizes AS (SELECT lang, count(*) AS size FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM texts),
+    totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+    dense AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n, {_BILLIONTHS.format(n='coalesce(n, 0)', total='total', size='size')} AS p
+        FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+    whole AS (
+        SELECT lang, term, {_BILLIONTHS.format(n='n', total='total', size='size')} AS q
+        FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL) JOIN sizes USING (lang)
+        JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang)),
+    gaps AS (
+        SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value
+        FROM dense x JOIN dense y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+    items AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM dense JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM items)
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+    known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+               100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * len(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+               doc_id > min(doc_id) OVER (PARTITION BY text) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+        FROM texts LEFT JOIN known USING (doc_id)),
+    cells AS (
+        SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+    lists AS (SELECT part, n, good, toxic, list_filter([
+        CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END, CASE WHEN d THEN 'D' END, CASE WHEN e THEN 'E' END],
+        lambda x: x IS NOT NULL) AS fails FROM cells),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    orders AS (
+        SELECT v.l || w.l || x.l || y.l || z.l AS filter_order FROM letters v, letters w, letters x, letters y, letters z
+        WHERE len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5),
+    falls AS (
+        SELECT part, n, good, toxic, fails, filter_order, unnest([1, 2, 3, 4, 5]) AS step,
+               list_min(list_transform(fails, lambda f: instr(filter_order, f))) AS falls FROM lists, orders),
+    steps AS (
+        SELECT part, filter_order, step, substr(filter_order, step, 1) AS f,
+               coalesce(sum(n) FILTER (falls IS NULL OR falls > step), 0) AS kept, coalesce(sum(n) FILTER (falls = step), 0) AS removed,
+               coalesce(sum(n) FILTER (falls < step AND list_contains(fails, substr(filter_order, step, 1))), 0) AS redundant,
+               coalesce(sum(n) FILTER (fails = [substr(filter_order, step, 1)]), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (falls = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (falls = step), 0) AS toxic_lost
+        FROM falls GROUP BY ALL)
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM steps
+""")
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
