@@ -4,8 +4,8 @@ Terms are counted by CountVectorizer with ``minDF`` and no limit of the vocabula
 token carries its document's language, so that one fit serves all languages: a token's
 document frequency is the term's in that language. The fitted model turns each document into
 its exact sparse vector; the vectors are summed per source (the sums are kept sparse: a row
-per source and term, combined before they are shuffled, so that a hot source is as many
-partial sums as there are tasks). A language's sums follow from its sources'.
+per source and term, combined in the tasks before they are shuffled, so that a hot source
+is as many partial sums as there are tasks). A language's sums follow from its sources'.
 
 Probabilities are whole billionths with ``prior`` added to each count. Two sources differ by
 the sum of absolute differences over the language's kept terms. A term that neither has adds
@@ -30,6 +30,7 @@ than text, lang and source are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wayframe.llm import words as wd
 from wayframe.sources.scratch import settle
 
 SCALE = 1_000_000_000
@@ -45,12 +47,63 @@ TILE = 128
 SHARD_TERMS = 4096
 BREAK = "\0"  # between a token's language and its term; never part of a term
 BYTES_PER_FIT = 256 << 30
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def terms_of(text: Column) -> Column:
-    """Longest runs of letters A-Z and characters beyond ASCII; only A-Z are lower-cased."""
-    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), r"[\x00-\x40\x5B-\x60\x7B-\x7F]++"), "")
+HELD = 1 << 21  # sums of a task before it hands them on
+_TERM = np.zeros(256, bool)
+_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def tokens_of(texts: wd.Texts, langs: list[bytes]) -> pa.Array:
+    """Lists of tokens: longest runs of letters A-Z, lower-cased, and characters beyond ASCII, behind the language."""
+    inside = _TERM[texts.data]
+    found = wd.words(texts, inside)
+    size = found.ends - found.starts
+    marks = [lang + BREAK.encode() for lang in langs]
+    before = np.array([len(m) for m in marks], np.int64)[found.doc]
+    ends = np.cumsum(before + size)
+    begins = ends - size
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    letters = np.flatnonzero(inside)
+    data[letters + np.repeat(begins - found.starts, size)] = wd.LOWER[texts.data[letters]]
+    kinds, kind = np.unique(np.array(marks, object), return_inverse=True)
+    for k, mark in enumerate(kinds):
+        at = (begins - before)[kind[found.doc] == k]
+        data[at[:, None] + np.arange(len(mark))] = np.frombuffer(mark, np.uint8)
+    strings = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(data)])
+    return pa.LargeListArray.from_arrays(pa.array(found.first.astype(np.int64)), strings).cast(pa.list_(pa.string()))
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs = [lang.encode() for lang in batch.column("lang").to_pylist()]
+        for texts in wd.slices(batch.column("text")):
+            own = slice(texts.first, texts.first + len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("source").slice(texts.first, len(texts)), tokens_of(texts, langs[own])], names=["source", "tokens"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of sparse vectors per source, as far as a task holds them."""
+    names: dict[str, int] = {}
+    keys, values = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def rows() -> pa.RecordBatch:
+        sources = pa.array(list(names), pa.string()).take(pa.array(keys >> 32))
+        return pa.RecordBatch.from_arrays([sources, pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(values)], names=["source", "at", "n"])
+
+    for batch in batches:
+        own = np.array([names.setdefault(s, len(names)) for s in batch.column("source").to_pylist()], np.int64)
+        indices, counts = batch.column("indices"), batch.column("values")
+        key = np.repeat(own, np.asarray(indices.value_lengths())) << 32 | np.asarray(indices.flatten())
+        key, n = np.concatenate([keys, key]), np.concatenate([values, np.asarray(counts.flatten()).astype(np.int64)])
+        if len(key):
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            keys, values = key[first], np.add.reduceat(n, first)
+        if len(keys) > HELD:
+            yield rows()
+            names, keys, values = {}, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    yield rows()
 
 
 def term_shards_for(text_bytes: int) -> int:
@@ -66,10 +119,10 @@ def group_counts(docs: DataFrame, min_docs: int = 30, term_shards: int = 1) -> t
     spark, texts = docs.sparkSession, _texts(docs)
     terms, counts = [], []
     for part in range(term_shards):
-        own = terms_of(F.col("text"))
+        tokens = texts.mapInArrow(_tokens, "source string, tokens array<string>")
         if term_shards > 1:
-            own = F.filter(own, lambda t: F.pmod(F.xxhash64(t), F.lit(term_shards)) == part)
-        tokens = texts.select("source", F.transform(own, lambda t: F.concat("lang", F.lit(BREAK), t)).alias("tokens"))
+            mine = F.filter("tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(term_shards)) == part)
+            tokens = tokens.select("source", mine.alias("tokens"))
         # The fit refuses an empty vocabulary: a token that is no term is always in it.
         filler = spark.range(min_docs).select(F.array(F.lit(BREAK)).alias("tokens"))
         model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(
@@ -78,8 +131,8 @@ def group_counts(docs: DataFrame, min_docs: int = 30, term_shards: int = 1) -> t
         vocabulary = settle(spark.createDataFrame(found, "at int, lang string, term string"), "vocabulary")
         # A sparse vector's stored indices and values; the counts are whole numbers.
         vector = F.unwrap_udt("vector")
-        pairs = model.transform(tokens).select("source", F.explode(F.arrays_zip(vector["indices"], vector["values"])).alias("pair"))
-        sums = pairs.groupBy("source", F.col("pair.indices").alias("at")).agg(F.sum(F.col("pair.values").cast("long")).alias("n"))
+        vectors = model.transform(tokens).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+        sums = vectors.mapInArrow(_sums, "source string, at int, n long").groupBy("source", "at").agg(F.sum("n").alias("n"))
         counts.append(settle(sums.join(vocabulary, "at").select("lang", "source", "term", "n"), "counts"))
         terms.append(vocabulary.select("lang", "term"))
     return reduce(DataFrame.unionByName, terms), reduce(DataFrame.unionByName, counts)

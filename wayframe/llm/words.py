@@ -106,9 +106,9 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         row = end
 
 
-def words(texts: Texts) -> Words:
-    """Where the words of each text are."""
-    word = ~SPACE[texts.data]
+def words(texts: Texts, inside: np.ndarray | None = None) -> Words:
+    """Where the words of each text are; ``inside`` are the bytes of words, if not all but space."""
+    word = ~SPACE[texts.data] if inside is None else inside
     breaks = np.zeros(len(word) + 1, bool)
     breaks[texts.offsets] = True
     before = np.empty_like(word)
