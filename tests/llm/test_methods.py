@@ -126,7 +126,7 @@ def test_perplexity_equals_a_plain_kneser_ney(spark):
     texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 30))) for _ in range(60)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     trained = kneser_ney.train(frame.where("doc_id < 40").select("text"))
-    got = {r.doc_id: (r.n_pairs, r.log_perplexity) for r in kneser_ney.score(frame, trained, shards=3, replicas=2).collect()}
+    got = {r.doc_id: (r.n_pairs, r.log_perplexity) for r in kneser_ney.score(frame, trained, shards=3).collect()}
 
     def ids(text):
         t = one_slice([text])
@@ -182,7 +182,7 @@ def test_three_words_are_told_from_their_pairs(spark):
     texts = ["a b c", "d b e"] * 20
     frame = spark.createDataFrame([*enumerate(texts), (99, "a b e"), (100, "a zz b")], "doc_id long, text string")
     trained = kneser_ney.train(frame.where("doc_id < 40").select("text"), 3)
-    got = {r.doc_id: (r.n_pairs, r.log_perplexity) for r in kneser_ney.score(frame, trained, shards=3, replicas=2).collect()}
+    got = {r.doc_id: (r.n_pairs, r.log_perplexity) for r in kneser_ney.score(frame, trained, shards=3).collect()}
     assert got[0][0] == 4 and got[99][1] > got[0][1] + 0.2
     # Below the spare mass of its context a word never seen has one of IDS parts of the unseen mass.
     # Words a, b, c, d, e and the end follow 1, 2, 1, 1, 1 and 2 different words: counts of counts 4 and 2.
@@ -397,21 +397,63 @@ def test_scripts_and_spans(spark):
 # Pseudo-likelihood
 
 
-def test_scores_are_sums_of_conditionals(spark):
-    docs = [(1, "a b a b a b a b c"), (2, "b"), (3, "c c c a")] * 30
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    network, classes = pseudo_likelihood.train(frame, rounds=1)
-    got = {r.doc_id: r for r in pseudo_likelihood.score(frame, network, classes).collect()}
+def test_scores_are_sums_of_conditionals(spark, monkeypatch):
+    frequent = " ".join(f"w{k}" for k in range(pseudo_likelihood.NAMED))
+    docs = [(1, "a b a b a b a b c"), (2, "b"), (3, "c c c Añb1. a zz")] * 30
+    frame = spark.createDataFrame(docs + [(9, frequent)] * 40, "doc_id long, text string")
+    network, vocabulary, table = pseudo_likelihood.train(frame, rounds=1)
+    got = {r.doc_id: r for r in pseudo_likelihood.score(frame, network, vocabulary, table).collect()}
+    spelt = 0
     for doc, text in docs[:3]:
-        ids, _, around = pseudo_likelihood.window_ids(one_slice([text]), classes)
+        ids, _, around = pseudo_likelihood.window_ids(one_slice([text]), vocabulary)
         total = 0.0
         for k, i in enumerate(ids):
             for p, at in enumerate((k - 2, k - 1, k + 1, k + 2)):
                 assert around[k, p] == (ids[at] if 0 <= at < len(ids) else pseudo_likelihood.EDGE)
-            hidden = np.tanh(sum(network.inputs[p][around[k, p]].astype(float) for p in range(4)) + network.bias)
-            logits = hidden @ network.output + network.level
-            total += logits[i] - np.log(np.exp(logits).sum())
+            rows = [network.inputs[p * (pseudo_likelihood.CLASSES + 1) + around[k, p]].astype(float) for p in range(4)]
+            hidden = np.tanh(sum(rows) + network.bias)
+            group, member = divmod(int(i), pseudo_likelihood.MEMBERS)
+            for logits, chosen in ((hidden @ network.groups + network.group_level, group),
+                                   (hidden @ network.members[group] + network.member_level[group], member)):
+                total += logits[chosen] - np.log(np.exp(logits).sum())
+            if i >= pseudo_likelihood.NAMED:
+                spelt += 1
+                symbols = [32, 32, *[b if b < 128 else 128 + b % 32 for b in text.split()[k].encode()], 32]
+                total += sum(table[(x * 160 + y) * 160 + z] for x, y, z in zip(symbols, symbols[1:], symbols[2:]))
+                total -= math.log(4) * sum(b >= 128 for b in text.split()[k].encode())
         assert got[doc].n_words == len(ids) and got[doc].pseudo_likelihood == pytest.approx(total, rel=1e-3)
+    assert spelt
+
+
+def test_spelling_is_a_distribution_over_symbols():
+    rng = np.random.default_rng(3)
+    codes = rng.choice(pseudo_likelihood.SYMBOLS**3, 500, replace=False)
+    table = pseudo_likelihood.spelling_table(codes, rng.integers(1, 50, 500)).reshape(-1, pseudo_likelihood.SYMBOLS)
+    assert np.exp(table.astype(float)).sum(axis=1) == pytest.approx(np.ones(len(table)), abs=1e-4)
+
+
+def test_prose_scores_above_shuffled_words_above_gibberish(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en' and length(text) > 300")
+    held = [r.text for r in docs.orderBy("doc_id").limit(40).collect()]
+    model = pseudo_likelihood.train(docs.where(~docs.text.isin(held)))
+    rng, rows = random.Random(5), []
+    for k, text in enumerate(held):
+        words = text.split()
+        mixed = rng.sample(words, len(words))
+        noise = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in words]
+        rows += [(3 * k + j, " ".join(w)) for j, w in enumerate((words, mixed, noise))]
+    got = {r.doc_id: r.mean_log_probability for r in pseudo_likelihood.score(spark.createDataFrame(rows, "doc_id long, text string"), *model).collect()}
+    prose, mixed, noise = (np.array([got[3 * k + j] for k in range(len(held))]) for j in range(3))
+    assert prose.mean() > mixed.mean() > noise.mean()
+    assert (prose > mixed).mean() > 0.9 and (mixed > noise).all()
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "CHUNK", 4000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, eight = ({r.doc_id: r.pseudo_likelihood for r in pseudo_likelihood.score(d, *pseudo_likelihood.train(d)).collect()}
+                  for d in (docs.coalesce(1), docs.repartition(8)))
+    assert one == pytest.approx(eight, rel=1e-4)
 
 
 def test_training_raises_the_likelihood(spark):
