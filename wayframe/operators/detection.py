@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wayframe.operators.matching import match_boxes
+from wayframe.operators.matching import match_claims
 from wayframe.operators.running import running_totals
 from wayframe.sources.scratch import settle
 
@@ -29,8 +29,7 @@ def operating_points(
     curve independent of their order. ``slices`` maps ``frame`` to ``slice``; every frame
     also counts towards ``overall``.
     """
-    matches = match_boxes(pred, gt, thresholds)
-    ladder = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("iou_threshold")
+    claims = match_claims(pred, gt, thresholds)
 
     def sliced(df: DataFrame) -> DataFrame:
         everything = df.withColumn("slice", F.lit("overall"))
@@ -38,24 +37,19 @@ def operating_points(
             return everything
         return everything.unionByName(df.join(slices.select("frame", "slice"), "frame"))
 
-    # Counting predictions and hits apart keeps the ladder off the prediction rows.
+    # The ladder stays a handful of columns until every prediction and hit is counted.
+    steps = [f"tp{k}" for k in range(len(thresholds))]
     seen = pred.groupBy("frame", "cls", "conf").agg(F.count("*").alias("n_pred"))
     seen = sliced(seen).groupBy("slice", "cls", "conf").agg(F.sum("n_pred").alias("n_pred"))
-    seen = seen.select("*", ladder)
-    hits = matches.groupBy("frame", "cls", "iou_threshold", "conf").agg(
-        F.count("*").alias("n_hit")
-    )
-    hits = sliced(hits).groupBy("slice", "cls", "iou_threshold", "conf").agg(
-        F.sum("n_hit").alias("tp")
-    )
+    hits = claims.groupBy("frame", "cls", "conf").agg(
+        *[F.sum(F.getbit("reached", F.lit(k)).cast("long")).alias(step) for k, step in enumerate(steps)])
+    hits = sliced(hits).groupBy("slice", "cls", "conf").agg(*[F.sum(step).alias(step) for step in steps])
     keys = ["slice", "cls", "iou_threshold"]
-    points = settle(
-        seen.join(hits, [*keys, "conf"], "left").select(
-            *keys, "conf", F.coalesce("tp", F.lit(0)).alias("tp"),
-            (F.col("n_pred") - F.coalesce("tp", F.lit(0))).alias("fp"),
-        ),
-        "operating-points",
-    )
+    ladder = F.array(*[
+        F.struct(F.lit(float(t)).alias("iou_threshold"), F.coalesce(step, F.lit(0)).alias("tp"))
+        for t, step in zip(thresholds, steps)])
+    points = seen.join(hits, ["slice", "cls", "conf"], "left").select("slice", "cls", "conf", "n_pred", F.inline(ladder))
+    points = settle(points.select(*keys, "conf", "tp", (F.col("n_pred") - F.col("tp")).alias("fp")), "operating-points")
     truth = gt.groupBy("frame", "cls").agg(F.count("*").alias("n_gt"))
     truth = sliced(truth).groupBy("slice", "cls").agg(F.sum("n_gt").alias("n_gt"))
     curve = running_totals(points, keys, "conf", ["tp", "fp"], descending=True)

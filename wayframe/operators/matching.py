@@ -8,8 +8,9 @@ equal confidence goes to the smaller prediction id, equal overlap to the smaller
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayframe.functions.geometry import IMAGE_WIDTH, iou, visibility_at_least
 from wayframe.functions.taxonomy import class_index
@@ -17,6 +18,7 @@ from wayframe.sources.scratch import settle
 
 CORNERS = ("x_min", "y_min", "x_max", "y_max")
 MATCH_COLUMNS = ("frame", "cls", "iou_threshold", "pred_id", "gt_id", "conf", "iou")
+CLAIM_COLUMNS = ("frame", "cls", "pred_id", "gt_id", "conf", "iou", "reached")
 # Above this many prediction-truth pairs a (frame, class) is matched by rounds of joins
 # instead of in one row.
 FOLD_LIMIT = 250_000
@@ -86,47 +88,51 @@ def _gridded_pairs(pred: DataFrame, gt: DataFrame, iou_min: float) -> DataFrame:
     )
 
 
-def _per_threshold(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
-    if len(thresholds) == 1:
-        return pairs.withColumn("iou_threshold", F.lit(float(thresholds[0])))
-    reached = F.filter(
-        F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: t <= F.col("iou")
-    )
-    return pairs.withColumn("iou_threshold", F.explode(reached))
+def _reach(thresholds: Sequence[float]) -> Column:
+    """A bit for each threshold that a pair's IoU reaches."""
+    bits = [F.when(F.col("iou") >= F.lit(float(t)), F.lit(1 << k)).otherwise(F.lit(0)) for k, t in enumerate(thresholds)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits).cast("long")
+
+
+def _per_threshold(matches: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """One row per match and threshold from rows with ``reached`` bits."""
+    ladder = F.array(*[F.struct(F.lit(float(t)).alias("t"), F.lit(1 << k).cast("long").alias("bit")) for k, t in enumerate(thresholds)])
+    held = F.transform(F.filter(ladder, lambda x: x["bit"].bitwiseAND(F.col("reached")) != 0), lambda x: x["t"])
+    return matches.withColumn("iou_threshold", F.explode(held)).select(*MATCH_COLUMNS)
 
 
-def _claim_in_order(pairs: DataFrame) -> DataFrame:
-    """Resolve each small group in one row: fold over its pairs in claiming order."""
+def _claim_in_order(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """Resolve each small group in one row: one fold over its pairs in claiming order.
+
+    The thresholds are bits of a number that every claim carries: a pair claims at those
+    that it reaches and at which neither of its boxes is taken yet. So pairs are shuffled
+    and folded once, however many thresholds there are.
+    """
     entry = F.struct(
-        (-F.col("conf")).alias("rank"), "pred_id", (-F.col("iou")).alias("far"), "gt_id"
-    )
-    groups = pairs.groupBy("frame", "cls", "iou_threshold").agg(
-        F.array_sort(F.collect_list(entry)).alias("pairs")
+        (-F.col("conf")).alias("rank"), "pred_id", (-F.col("iou")).alias("far"), "gt_id", _reach(thresholds).alias("open")
     )
+    groups = pairs.groupBy("frame", "cls").agg(F.array_sort(F.collect_list(entry)).alias("pairs"))
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    match = f"struct<pred_id:{fields['pred_id']},gt_id:{fields['gt_id']},conf:double,iou:double>"
+    match = f"struct<pred_id:{fields['pred_id']},gt_id:{fields['gt_id']},conf:double,iou:double,reached:bigint>"
 
-    def claim(done, pair):
-        taken = F.exists(
-            done, lambda m: (m["pred_id"] == pair["pred_id"]) | (m["gt_id"] == pair["gt_id"])
-        )
-        made = F.struct(
+    def made(pair: Column, reached: Column) -> Column:
+        return F.struct(
             pair["pred_id"].alias("pred_id"), pair["gt_id"].alias("gt_id"),
-            (-pair["rank"]).alias("conf"), (-pair["far"]).alias("iou"),
+            (-pair["rank"]).alias("conf"), (-pair["far"]).alias("iou"), reached.alias("reached"),
         )
-        return F.when(taken, done).otherwise(F.array_append(done, made))
+
+    def claim(done, pair):
+        own = F.filter(done, lambda m: (m["pred_id"] == pair["pred_id"]) | (m["gt_id"] == pair["gt_id"]))
+        taken = F.aggregate(own, F.lit(0).cast("long"), lambda bits, m: bits.bitwiseOR(m["reached"]))
+        free = pair["open"].bitwiseAND(F.bitwise_not(taken))
+        return F.when(free == 0, done).otherwise(F.array_append(done, made(pair, free)))
 
     # Most groups hold a single pair, which needs no fold.
     only = F.col("pairs")[0]
-    single = F.array(
-        F.struct(
-            only["pred_id"].alias("pred_id"), only["gt_id"].alias("gt_id"),
-            (-only["rank"]).alias("conf"), (-only["far"]).alias("iou"),
-        )
-    ).cast(f"array<{match}>")
+    single = F.array(made(only, only["open"])).cast(f"array<{match}>")
     folded = F.aggregate("pairs", F.array().cast(f"array<{match}>"), claim)
     claims = F.when(F.size("pairs") == 1, single).otherwise(folded)
-    return groups.select("frame", "cls", "iou_threshold", F.inline(claims)).select(*MATCH_COLUMNS)
+    return groups.select("frame", "cls", F.inline(claims)).select(*CLAIM_COLUMNS)
 
 
 def _claim_by_rounds(pairs: DataFrame) -> DataFrame:
@@ -163,14 +169,14 @@ def _claim_by_rounds(pairs: DataFrame) -> DataFrame:
     return done
 
 
-def match_boxes(
+def match_claims(
     pred: DataFrame,
     gt: DataFrame,
     thresholds: Sequence[float] = (0.5,),
     *,
     fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
-    """Greedy matches per (frame, class, IoU threshold), as ``MATCH_COLUMNS``.
+    """Greedy matches per (frame, class), as ``CLAIM_COLUMNS``: the thresholds a pair matches at are bits.
 
     Both inputs are read twice, so they should be stored tables (see ``settle``). Group
     sizes are counted first. Ordinary groups are folded in one row each; groups
@@ -191,16 +197,28 @@ def match_boxes(
         "crowded",
     )
     if crowded.isEmpty():
-        return _claim_in_order(_per_threshold(overlapping_pairs(pred, gt, lowest), thresholds))
+        return _claim_in_order(overlapping_pairs(pred, gt, lowest), thresholds)
 
     def part(df: DataFrame, how: str) -> DataFrame:
         return df.join(crowded, ["frame", "cls"], how)
 
     ordinary = overlapping_pairs(part(pred, "left_anti"), part(gt, "left_anti"), lowest)
     dense = _gridded_pairs(part(pred, "left_semi"), part(gt, "left_semi"), lowest)
-    return _claim_in_order(_per_threshold(ordinary, thresholds)).unionByName(
-        _claim_by_rounds(_per_threshold(dense, thresholds))
-    )
+    rounds = _claim_by_rounds(_per_threshold(dense.withColumn("reached", _reach(thresholds)), thresholds))
+    bit = reduce(lambda x, kt: x.when(F.col("iou_threshold") == kt[1], 1 << kt[0]), enumerate(map(float, thresholds)), F).cast("long")
+    rounds = rounds.groupBy("frame", "cls", "pred_id", "gt_id", "conf", "iou").agg(F.sum(bit).alias("reached"))
+    return _claim_in_order(ordinary, thresholds).unionByName(rounds.select(*CLAIM_COLUMNS))
+
+
+def match_boxes(
+    pred: DataFrame,
+    gt: DataFrame,
+    thresholds: Sequence[float] = (0.5,),
+    *,
+    fold_limit: int = FOLD_LIMIT,
+) -> DataFrame:
+    """The matches of :func:`match_claims` with a row per threshold, as ``MATCH_COLUMNS``."""
+    return _per_threshold(match_claims(pred, gt, thresholds, fold_limit=fold_limit), thresholds)
 
 
 def score_frames(
