@@ -232,3 +232,18 @@ def test_search_by_image_with_thumbnails(spark, tmp_path):
     stored = stores.open_store(spark, store)
     hits = search.with_context(search.search_image(stored, bytes([3] * 9), 1, embedder), stored).collect()
     assert [(r.sample_data_token, bytes(r.thumbnail)) for r in hits] == [("d3", bytes([3]))]
+
+
+def test_mining_finds_every_frame_it_was_asked_for(spark):
+    # Three clusters of one centre: with a fixed overfetch the later ones find nothing free.
+    pool = spark.createDataFrame(
+        [(f"p{k:02d}", [1.0, k / 40]) for k in range(30)], f"{TOKEN} string, vector array<double>")
+    centers = spark.createDataFrame([(c, [1.0, 0.0]) for c in range(3)], "cluster int, vector array<double>")
+    quotas = {0: 5, 1: 4, 2: 3}
+    short = mining.mine(centers, pool, quotas, 12, overfetch=1)
+    assert short.count() < 12
+    whole = {r[TOKEN]: r.cluster for r in mining.mine(centers, pool, quotas, 12).collect()}
+    assert whole == {f"p{k:02d}": 0 if k < 5 else 1 if k < 9 else 2 for k in range(12)}
+    assert mining.mine(centers, pool, quotas, 20).count() == 20
+    assert mining.mine(centers, pool, quotas, 50).count() == 30 == mining.mine(centers, pool, {0: 100, 1: 7}, 107).count()
+    assert mining.fetch_depths(quotas, 12) == {0: 5, 1: 9, 2: 12} and mining.fetch_depths({0: 0, 1: 3}, 5) == {0: 0, 1: 5}

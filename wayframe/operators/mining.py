@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -67,8 +68,8 @@ def select_mined(candidates: DataFrame, quotas: dict[int, int], n: int) -> DataF
 
     Clusters choose in descending quota order; each takes its nearest frames that no
     earlier cluster took. What is still missing is filled with the nearest left over,
-    whichever cluster they were fetched for. The candidate set is n times the overfetch
-    factor; every step reads and writes at most that much.
+    whichever cluster they were fetched for. The candidates are at most n for each cluster
+    (see :func:`fetch_depths`); every step reads and writes at most that much.
     """
     candidates = settle(candidates.select("cluster", TOKEN, "score"), "candidates")
     nearest = [F.desc("score"), F.asc(TOKEN)]
@@ -89,11 +90,32 @@ def select_mined(candidates: DataFrame, quotas: dict[int, int], n: int) -> DataF
     return mined
 
 
+def fetch_depths(quotas: dict[int, int], n: int) -> dict[int, int]:
+    """How many of its nearest frames each cluster must see for the selection to be complete.
+
+    Clusters choose in turn. Those before and at a cluster's turn take as many frames as
+    their quotas add up to, so among so many of its nearest there are as many free ones as
+    its quota, unless they are the whole pool. Where the quotas leave some of the n frames
+    open, the best left over is always among some cluster's n nearest: all frames nearer to
+    that cluster are taken or come before it. So no deeper fetch could change a choice.
+    """
+    order = sorted((c for c in quotas if quotas[c] > 0), key=lambda c: (-quotas[c], c))
+    depths = dict(zip(order, accumulate(quotas[c] for c in order)))
+    if sum(quotas[c] for c in order) < n:
+        depths = dict.fromkeys(order, n)
+    return {c: depths.get(c, 0) for c in quotas}
+
+
 def mine(
-    centroids: DataFrame, pool: DataFrame, quotas: dict[int, int], n: int, overfetch: int = 4
+    centroids: DataFrame, pool: DataFrame, quotas: dict[int, int], n: int, overfetch: int | None = None
 ) -> DataFrame:
-    """Mined frames ``sample_data_token, cluster, score, distance`` from a vector pool."""
-    fetch = F.create_map(*[F.lit(x) for c, q in quotas.items() for x in (c, q * overfetch)])
+    """Mined frames ``sample_data_token, cluster, score, distance`` from a vector pool.
+
+    Exactly n frames, or the whole pool where it is smaller. With ``overfetch`` each cluster
+    sees that multiple of its quota only, and crowded clusters may leave some of the n open.
+    """
+    depths = fetch_depths(quotas, n) if overfetch is None else {c: q * overfetch for c, q in quotas.items()}
+    fetch = F.create_map(*[F.lit(x) for c, k in depths.items() for x in (c, k)])
     queries = centroids.select(
         F.col("cluster").alias("query_id"), "vector", fetch[F.col("cluster")].alias("k")
     )
@@ -122,7 +144,7 @@ def run_mining(
     top_k: int = 1000,
     n_clusters: int = 8,
     n_mine: int = 1500,
-    overfetch: int = 4,
+    overfetch: int | None = None,
     seed: int = 64,
     restarts: int = 10,
 ) -> Mining:

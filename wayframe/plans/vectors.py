@@ -150,7 +150,9 @@ view("candidates", f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, sample_data_token)
             AS rank FROM {{centroid_scores}} WHERE label <= 6)
     JOIN {_QUOTAS} ON query_id = cluster WHERE rank <= quota * {OVERFETCH} GROUP BY ALL""")
-view("picking", """
+def _picking(own: str, candidates: str) -> str:
+    """A turn per row: what is taken so far and the cluster's picks."""
+    return f"""
     SELECT CAST(0 AS INT) AS turn, CAST([] AS VARCHAR[]) AS taken,
       CAST(NULL AS INT) AS cluster, CAST([] AS STRUCT(t VARCHAR, s DOUBLE)[]) AS picks
     UNION ALL
@@ -158,7 +160,10 @@ view("picking", """
       picks
     FROM (SELECT c.turn, p.taken, c.cluster,
             list_filter(c.found, lambda f: NOT list_contains(p.taken, f.t))[:c.quota] AS picks
-          FROM picking p JOIN {candidates} c ON c.turn = p.turn + 1)""")
+          FROM {own} p JOIN {{{candidates}}} c ON c.turn = p.turn + 1)"""
+
+
+view("picking", _picking("picking", "candidates"))
 view("first_picks", """
     SELECT cluster, p.t AS sample_data_token, p.s AS score
     FROM (SELECT cluster, unnest(picks) AS p FROM {picking})""")
@@ -184,6 +189,39 @@ def mined_frames(spark, d):
     return rounded(mined, "score", "distance")
 
 
+# Six clusters of one centre: all but the first find their own nearest frames taken.
+view("crowded_scores", """
+    SELECT q.query_id, s.sample_data_token, s.label, s.score FROM {centroid_scores} s
+    JOIN (SELECT unnest(range(10)) AS query_id) q ON s.query_id = CASE WHEN q.query_id < 6 THEN 0 ELSE q.query_id END""")
+view("crowded_candidates", f"""
+    SELECT turn, cluster, quota, list({{{{'t': sample_data_token, 's': score}}}}
+      ORDER BY score DESC, sample_data_token) AS found
+    FROM (SELECT * FROM {{crowded_scores}} WHERE label <= 6) JOIN {_QUOTAS} ON query_id = cluster GROUP BY ALL""")
+view("crowded_picking", _picking("crowded_picking", "crowded_candidates"))
+view("crowded_picks", """
+    SELECT cluster, p.t AS sample_data_token, p.s AS score
+    FROM (SELECT cluster, unnest(picks) AS p FROM {crowded_picking})""")
+
+
+@query("W7 J15 W1 U2", f"""
+    SELECT CAST(cluster AS INT) AS cluster, sample_data_token, {r6("score")} AS score, {r6("1 - score")} AS distance
+    FROM (SELECT * FROM {{crowded_picks}} UNION ALL (
+      SELECT cluster, sample_data_token, score FROM (
+        SELECT cluster, f.t AS sample_data_token, f.s AS score, row_number() OVER
+          (PARTITION BY f.t ORDER BY f.s DESC, turn) AS again
+        FROM (SELECT cluster, turn, unnest(found) AS f FROM {{crowded_candidates}})
+        WHERE f.t NOT IN (SELECT sample_data_token FROM {{crowded_picks}}))
+      WHERE again = 1 QUALIFY row_number() OVER (ORDER BY score DESC, sample_data_token)
+        <= {N_MINE} - (SELECT count(*) FROM {{crowded_picks}})))""")
+def mined_to_completion(spark, d):
+    """Every quota is filled and N_MINE frames are found, though the clusters crowd each other out."""
+    vectors = table(spark, d, "vectors")
+    centers = settle(_centroids(vectors), "centroids")
+    same = centers.filter("query_id = 0").select(F.explode(F.sequence(F.lit(0), F.lit(5))).alias("cluster"), "vector")
+    centroids = same.unionByName(centers.filter("query_id >= 6").select(F.col("query_id").cast("int").alias("cluster"), "vector"))
+    return rounded(mining.mine(centroids, vectors.filter(F.col("label") <= 6), QUOTA_BY_LABEL, N_MINE), "score", "distance")
+
+
 def _mining_run(spark, d):
     vectors = table(spark, d, "vectors")
     score = F.length("scene_name").cast("double") + F.col("label")
