@@ -141,6 +141,19 @@ def test_divergence_equals_brute_force(spark, monkeypatch, shards):
     assert got == brute_divergence(SPREAD, 3, 2)
 
 
+def test_document_vectors_are_those_of_the_fitted_model(spark):
+    from pyspark.ml.feature import CountVectorizer
+    import pyarrow as pa
+
+    texts = frame(spark, SPREAD, clash=False).selectExpr("coalesce(text, '') AS text", "coalesce(lang, '') AS lang", "coalesce(source, '') AS source")
+    tokens = texts.mapInArrow(divergence._tokens, "source string, tokens array<string>").select("tokens")
+    model = CountVectorizer(inputCol="tokens", outputCol="v", minDF=3.0, vocabSize=2**31 - 1).fit(tokens)
+    rows = model.transform(tokens).collect()
+    doc, at, n = divergence.document_vectors(pa.array([r.tokens for r in rows], pa.list_(pa.string())), pa.array(model.vocabulary))
+    assert list(zip(doc.tolist(), at.tolist(), n.tolist())) == [
+        (k, i, int(x)) for k, r in enumerate(rows) for i, x in zip(r.v.indices.tolist(), r.v.values)]
+
+
 def test_divergence_of_odd_rows(spark):
     for rows in (ODD, []):
         got = sorted(tuple(r) for r in divergence.audit(frame(spark, rows), 2).collect())

@@ -2,8 +2,10 @@
 
 Terms are counted by CountVectorizer with ``minDF`` and no limit of the vocabulary. Every
 token carries its document's language, so that one fit serves all languages: a token's
-document frequency is the term's in that language. The fitted model turns each document into
-its exact sparse vector; the vectors are summed per source (the sums are kept sparse: a row
+document frequency is the term's in that language. The model's vocabulary then turns each
+document into its exact sparse vector, in Arrow batches where the tokens are made (what the
+model's own transform gives, without moving every token into the JVM and back a second time;
+the two are compared in the tests); the vectors are summed per source (the sums are kept sparse: a row
 per source and term, combined in the tasks before they are shuffled, so that a hot source
 is as many partial sums as there are tasks). A language's sums follow from its sources'.
 
@@ -35,6 +37,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -81,29 +84,50 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("source").slice(texts.first, len(texts)), tokens_of(texts, langs[own])], names=["source", "tokens"])
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of sparse vectors per source, as far as a task holds them."""
-    names: dict[str, int] = {}
-    keys, values = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def rows() -> pa.RecordBatch:
-        sources = pa.array(list(names), pa.string()).take(pa.array(keys >> 32))
-        return pa.RecordBatch.from_arrays([sources, pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(values)], names=["source", "at", "n"])
-
-    for batch in batches:
-        own = np.array([names.setdefault(s, len(names)) for s in batch.column("source").to_pylist()], np.int64)
-        indices, counts = batch.column("indices"), batch.column("values")
-        key = np.repeat(own, np.asarray(indices.value_lengths())) << 32 | np.asarray(indices.flatten())
-        key, n = np.concatenate([keys, key]), np.concatenate([values, np.asarray(counts.flatten()).astype(np.int64)])
-        if len(key):
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
-            first = np.flatnonzero(np.diff(key, prepend=-1))
-            keys, values = key[first], np.add.reduceat(n, first)
-        if len(keys) > HELD:
+def document_vectors(tokens: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse vectors that a fitted model gives lists of tokens, as (document, index, count)."""
+    at = pc.index_in(tokens.values, value_set=vocabulary)
+    doc = np.repeat(np.arange(len(tokens)), np.asarray(tokens.value_lengths()))
+    known = np.asarray(at.is_valid())
+    key, n = np.unique(doc[known] << 32 | np.asarray(at.drop_null()).astype(np.int64), return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, n
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _sums(vocabulary: pa.Array):
+    """Sums of documents' vectors per source, as far as a task holds them."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def rows() -> pa.RecordBatch:
+            key, n = _summed(*map(np.concatenate, zip(*parts)))
+            sources = pa.array(list(names), pa.string()).take(pa.array(key >> 32))
+            return pa.RecordBatch.from_arrays([sources, pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["source", "at", "n"])
+
+        for batch in _tokens(batches):
+            doc, at, n = document_vectors(batch.column("tokens"), vocabulary)
+            own = np.array([names.setdefault(s, len(names)) for s in batch.column("source").to_pylist()], np.int64)
+            parts.append(_summed(own[doc] << 32 | at, n))
+            held += len(parts[-1][0])
+            if held > HELD:
+                parts = [_summed(*map(np.concatenate, zip(*parts)))]
+                held = len(parts[0][0])
+                if held > HELD // 2:
+                    yield rows()
+                    names, parts, held = {}, [], 0
+        if parts:
             yield rows()
-            names, keys, values = {}, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    yield rows()
+
+    return sums
 
 
 def term_shards_for(text_bytes: int) -> int:
@@ -119,20 +143,17 @@ def group_counts(docs: DataFrame, min_docs: int = 30, term_shards: int = 1) -> t
     spark, texts = docs.sparkSession, _texts(docs)
     terms, counts = [], []
     for part in range(term_shards):
-        tokens = texts.mapInArrow(_tokens, "source string, tokens array<string>")
+        tokens = texts.mapInArrow(_tokens, "source string, tokens array<string>").select("tokens")
         if term_shards > 1:
-            mine = F.filter("tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(term_shards)) == part)
-            tokens = tokens.select("source", mine.alias("tokens"))
+            tokens = tokens.select(F.filter("tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(term_shards)) == part).alias("tokens"))
         # The fit refuses an empty vocabulary: a token that is no term is always in it.
         filler = spark.range(min_docs).select(F.array(F.lit(BREAK)).alias("tokens"))
         model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1).fit(
-            tokens.select("tokens").unionByName(filler))
+            tokens.unionByName(filler))
         found = [(at, *token.rpartition(BREAK)[::2]) for at, token in enumerate(model.vocabulary) if token != BREAK]
         vocabulary = settle(spark.createDataFrame(found, "at int, lang string, term string"), "vocabulary")
-        # A sparse vector's stored indices and values; the counts are whole numbers.
-        vector = F.unwrap_udt("vector")
-        vectors = model.transform(tokens).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
-        sums = vectors.mapInArrow(_sums, "source string, at int, n long").groupBy("source", "at").agg(F.sum("n").alias("n"))
+        sums = texts.mapInArrow(_sums(pa.array(model.vocabulary, pa.string())), "source string, at int, n long").groupBy("source", "at").agg(
+            F.sum("n").alias("n"))
         counts.append(settle(sums.join(vocabulary, "at").select("lang", "source", "term", "n"), "counts"))
         terms.append(vocabulary.select("lang", "term"))
     return reduce(DataFrame.unionByName, terms), reduce(DataFrame.unionByName, counts)
