@@ -9,11 +9,8 @@ from wayframe.plans.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(4, shuffle_partitions=4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
-    yield session
+def spark():
+    yield local_session(4, shuffle_partitions=4)
 
 
 def rows(df):

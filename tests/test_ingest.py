@@ -3,8 +3,11 @@
 import os
 import json
 import struct
+import subprocess
+import sys
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,6 +314,57 @@ def test_a_scope_leaves_no_scratch_behind(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
 
 
+def test_scratch_without_a_shared_folder(tmp_path):
+    # A session of its own, without the machine's defaults.
+    code = """
+from wayframe.plans.session import local_session
+from wayframe.sources import scratch
+spark = local_session(1)
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert scratch.settle(spark.range(3)).count() == 3
+assert scratch.scratch_root(spark) == scratch.scratch_root(spark)
+"""
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+def _unpng(raw):
+    width, height, _, kind = struct.unpack(">IIBB", raw[16:26])
+    channels = {0: 1, 2: 3, 6: 4}[kind]
+    size = struct.unpack(">I", raw[33:37])[0]
+    lines = np.frombuffer(zlib.decompress(raw[41: 41 + size]), np.uint8).reshape(height, -1)
+    assert (lines[:, 0] == 0).all()
+    return lines[:, 1:].reshape(height, width, channels)
+
+
+def test_thumbnails_are_bounded_means(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    image = rng.integers(0, 256, (9, 14, 3)).astype(np.uint8)
+    small = pixels.shrunk(image, 5)
+    assert small.shape == (3, 5, 3) and pixels.shrunk(image, 14) is image
+    block = image[3:6, 14 * 2 // 5: 14 * 3 // 5].reshape(-1, 3).astype(int)
+    assert small[1, 2].tolist() == [(2 * t + len(block)) // (2 * len(block)) for t in block.sum(axis=0).tolist()]
+    assert pixels.shrunk(image[:, :1], 2).shape == (2, 1, 3)
+    assert (_unpng(pixels.png(image)) == image[:, :, ::-1]).all()
+    assert (_unpng(pixels.png(image[:, :, :1])) == image[:, :, :1]).all()
+    (tmp_path / "a.png").write_bytes(pixels.png(image))
+    (tmp_path / "c.png").write_bytes(b"junk")
+    read = tables.read_images(spark, str(tmp_path)).withColumn("thumb", pixels.thumbnail("height", "width", "n_channels", "data", 5))
+    got = {r.path.rsplit("/", 1)[-1]: r.thumb for r in read.collect()}
+    assert got["c.png"] is None and (_unpng(got["a.png"]) == small[:, :, ::-1]).all()
+
+
+def test_listing_takes_each_folder_alone(spark, tmp_path):
+    for name in ("a/x.jpg", "a/k=1/y.jpg", "a/deep/z.jpg", "b/w w+%41.jpg", "top.jpg"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"")
+    folders = spark.createDataFrame([("a",), ("a/k=1",), ("b",), ("none",), ("a",), ("",)], "directory string")
+    for batch in (1, 100):
+        assert rows(tables.list_files(folders, str(tmp_path), batch)) == [("a/k=1/y.jpg",), ("a/x.jpg",), ("b/w w+%41.jpg",), ("top.jpg",)]
+    assert tables.list_files(folders.limit(0), str(tmp_path)).count() == 0
+
+
 def test_json_files_grow_in_number_not_in_rows(spark, tmp_path):
     from wayframe.plans import files
 

@@ -12,6 +12,7 @@ from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
+from wayframe.functions.pixels import thumbnail
 from wayframe.functions.vectors import EPSILON
 from wayframe.operators.manifest import not_done, only_present
 from wayframe.sources import vectors
@@ -29,6 +30,7 @@ class Embedder(Protocol):
     name: str
 
     def embed(self, df: DataFrame, column: str) -> DataFrame: ...
+IMAGE_COLUMNS = ("height", "width", "n_channels", "data")
 
 
 @dataclass(frozen=True)
@@ -76,8 +78,10 @@ class FunctionEmbedder:
         return df.withColumn("vector", encode(F.col(column)))
 
 
-def _stored_rows(todo: DataFrame, embedder: Embedder, column: str) -> DataFrame:
+def _stored_rows(todo: DataFrame, embedder: Embedder, column: str, thumbnail_side: int | None = None) -> DataFrame:
     embedded = embedder.embed(todo.filter(F.col(column).isNotNull()), column)
+    if thumbnail_side is not None:
+        embedded = embedded.withColumn("thumbnail", thumbnail(*IMAGE_COLUMNS, thumbnail_side))
     kept = [F.col(c) for c in STORED if c in embedded.columns and c != "n_boxes"]
     if "n_boxes" in embedded.columns:
         kept.append(F.col("n_boxes").cast("int").alias("n_boxes"))
@@ -109,9 +113,13 @@ def run_embedding(
     *,
     manifest: DataFrame | None = None,
     rebuild: bool = False,
+    thumbnail_side: int | None = None,
 ) -> dict[str, int]:
     """Append the missing frames to a vector store; return what was done.
 
+    With ``thumbnail_side`` the frames carry decoded images (``IMAGE_COLUMNS``), of which a
+    PNG with sides up to that length is stored.
+
     Scenes are counted as processed or skipped (nothing left to do), from tokens alone; the
     added and the unreadable rows are counted by the write itself, so that the input column
     is read once.
@@ -133,7 +141,7 @@ def run_embedding(
         F.count_if(F.col("todo") > 0).alias("busy"), F.count("*").alias("scenes")).first()
     seen, given = Observation("embedding"), Observation("embedding-input")
     todo = todo.observe(given, F.count_if(F.col(column).isNull()).alias("unreadable"))
-    rows = _stored_rows(todo, embedder, column).observe(seen, F.count("*").alias("added"))
+    rows = _stored_rows(todo, embedder, column, thumbnail_side).observe(seen, F.count("*").alias("added"))
     vectors.append(rows, store)
     return {
         "scenes_processed": plan["busy"],

@@ -139,7 +139,7 @@ def night_features(spark, d):
     return drift.feature_table(samples, condition="night", sample_images=90, seed=3)
 
 
-@query("A28 P18", """
+@query("A28", """
     SELECT sample_data_token, channel, is_night, width, height, n_boxes, brightness
     FROM {samples} LEFT JOIN (SELECT filename, max(num_lidar_pts) * 1e0 AS brightness
       FROM {boxes} JOIN {sample_data} ON sample_data_token = token GROUP BY filename)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _made: list[str] = []
+_roots: dict[str, str] = {}  # of local sessions without a shared folder, by application
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -26,9 +27,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _roots:
+        _roots[application] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _roots[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

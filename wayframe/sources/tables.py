@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
+from itertools import islice
+from multiprocessing.pool import ThreadPool
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wayframe import schemas
+from wayframe.sources.scratch import scratch_path
 
 # Capture-log names of the drift features.
 CAPTURE_RENAMES = {"image_width": "width", "image_height": "height", "n_detections": "n_boxes"}
@@ -46,32 +48,40 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def list_files(directories: DataFrame, root: str, batch: int = 100_000) -> DataFrame:
-    """Files of each relative ``directory`` under a mounted ``root``, as ``filename``.
+def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFrame:
+    """Files of each relative ``directory`` under ``root``, on any file system, as ``filename``.
 
-    Every directory is scanned once, on the executors, and streamed out in batches; a
-    directory that does not exist has no files.
+    Directories are listed in blocks of ``batch`` by Spark's own parallel listing, which
+    looks at names alone (empty files included), and each block's files go to a table, so
+    that the driver holds the names of one block. Every directory is listed once, without
+    those below it; one that does not exist has no files. Names that begin with a dot or an
+    underscore are hidden from Spark and are not listed.
     """
-
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names: list[str] = []
-        for part in parts:
-            for directory in part["directory"]:
-                try:
-                    entries = os.scandir(os.path.join(root, directory))
-                except FileNotFoundError:
-                    continue
-                with entries:
-                    for entry in entries:
-                        names.append(f"{directory}/{entry.name}" if directory else entry.name)
-                        if len(names) >= batch:
-                            yield pd.DataFrame({"filename": names})
-                            names = []
-        if names:
-            yield pd.DataFrame({"filename": names})
-
-    once = directories.select("directory").distinct()
-    return once.mapInPandas(scan, "filename string")
+    spark = directories.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(where).toString().rstrip("/")
+    skip = len(system.makeQualified(where).toUri().getPath().rstrip("/")) + 2
+    out = scratch_path(spark, "listing")
+    spark.createDataFrame([], "filename string").write.parquet(out)
+
+    def there(directory: str) -> bool:
+        return system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{directory}"))
+
+    names = (r["directory"] for r in directories.select("directory").distinct().toLocalIterator())
+    with ThreadPool(16) as pool:
+        while block := list(islice(names, batch)):
+            block = [d for d, found in zip(block, pool.map(there, block)) if found]
+            if not block:
+                continue
+            # Names are encoded as in a URI, but for the plus sign.
+            found = spark.read.format("binaryFile").load([f"{base}/{d}" for d in block]).inputFiles()
+            listed = spark.createDataFrame(pa.table({"value": pa.array(found, pa.string())}))
+            path = F.url_decode(F.replace(F.regexp_replace("value", "^[^/]*(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+            files = listed.select(F.substring(path, skip, 1 << 30).alias("filename"))
+            parent = F.regexp_replace("filename", "/?[^/]*$", "")
+            files.filter(parent.isin(block)).write.mode("append").parquet(out)
+    return spark.read.schema("filename string").parquet(out)
 
 
 def read_label_results(
@@ -137,7 +147,9 @@ def register_views(spark: SparkSession, tables: Mapping[str, str]) -> list[str]:
     for name, path in tables.items():
         try:
             spark.read.parquet(path).createOrReplaceTempView(name)
-        except AnalysisException:  # not built yet
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # anything but one that is not built yet
+                raise
             continue
         made.append(name)
     return made
