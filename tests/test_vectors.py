@@ -247,3 +247,48 @@ def test_mining_finds_every_frame_it_was_asked_for(spark):
     assert mining.mine(centers, pool, quotas, 20).count() == 20
     assert mining.mine(centers, pool, quotas, 50).count() == 30 == mining.mine(centers, pool, {0: 100, 1: 7}, 107).count()
     assert mining.fetch_depths(quotas, 12) == {0: 5, 1: 9, 2: 12} and mining.fetch_depths({0: 0, 1: 3}, 5) == {0: 0, 1: 5}
+
+
+def test_k_means_equals_a_plain_one(spark):
+    from wayframe.operators.clusters import k_means
+    from wayframe.operators.draw import draw_key
+
+    rng = np.random.default_rng(8)
+    points = {f"t{k:03d}": np.round(rng.normal(k % 3 * 4, 1, 5), 6) for k in range(90)}
+    points |= {"same-a": points["t001"], "same-b": points["t001"]}
+    frame = spark.createDataFrame([(t, p.tolist()) for t, p in points.items()], f"{TOKEN} string, vector array<double>").repartition(5)
+    tokens = sorted(points)
+    whole = {t: [round(x * 1e6) for x in points[t].tolist()] for t in tokens}
+
+    def away(a, b):
+        return sum((x - y) ** 2 for x, y in zip(a, b))
+
+    order = [r[TOKEN] for r in frame.orderBy(draw_key(TOKEN, 5), TOKEN).collect()]
+    best = None
+    for start in order[:4]:
+        centers = [whole[start]]
+        while len(centers) < 4:
+            centers.append(whole[min(tokens, key=lambda t: (-min(away(whole[t], c) for c in centers), t))])
+        while True:
+            label = {t: min(range(4), key=lambda j: (away(whole[t], centers[j]), j)) for t in tokens}
+            moved = [[sum(v) // len(own) for v in zip(*own)] if (own := [whole[t] for t in tokens if label[t] == j]) else centers[j] for j in range(4)]
+            if moved == centers:
+                break
+            centers = moved
+        cost = sum(away(whole[t], centers[label[t]]) for t in tokens)
+        if best is None or cost < best[0]:
+            best = cost, label, centers
+    assigned, centers = k_means(frame, 4, seed=5, restarts=4)
+    assert {r[TOKEN]: r.cluster for r in assigned.collect()} == best[1]
+    assert (centers * 1e6).round().tolist() == best[2]
+    assert rows(k_means(frame.coalesce(1), 4, seed=5, restarts=4)[0]) == rows(assigned)
+
+
+def test_k_means_of_few_or_large_vectors(spark):
+    from wayframe.operators.clusters import k_means, whole_points
+
+    frame = spark.createDataFrame([("a", [1e9, 0.5]), ("b", [1e9, 0.5])], f"{TOKEN} string, vector array<double>")
+    assert whole_points(frame, TOKEN, "vector")[1] == 1
+    assert {r.cluster for r in k_means(frame, 3)[0].collect()} == {0}
+    with pytest.raises(ValueError, match="no vectors"):
+        k_means(frame.limit(0), 2)

@@ -5,10 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayframe.operators.clusters import k_means
 from wayframe.operators.draw import allocate
 from wayframe.operators.matching import top_failures
 from wayframe.operators.sampling import (
@@ -23,23 +22,12 @@ def cluster_failures(
 ) -> tuple[DataFrame, DataFrame]:
     """k-means over failure vectors, best of several seeded restarts.
 
-    Returns (``token, cluster`` assignments, ``cluster, vector`` centroids).
+    Returns (``token, cluster`` assignments, ``cluster, vector`` centroids). See
+    :mod:`wayframe.operators.clusters`.
     """
-    spark = vectors.sparkSession
-    features = settle(
-        vectors.select(
-            TOKEN, array_to_vector(F.col(VECTOR).cast("array<double>")).alias("features")
-        ),
-        "failure-vectors",
-    )
-    best = None
-    for attempt in range(restarts):
-        model = KMeans(k=k, seed=seed + attempt, maxIter=50).fit(features)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    assigned = best.transform(features).select(TOKEN, F.col("prediction").alias("cluster"))
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(best.clusterCenters())]
-    return assigned, spark.createDataFrame(centers, "cluster int, vector array<double>")
+    assigned, centers = k_means(vectors, k, seed=seed, restarts=restarts, token=TOKEN, vector=VECTOR)
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
+    return assigned, vectors.sparkSession.createDataFrame(rows, "cluster int, vector array<double>")
 
 
 def cluster_stats(assigned: DataFrame, failures: DataFrame, k: int) -> DataFrame:
@@ -117,7 +105,7 @@ def mine(
     depths = fetch_depths(quotas, n) if overfetch is None else {c: q * overfetch for c, q in quotas.items()}
     fetch = F.create_map(*[F.lit(x) for c, k in depths.items() for x in (c, k)])
     queries = centroids.select(
-        F.col("cluster").alias("query_id"), "vector", fetch[F.col("cluster")].alias("k")
+        F.col("cluster").alias("query_id"), "vector", F.coalesce(fetch[F.col("cluster")], F.lit(0)).alias("k")
     )
     candidates = top_k_batch(pool, queries).withColumnRenamed("query_id", "cluster")
     picked = select_mined(candidates, quotas, n)
