@@ -178,7 +178,7 @@ def _labeller(model: Model, penalty: float):
             column = batch.column("text")
             for group in wd.slices(column, GROUP_BYTES):
                 n = len(group)
-                parts, sizes, docs, starts = [], [], [], []
+                parts, known, sizes, docs, starts = [], [], [], [], []
                 for texts in wd.slices(column.slice(group.first, n)):
                     found = letters(texts)
                     if not len(found.size) or not n_langs:
@@ -187,19 +187,21 @@ def _labeller(model: Model, penalty: float):
                     score = np.add.reduceat(model.logp[found.trigram], begin, axis=0)
                     allowed = model.allowed[found.script]
                     score = np.where(allowed, score, np.float32(-1e4))
-                    score[~allowed.any(axis=1)] = 0
+                    foreign = ~allowed.any(axis=1)
+                    score[foreign] = 0
                     parts.append(score)
+                    known.append(np.where(foreign, 0, found.size))
                     sizes.append(found.size)
                     docs.append(found.doc + texts.first)
                     starts.append(found.start)
                 if parts:
-                    score, size, doc, start = (np.concatenate(x) for x in (parts, sizes, docs, starts))
+                    score, weight, size, doc, start = (np.concatenate(x) for x in (parts, known, sizes, docs, starts))
                     path = viterbi(score, np.searchsorted(doc, np.arange(n + 1)), penalty)
                 else:
-                    size = doc = start = path = np.zeros(0, np.int64)
+                    weight = size = doc = start = path = np.zeros(0, np.int64)
                 width = max(1, n_langs)
-                held = np.bincount(doc * width + path, weights=size, minlength=n * width).reshape(n, width)
-                best, total = held.argmax(axis=1), held.sum(axis=1)
+                held = np.bincount(doc * width + path, weights=weight, minlength=n * width).reshape(n, width)
+                best, total = held.argmax(axis=1), np.bincount(doc, weights=size, minlength=n)
                 turn = np.ones(len(path), bool)
                 turn[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
                 first = np.flatnonzero(turn)
@@ -219,7 +221,9 @@ def _labeller(model: Model, penalty: float):
 def identify(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
     """One row per row of docs: doc_id, lang_pred, score, spans.
 
-    score is the share of the letters that are in spans of lang_pred; spans have code point
+    score is the share of the letters that are in spans of lang_pred; letters of words in a
+    script that no language uses count for none, so a text of those alone has score 0 (and the
+    first language). Spans have code point
     positions and reach from their first word to their last.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
