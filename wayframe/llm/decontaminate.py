@@ -7,8 +7,9 @@ the test that follows: any window of 13 tokens with at most 3 substitutions, whe
 are, agrees in all selected positions of one of them.
 
 Test seeds are few, training seeds are as many as tokens, so a training seed is only
-formed into a row when it may hit: the test seeds set bits in a map of fixed size (256 kB,
-however large the benchmark), read as a scalar subquery inside the scan's own stage. Bits
+formed into a row when it may hit: the test seeds set bits in a map of sixteen bits a seed,
+read as a scalar subquery inside the scan's own stage. A benchmark of more than MOST_SEEDS
+seeds is searched in parts by hash, each with a map of its own. Bits
 only drop what can't match; the join on hashes decides. Around each hit the tokens of both
 sides, aligned, are compared: an overlap is a window with enough equal tokens. The window
 holds the seed or touches its surroundings of one window's length, so that a row carries a
@@ -35,7 +36,8 @@ from wayframe.sources.scratch import settle
 MASKS = ("111011", "110100101", "111000101")
 WINDOW = 13
 SUBSTITUTIONS = 3
-_WORDS_OF_MAP = 32768  # of 64 bits
+MOST_SEEDS = 1 << 21  # of a map: 4 MB
+_LEAST_WORDS = 32768  # of 64 bits
 
 
 def _placed(mask: str, size: int) -> list[frozenset[int]]:
@@ -91,12 +93,12 @@ def _positions(docs: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame
         *keep, "tokens", F.explode(F.sequence(F.lit(1), F.size("tokens") - (shortest - 1))).alias("at"))
 
 
-def _bit_map(seeds: DataFrame) -> DataFrame:
-    """All bits of the seeds as one array of a fixed number of longs."""
-    word = F.pmod(F.shiftright("seed", 6), F.lit(_WORDS_OF_MAP))
+def _bit_map(seeds: DataFrame, words: int) -> DataFrame:
+    """All bits of the seeds as one array of longs."""
+    word = F.pmod(F.shiftright("seed", 6), F.lit(words))
     bits = seeds.groupBy(word.alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(pmod(seed, 64) AS INT))")).alias("bits"))
-    every = seeds.sparkSession.range(0, _WORDS_OF_MAP, 1, 1).withColumnRenamed("id", "word")
+    every = seeds.sparkSession.range(0, words, 1, 1).withColumnRenamed("id", "word")
     return every.join(bits, "word", "left").agg(
         F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("all")
     ).select(F.transform("all", lambda x: x["bits"]).alias("bits"))
@@ -126,25 +128,31 @@ def overlaps(
             F.struct(F.lit(m).alias("mask"), F.when(for_item(m, mask), _seed(mask, F.col("at"), "tokens", m)).alias("seed"))
             for m, mask in enumerate(masks)
         ])).alias("s")).where("s.seed is not null").select("item", F.col("at").alias("item_at"), "s.mask", "s.seed").distinct(), "seeds")
-    known = _bit_map(test).scalar()
+    n_seeds = test.count()
+    parts = max(1, -(-n_seeds // MOST_SEEDS))
+    words = max(_LEAST_WORDS, 1 << math.ceil(math.log2(max(1, n_seeds / parts / 4))))
+    part_of = F.pmod(F.xxhash64("seed", F.lit(7)), F.lit(parts))
     at = F.col("at")
     seeds = [_seed(mask, at, "tokens", m) for m, mask in enumerate(masks)]
 
     def may_hit(seed: Column) -> Column:
-        word = F.element_at("known", (F.pmod(F.shiftright(seed, 6), F.lit(_WORDS_OF_MAP)) + 1).cast("int"))
+        word = F.element_at("known", (F.pmod(F.shiftright(seed, 6), F.lit(words)) + 1).cast("int"))
         return F.coalesce(F.getbit(word, F.pmod(seed, F.lit(64)).cast("int")) == 1, F.lit(False))
 
     reach = window + max(map(len, masks))
     before = F.least(F.lit(window), at - 1)
-    near = (
-        _positions(docs.select("doc_id", tokens("text").alias("tokens")).withColumn("known", known), masks, "doc_id", "known")
-        .where(F.greatest(*[may_hit(s).cast("int") for s in seeds]) == 1)
-        .select("doc_id", "at", before.alias("before"),
-                F.slice("tokens", (at - before).cast("int"), (before + reach).cast("int")).alias("around"),
-                F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), s.alias("seed")) for m, s in enumerate(seeds)])).alias("s"))
-        .select("doc_id", "at", "before", "around", "s.mask", "s.seed")
-    )
-    hits = near.join(test, ["mask", "seed"]).join(
+
+    def near(own: DataFrame) -> DataFrame:
+        known = _bit_map(own, words).scalar()
+        rows = _positions(docs.select("doc_id", tokens("text").alias("tokens")).withColumn("known", known), masks, "doc_id", "known")
+        rows = rows.where(F.greatest(*[may_hit(s).cast("int") for s in seeds]) == 1).select(
+            "doc_id", "at", before.alias("before"),
+            F.slice("tokens", (at - before).cast("int"), (before + reach).cast("int")).alias("around"),
+            F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), s.alias("seed")) for m, s in enumerate(seeds)])).alias("s"))
+        return rows.select("doc_id", "at", "before", "around", "s.mask", "s.seed").join(own, ["mask", "seed"])
+
+    found = functools.reduce(DataFrame.unionByName, [near(test if parts == 1 else test.where(part_of == k)) for k in range(parts)])
+    hits = found.join(
         items.groupBy("item").agg(F.first("tokens").alias("item_tokens")), "item")
     # Align both sides, from as far back as both go.
     back = F.least("before", F.col("item_at") - 1, F.lit(window))
