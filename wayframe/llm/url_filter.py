@@ -11,8 +11,9 @@ two takes; and so on until nothing is left over. The first level that rejects a
 for it. All keys of all urls are the universe, so the answer is exact for every one of
 them, and the corpus is judged without a join. Level one's size grows with the list and
 with the logarithm of universe over list, so that about as many keys as the list has are
-left for level two: a cascade is bounded by the list, not by the corpus. Lists of more than
-``MOST_KEYS`` keys are refused, as their levels travel to every task.
+left for level two: a cascade is bounded by the list, not by the corpus. Its levels travel to
+every task, so a list of more than ``most_keys`` keys is dealt by hash into parts of fewer;
+each part has cascades over its share of the universe, and the parts judge one after another.
 
 Defined results: a null url, or one without ``://``, has an empty host and path; no rule
 fits it. Ties in length go to the smaller key; a key listed for both verdicts blocks. Where
@@ -55,6 +56,10 @@ def _bit(key: Column, seed: int, words: int) -> tuple[Column, Column]:
     return F.shiftright(h, 6).bitwiseAND(F.lit(words - 1).cast("long")), h.bitwiseAND(F.lit(63).cast("long")).cast("int")
 
 
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+
+
 def _filter_of(keys: DataFrame, words: int, level: int) -> DataFrame:
     """The bits of all keys as one array, written out."""
     at = [F.struct(*(c.alias(n) for c, n in zip(_bit(F.col("key"), HASHES * level + i, words), ("word", "bit")))) for i in range(HASHES)]
@@ -86,8 +91,6 @@ class Cascade:
         """listed and universe have the distinct keys in a column key."""
         inside, outside = listed.select("key"), None
         n_inside, n_universe = inside.count(), universe.count()
-        if n_inside > MOST_KEYS:
-            raise ValueError(f"{n_inside} listed keys; a cascade takes {MOST_KEYS} at most")
         levels: list[tuple[DataFrame, int]] = []
         held, n_held = inside, n_inside
         while n_held:
@@ -121,7 +124,7 @@ class Cascade:
         return out
 
 
-def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, most_keys: int = MOST_KEYS) -> DataFrame:
     """page_id, host, path, rule, verdict of every page.
 
     rules has the columns key (host and path) and verdict (block or allow).
@@ -137,18 +140,32 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     asked = pages.select("page_id", F.col("url").cast("string").alias("url")).select("page_id", host.alias("host"), path.alias("path"))
     asked = asked.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), sorted(labels), sorted(lengths)))
     universe = settle(asked.select(F.explode("keys").alias("key")).distinct(), "universe")
-    cascades = {v: Cascade.build(rules.where(F.col("verdict") == v), universe) for v in ("block", "allow")}
-
+    parts = max(1, -(-rules.count() // most_keys))
     ready = asked
-    for verdict, cascade in cascades.items():
-        ready = ready.withColumns(cascade.columns(f"_{verdict}_")) if cascade.levels else ready
+    if parts > 1:
+        ready = settle(asked.withColumn("found", F.transform("keys", lambda k: F.lit(None).cast("string"))), "asked")
+    for part in range(parts):
+
+        def of_part(keys: DataFrame) -> DataFrame:
+            return keys if parts == 1 else keys.where(_part(F.col("key"), parts) == part)
+
+        cascades = {v: Cascade.build(of_part(rules).where(F.col("verdict") == v), of_part(universe)) for v in ("block", "allow")}
+        held = ready
+        for verdict, cascade in cascades.items():
+            held = held.withColumns(cascade.columns(f"_{verdict}_")) if cascade.levels else held
+
+        def verdict_of(key: Column) -> Column:
+            block, allow = (cascades[v].holds(key, f"_{v}_") for v in ("block", "allow"))
+            return F.when(block, "block").when(allow, "allow")
 
-    def verdict_of(key: Column) -> Column:
-        block, allow = (cascades[v].holds(key, f"_{v}_") for v in ("block", "allow"))
-        return F.when(block, "block").when(allow, "allow")
+        if parts == 1:
+            ready = held.withColumn("found", F.transform("keys", lambda k: verdict_of(k)))
+        else:
+            judged = F.zip_with("keys", "found", lambda k, f: F.when(_part(k, parts) == part, verdict_of(k)).otherwise(f))
+            ready = settle(held.select("page_id", "host", "path", "keys", judged.alias("found")), "judged")
 
     fits = F.filter(
-        F.transform("keys", lambda k: F.struct((-F.length(k)).alias("n"), k.alias("key"), verdict_of(k).alias("verdict"))),
+        F.zip_with("keys", "found", lambda k, f: F.struct((-F.length(k)).alias("n"), k.alias("key"), f.alias("verdict"))),
         lambda x: x["verdict"].isNotNull())
     return ready.select("page_id", "host", "path", F.array_min(fits).alias("best")).select(
         "page_id", "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"))
