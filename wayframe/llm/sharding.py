@@ -8,8 +8,9 @@ bucket's hash also takes the text's own hash; exact repeats of one row share a b
 
 Pass two takes a bucket at a time: its rows are put in a fixed order, shuffled by
 Fisher-Yates (Spark's seeded ``shuffle`` of an array) and written, numbered from where the
-buckets before it in the shard end. The order before the shuffle, the partition of a bucket
-and the place of buckets in it are fixed, so that a task that is run again writes the same.
+buckets before it in the shard end. The order before the shuffle and the partition of a
+bucket, which follows its number and seeds the shuffle, are fixed, so that a task that is run
+again writes the same, and no task has two buckets.
 
 Defined results: a null text stays null and is 8 bytes large; a null doc_id is hashed like
 a value of its own. Every input row is in one shard once, repeated rows too. Columns other
@@ -18,6 +19,8 @@ than doc_id and text are not carried.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wayframe.sources.scratch import scratch_path, settle
@@ -44,13 +47,15 @@ def write_shards(
     counts = {r["shard"]: -(-r["bytes"] // bucket_bytes) for r in held.collect()}  # one row per shard
     buckets = F.element_at(F.lit([max(1, counts.get(s, 1)) for s in range(shards)]), F.col("shard") + 1)
     place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed + 1)), buckets)
-    total = max(1, sum(counts.values()))
-    scattered = rows.withColumn("bucket", place).repartition(total, "shard", "bucket")
+    firsts = [0, *accumulate(max(1, counts.get(s, 1)) for s in range(shards))]
+    # Buckets are numbered over all shards, and each is a partition of its own by its number.
+    number = F.element_at(F.lit(firsts), F.col("shard") + 1) + F.col("bucket").cast("int")
+    scattered = rows.withColumn("bucket", place).withColumn("number", number).repartitionById(firsts[-1], "number")
     # Twice: once to count the buckets, small, and once to write them.
     sizes = settle(rows.select("shard", place.alias("bucket")).groupBy("shard", "bucket").agg(F.count("*").alias("n")), "buckets")
     starts = sizes.withColumn("start", F.sum("n").over(
         Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
-    bucketed = scattered.groupBy("shard", "bucket").agg(
+    bucketed = scattered.groupBy("number", "shard", "bucket").agg(
         F.array_sort(F.collect_list(F.struct("doc_id", "text", "size"))).alias("rows"))
     shuffled = (
         bucketed.join(starts.select("shard", "bucket", "start"), ["shard", "bucket"])
