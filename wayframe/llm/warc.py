@@ -44,6 +44,13 @@ def _payload() -> Column:
     return F.coalesce(F.col("html").cast("string"), F.lit(""))
 
 
+def utc_text(seconds: Column) -> Column:
+    """Seconds since 1970 as a UTC time, whatever the session's time zone."""
+    days, rest = F.floor(seconds / 86400), F.pmod(seconds, F.lit(86400))
+    clock = [F.lpad(F.floor(part).cast("string"), 2, "0") for part in (rest / 3600, rest % 3600 / 60, rest % 60)]
+    return F.concat(F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")).cast("string"), F.lit("T"), F.concat_ws(":", *clock), F.lit("Z"))
+
+
 def record_types(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """(page_id, digest, bytes, refers_to) once per page_id and payload."""
     hashed = pages.select("page_id", F.sha2(_payload(), 256).alias("digest"), F.octet_length(_payload()).cast("long").alias("bytes"))
@@ -70,7 +77,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES)
     header = F.concat(
         F.lit(f"WARC/1.1{_CRLF}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit(f"{_CRLF}WARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        F.lit(f">{_CRLF}WARC-Date: "), F.date_format(F.timestamp_seconds("captured"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit(f">{_CRLF}WARC-Date: "), utc_text(F.col("captured")),
         F.coalesce(F.concat(F.lit(f"{_CRLF}WARC-Target-URI: "), target), F.lit("")),
         F.lit(f"{_CRLF}WARC-Payload-Digest: sha256:"), "digest",
         F.coalesce(F.concat(
