@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from wayframe.llm import (
     decontaminate, kneser_ney, langid, neardup, packing, pseudo_likelihood, quality_rules, sharding, url_filter, warc, words as wd)
@@ -465,3 +466,54 @@ def test_training_raises_the_likelihood(spark):
         rows = pseudo_likelihood.score(frame, *pseudo_likelihood.train(frame, rounds)).collect()
         means.append(np.mean([r.mean_log_probability for r in rows]))
     assert means[1] > means[0] + 0.3
+
+
+def test_each_bucket_has_a_task_of_its_own(spark, tmp_path):
+    from wayframe.llm import sharding
+
+    docs = spark.createDataFrame([(k, "x" * (k % 90)) for k in range(400)], "doc_id long, text string")
+    path = sharding.write_shards(docs, str(tmp_path / "shards"), 4, bucket_bytes=2000)
+    files = spark.read.parquet(path).groupBy("shard", F.input_file_name().alias("file")).agg(F.sum("size").alias("bytes"))
+    assert files.count() > 8 and files.agg(F.max("bytes")).first()[0] < 6000
+    once = sorted(map(tuple, sharding.read_shards(spark, path).select("doc_id", "shard", "slot").collect()))
+    other = sharding.write_shards(docs.repartition(5), str(tmp_path / "again"), 4, bucket_bytes=2000)
+    assert once == sorted(map(tuple, sharding.read_shards(spark, other).select("doc_id", "shard", "slot").collect()))
+
+
+def test_archive_dates_are_utc(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    pages = spark.createDataFrame([(1, "http://a.b/c", "x"), (86_400, "http://a.b/d", "y")], "page_id long, url string, html string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.page_id: r.captured for r in warc.archive(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {1: "2020-01-01T00:00:01Z", 86_400: "2020-01-02T00:00:00Z"}
+
+
+def test_long_url_lists_are_judged_in_parts(spark):
+    rng = random.Random(4)
+    hosts = [f"h{k}.example" for k in range(300)]
+    pages = spark.createDataFrame([(k, f"http://{rng.choice(['', 'www.'])}{h}/p{k % 7}/x") for k, h in enumerate(hosts * 2)], "page_id long, url string")
+    rules = spark.createDataFrame([(f"{h}/p{k % 7}", rng.choice(["block", "allow"])) for k, h in enumerate(hosts) if k % 3], "key string, verdict string")
+    whole, parts = (sorted(map(tuple, url_filter.judge(pages, rules, n).collect()), key=str) for n in (10**6, 40))
+    assert whole == parts and {r[4] for r in whole} == {"block", "allow"}
+
+
+def test_large_benchmarks_are_searched_in_parts(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(words, k=20))) for k in range(30)]
+    docs = [(k, " ".join(rng.choices(words, k=15)) + " " + (text.replace(text.split()[7], "other") if k % 2 else "")) for k, text in items]
+    frames = [spark.createDataFrame(rows, f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    whole = sorted(map(tuple, decontaminate.overlaps(*frames).collect()))
+    monkeypatch.setattr(decontaminate, "MOST_SEEDS", 500)
+    assert sorted(map(tuple, decontaminate.overlaps(*frames).collect())) == whole and len(whole) >= 15
+
+
+def test_words_in_a_foreign_script_count_for_no_language(spark):
+    model = langid.train(spark.createDataFrame([("the quick brown fox", "en"), ("der schnelle braune fuchs", "de")] * 3, "text string, lang string"))
+    docs = spark.createDataFrame([(1, "漢字 仮名 日本語"), (2, "привет мир"), (3, "the quick привет fox")], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert got[1].score == got[2].score == 0 and got[1].lang_pred in ("de", "en")
+    assert got[3].lang_pred == "en" and got[3].score == pytest.approx(11 / 17)
