@@ -147,14 +147,14 @@ def _log(folder, name, records):
 def test_windows_close_and_late_rows_are_dropped(spark, tmp_path):
     log, out, state = tmp_path / "log", str(tmp_path / "out"), str(tmp_path / "state")
     _log(log, "1.json", [(1, 10.0, 2), (2, 20.0, 4), (3, 30.0, 3)])
-    stats = streams.window_stats(streams.read_capture(spark, str(log)), "10 minutes", "5 minutes")
+    stats = streams.window_counts(streams.read_capture(spark, str(log)), "10 minutes", "5 minutes")
     streams.run_to_table(stats, out, state)
     assert spark.read.schema(stats.schema).parquet(out).count() == 0
     _log(log, "2.json", [(30, 50.0, 1)])
     streams.run_to_table(stats, out, state)
     _log(log, "3.json", [(4, 99.0, 9), (60, 1.0, 1)])  # minute 4 is long closed
     streams.run_to_table(stats, out, state)
-    got = spark.read.schema(stats.schema).parquet(out).orderBy("window_start").collect()
+    got = streams.window_stats(spark.read.schema(stats.schema).parquet(out)).orderBy("window_start").collect()
     assert [(r.n, r.mean_brightness, r.mean_n_boxes, r.p95_latency_ms) for r in got] == [
         (3, 20.0, 3.0, 15.0), (1, 50.0, 1.0, 25.0)]
 
@@ -185,6 +185,33 @@ def test_appending_is_idempotent(spark, tmp_path):
     assert run("another") == ["a", "b", "c"]  # a lost checkpoint replays everything
 
 
+def test_a_batch_reads_the_buckets_it_touches(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows_of = spark.range(400).select(F.concat(F.lit("t"), "id").alias("sample_data_token"), "id")
+    streams.write_frames(rows_of, store, buckets=16)
+    batch = rows_of.filter("id IN (3, 90)").unionByName(spark.createDataFrame([("new", 1)], "sample_data_token string, id long"))
+    held = streams.stored_tokens(batch, store, "sample_data_token", 16)
+    touched = {r.bucket16 for r in held.select("bucket16").distinct().collect()}
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= len(touched) <= 3 and "PartitionFilters: [isnotnull(bucket16" in plan or "bucket16#" in plan.split("PartitionFilters")[1]
+    every = spark.read.parquet(store)
+    own = every.filter(F.col("bucket16").isin(list(touched)))
+    assert {r.f for r in held.select(F.input_file_name().alias("f")).distinct().collect()} == {
+        r.f for r in own.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(every.inputFiles()) == 16
+    with pytest.raises(ValueError, match="buckets"):
+        streams.stored_tokens(batch, store, "sample_data_token", 32)
+    assert streams.read_frames(spark, store).columns == ["sample_data_token", "id"]
+    assert streams.stored_tokens(batch, str(tmp_path / "none"), "sample_data_token", 16) is None
+
+
+def test_windows_without_a_model_or_a_latency(spark):
+    counts = spark.createDataFrame(
+        [("w", None, None, 2, 1, 4.0, 0, None), ("w", None, 5.0, 1, 0, None, 1, 3), ("w", "m", None, 1, 0, None, 0, None)],
+        "window_start string, model_version string, latency_ms double, n long, n_brightness long, sum_brightness double, n_counted long, sum_boxes long")
+    assert rows(streams.window_stats(counts)) == [("w", "m", 1, None, None, None), ("w", None, 3, 4.0, 3.0, 5.0)]
+
+
 def test_a_window_is_judged_over_all_its_batches(spark, tmp_path):
     log, out, state = tmp_path / "log", tmp_path / "out", str(tmp_path / "state")
     reference = spark.createDataFrame([(float(100 + i % 10), i % 7) for i in range(200)],
@@ -222,7 +249,7 @@ def test_a_wide_window_has_an_exact_percentile(spark, tmp_path):
         f"double((id * 7919) % {n}) AS latency_ms")
     capture.union(capture.limit(1).withColumn("ts", F.expr("ts + INTERVAL 2 DAYS"))).coalesce(1).write.parquet(str(tmp_path / "log"))
     stream = spark.readStream.schema(capture.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
-    streams.run_to_table(streams.window_stats(stream, "1 hour"), str(tmp_path / "out"), str(tmp_path / "state"))
-    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    streams.run_to_table(streams.window_counts(stream, "1 hour"), str(tmp_path / "out"), str(tmp_path / "state"))
+    rows = streams.window_stats(spark.read.parquet(str(tmp_path / "out"))).collect()
     assert [r.n for r in rows][:1] == [n]
     assert rows[0].p95_latency_ms == 0.95 * n - 1

@@ -191,10 +191,10 @@ def _stream(spark, d, per_trigger: int | None = None) -> DataFrame:
     GROUP BY ALL""")
 def stream_window_stats(spark, d):
     """Windows that the watermark has closed once the stream has been read."""
-    stats = streams.window_stats(_stream(spark, d), "1 day", "10 minutes")
+    counts = streams.window_counts(_stream(spark, d), "1 day", "10 minutes")
     out = scratch_path(spark, "windows")
-    streams.run_to_table(stats, out, scratch_path(spark, "windows-state"))
-    read = spark.read.schema(stats.schema).parquet(out)
+    streams.run_to_table(counts, out, scratch_path(spark, "windows-state"))
+    read = streams.window_stats(spark.read.schema(counts.schema).parquet(out))
     read = read.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     return rounded(read, "mean_brightness", "mean_n_boxes", "p95_latency_ms")
 
@@ -223,7 +223,7 @@ def stream_dedup(spark, d):
 def stream_append(spark, d):
     """Append the events to a store that already has the clicks, then replay them all."""
     store = scratch_path(spark, "appended")
-    table(spark, d, "events").filter("event_type = 'click'").write.parquet(store)
+    streams.write_frames(table(spark, d, "events").filter("event_type = 'click'"), store, "event_id")
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     for _ in range(2):
         events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
@@ -231,7 +231,7 @@ def stream_append(spark, d):
             events.parquet(d), store, scratch_path(spark, "appended-state"), "event_id"
         )
         job.start().awaitTermination()
-    return spark.read.schema(schema).parquet(store).groupBy("event_type").agg(
+    return streams.read_frames(spark, store).groupBy("event_type").agg(
         F.count("*").alias("n"), F.sum("event_id").alias("total")
     )
 

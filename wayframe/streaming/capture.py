@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,10 +12,13 @@ from wayframe import schemas
 from wayframe.operators.drift import (
     FEATURES, dataset_verdict, drift_from_counts, side_counts,
 )
+from wayframe.operators.running import running_totals
 from wayframe.operators.validate import Rule
-from wayframe.sources.scratch import settle
+from wayframe.sources.scratch import scope, settle
 from wayframe.sources.tables import CAPTURE_RENAMES
 
+BUCKETS = 256
+
 
 def read_capture(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """The append-only capture log as a stream, with the drift features' names."""
@@ -24,27 +28,49 @@ def read_capture(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.json(path).withColumnsRenamed(CAPTURE_RENAMES)
 
 
-def window_stats(
+def window_counts(
     capture: DataFrame, width: str = "1 hour", lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Feature statistics per tumbling window and model version.
+    """Requests per tumbling window, model version and latency, with the sums of the other features.
 
     Rows later than ``lateness`` behind the newest are dropped, which bounds the state to
-    the open windows. The percentile is exact, the smallest latency that 95 % of the window
-    do not exceed; its state is the count of each distinct latency of an open window.
+    the open windows. The state is a row per distinct latency, dealt by all three keys, so
+    no group's latencies ever meet in one buffer; :func:`window_stats` reads them.
     """
     return (
         capture.withWatermark("ts", lateness)
-        .groupBy(F.window("ts", width), "model_version")
+        .groupBy(F.window("ts", width), "model_version", "latency_ms")
         .agg(
             F.count("*").alias("n"),
-            F.avg("brightness").alias("mean_brightness"),
-            F.avg("n_boxes").alias("mean_n_boxes"),
-            F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY latency_ms)").alias("p95_latency_ms"),
+            F.count("brightness").alias("n_brightness"), F.sum("brightness").alias("sum_brightness"),
+            F.count("n_boxes").alias("n_counted"), F.sum("n_boxes").alias("sum_boxes"),
         )
-        .select(F.col("window.start").alias("window_start"), "model_version", "n",
-                "mean_brightness", "mean_n_boxes", "p95_latency_ms")
+        .select(F.col("window.start").alias("window_start"), "model_version", "latency_ms", "n",
+                "n_brightness", "sum_brightness", "n_counted", "sum_boxes")
+    )
+
+
+def window_stats(counts: DataFrame, percent: int = 95) -> DataFrame:
+    """Feature statistics per window and model version from the rows of :func:`window_counts`.
+
+    The percentile is exact: the smallest latency that ``percent`` % of the window do not
+    exceed, read off running counts.
+    """
+    key = F.struct("window_start", "model_version")
+    rows = counts.withColumn("_key", key)
+    totals = rows.groupBy("_key").agg(
+        F.sum("n").alias("n"),
+        (F.sum("sum_brightness") / F.nullif(F.sum("n_brightness"), F.lit(0))).alias("mean_brightness"),
+        (F.sum("sum_boxes") / F.nullif(F.sum("n_counted"), F.lit(0))).alias("mean_n_boxes"),
     )
+    values = settle(
+        rows.filter(F.col("latency_ms").isNotNull()).groupBy("_key", "latency_ms").agg(F.sum("n").alias("n")), "latencies")
+    whole = values.groupBy("_key").agg(F.sum("n").alias("_whole"))
+    reached = running_totals(values, ["_key"], "latency_ms", ["n"]).join(whole, "_key").filter(
+        F.col("cum_n") * 100 >= F.col("_whole") * percent)
+    limits = reached.groupBy("_key").agg(F.min("latency_ms").alias(f"p{percent}_latency_ms"))
+    return totals.join(limits, "_key", "left").select(
+        "_key.window_start", "_key.model_version", "n", "mean_brightness", "mean_n_boxes", f"p{percent}_latency_ms")
 
 
 def new_frames(frames: DataFrame, token: str = "sample_data_token", time: str = "ts",
@@ -53,24 +79,62 @@ def new_frames(frames: DataFrame, token: str = "sample_data_token", time: str =
     return frames.withWatermark(time, lateness).dropDuplicatesWithinWatermark([token])
 
 
+def _bucket_name(buckets: int) -> str:
+    """The folder column of a store's buckets; another number of them is another name."""
+    return f"bucket{buckets}"
+
+
+def _with_bucket(rows: DataFrame, token: str, buckets: int) -> DataFrame:
+    number = F.pmod(F.xxhash64(F.col(token)), F.lit(buckets)).cast("int")
+    return rows.withColumn(_bucket_name(buckets), number)
+
+
+def write_frames(rows: DataFrame, store: str, token: str = "sample_data_token", buckets: int = BUCKETS) -> None:
+    """Add rows to a store of frames, in a folder per bucket of the token's hash."""
+    own = _bucket_name(buckets)
+    _with_bucket(rows, token, buckets).repartition(own).write.mode("append").partitionBy(own).parquet(store)
+
+
+def read_frames(spark: SparkSession, store: str) -> DataFrame:
+    """The rows of a store of frames."""
+    rows = spark.read.parquet(store)
+    return rows.drop(*[c for c in rows.columns if re.fullmatch(r"bucket\d+", c)])
+
+
+def stored_tokens(batch: DataFrame, store: str, token: str, buckets: int) -> DataFrame | None:
+    """Stored tokens of the buckets that a batch touches; None when there is no store yet.
+
+    Only those buckets' folders are listed as files to read.
+    """
+    spark, own = batch.sparkSession, _bucket_name(buckets)
+    try:
+        held = spark.read.parquet(store)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # anything but a first batch
+            raise
+        return None
+    if own not in held.columns:
+        raise ValueError(f"{store} is not dealt into {buckets} buckets")
+    numbers = [r[0] for r in _with_bucket(batch, token, buckets).select(own).distinct().collect()]  # at most one per bucket
+    return held.filter(F.col(own).isin(numbers)).select(token, own)
+
+
 def append_missing(stream: DataFrame, store: str, checkpoint: str,
-                   token: str = "sample_data_token"):
+                   token: str = "sample_data_token", buckets: int = BUCKETS):
     """Append streamed frames that the store does not hold; safe to replay.
 
     Each micro-batch is anti-joined with what is stored, so repeats at any distance and
-    re-run batches add nothing.
+    re-run batches add nothing. The store is dealt into buckets by the token's hash, and of
+    what is stored only the tokens of the buckets that the batch touches are read.
     """
 
     def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates([token])
-        try:
-            stored = spark.read.schema(batch.schema).parquet(store).select(token)
-            fresh = fresh.join(stored, token, "left_anti")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":  # anything but a first batch
-                raise
-        fresh.write.mode("append").parquet(store)
+        with scope(batch.sparkSession):
+            fresh = settle(batch.dropDuplicates([token]), "batch")
+            held = stored_tokens(fresh, store, token, buckets)
+            if held is not None:
+                fresh = fresh.join(held.select(token), token, "left_anti").select(*batch.columns)
+            write_frames(fresh, store, token, buckets)
 
     return (
         stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
