@@ -177,7 +177,8 @@ def test_embedding_resumes_and_rebuilds(spark, tmp_path):
     assert stores.of_other_dimension(stored, 16).isEmpty()
     length = stored.select(F.sqrt(dot(F.col("vector"), F.col("vector")))).distinct().collect()
     assert all(r[0] == pytest.approx(1, abs=1e-6) for r in length)
-    store = stores.compact(spark, store, 1, f"{store}-compacted")
+    stores.compact(spark, store, 1)
+    assert len(stores.open_store(spark, store).inputFiles()) == 1
     assert rows(stores.open_store(spark, store).select(TOKEN)) == before
     hit = search.search_text(stores.open_store(spark, store), "RAIN at night", 4, embedder).collect()
     assert {r[TOKEN][:2] for r in hit} == {"d2"}
@@ -292,3 +293,51 @@ def test_k_means_of_few_or_large_vectors(spark):
     assert {r.cluster for r in k_means(frame, 3)[0].collect()} == {0}
     with pytest.raises(ValueError, match="no vectors"):
         k_means(frame.limit(0), 2)
+
+
+def _tokens(frame):
+    return [r[0] for r in rows(frame.select(TOKEN))]
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    store = str(tmp_path / "store")
+    frame = spark.createDataFrame([(f"t{k}", [float(k)]) for k in range(6)], f"{TOKEN} string, vector array<float>")
+    stores.append(frame.filter("sample_data_token < 't2'"), store)
+    reader = stores.open_store(spark, store)
+    stores.append(frame.filter("sample_data_token >= 't2'"), store)
+    assert _tokens(reader) == ["t0", "t1"] and len(_tokens(stores.open_store(spark, store))) == 6
+    assert _tokens(stores.open_store(spark, store, version=1)) == ["t0", "t1"]
+    broken = frame.withColumn("vector", F.when(F.col(TOKEN) != "t5", F.col("vector")).otherwise(F.raise_error("lost").cast("array<float>")))
+    with pytest.raises(Exception, match="lost"):
+        stores.append(broken, store)
+    assert len(_tokens(stores.open_store(spark, store))) == 6 and stores.versions(spark, store) == [1, 2]
+    middle = stores.open_store(spark, store)
+    stores.compact(spark, store, 2)
+    assert _tokens(middle) == _tokens(stores.open_store(spark, store)) == sorted(f"t{k}" for k in range(6))
+    assert len(stores.vacuum(spark, store)) == 3  # two old folders and the failed one
+    assert len(_tokens(stores.open_store(spark, store))) == 6 and stores.vacuum(spark, store) == []
+    assert stores.versions(spark, store) == [3]
+
+
+def test_of_two_writers_of_a_version_one_goes_on(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    frame = spark.createDataFrame([("a", [1.0]), ("b", [2.0]), ("c", [3.0])], f"{TOKEN} string, vector array<float>")
+    stores.append(frame.filter("sample_data_token = 'a'"), store)
+    version, folders = stores.snapshot(spark, store)
+    assert not stores._commit(spark, store, version, folders)
+    real, other = stores._commit, []
+
+    def late(spark, path, version, folders):
+        if not other:  # somebody else commits first
+            other.append(True)
+            monkeypatch.setattr(stores, "_commit", real)
+            stores.append(frame.filter("sample_data_token = 'b'"), store)
+        return real(spark, path, version, folders)
+
+    monkeypatch.setattr(stores, "_commit", late)
+    stores.append(frame.filter("sample_data_token = 'c'"), store)
+    assert _tokens(stores.open_store(spark, store)) == ["a", "b", "c"]
+    other.clear()
+    monkeypatch.setattr(stores, "_commit", late)
+    stores.compact(spark, store, 1)  # while 'b' is added once more
+    assert _tokens(stores.open_store(spark, store)) == ["a", "b", "b", "c"]
