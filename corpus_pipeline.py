@@ -3,6 +3,14 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of documents.
 A stage's tables other than docs (labels, benchmark) are read from sf_dir.
+
+Defined results: documents may have further columns of any names, which all stages but the
+last keep as they are. A null or empty text has no words, so the classifier rejects it. A
+null lang is judged by the threshold over all languages. Rows that repeat a doc_id are
+judged as one document by the classifier and each by itself by the rules; of repeats of one
+row the near-dedup keeps one. Rows with a null doc_id are never near duplicates of others.
+Without trusted labels the classifier keeps every document with words; without benchmark
+items nothing is contaminated. No documents give no sequences.
 """
 
 from __future__ import annotations
