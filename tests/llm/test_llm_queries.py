@@ -1,6 +1,7 @@
 """Registered queries beside their SQL, and the pipeline stage by stage."""
 
 import os
+import re
 
 import pytest
 
@@ -25,6 +26,28 @@ def test_operators_and_the_pipeline_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
+def test_near_duplicates_of_five_words_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for r in docs.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(lower))
+        sets[r.doc_id] = {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+    part = {d: d for d in sets}
+    ids = sorted(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+             if (both := len(sets[a] & sets[b])) and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            low = min(part[a], part[b])
+            moved |= part[a] != low or part[b] != low
+            part[a] = part[b] = low
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, words=5, percent=80).collect()}
+    assert links and got == part
+
+
 def test_held_out_accuracy(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     rows = [r for r in QUERIES["op9_script_viterbi_language_id"](spark, SF_DIR).collect() if r.held_out]

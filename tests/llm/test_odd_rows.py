@@ -147,3 +147,29 @@ def test_url_rules(spark, pages):
     assert got[7] == ("é.net", "", "net", "block")
     assert url_filter.judge(pages.limit(0), rules).count() == 0
     assert {r.verdict for r in url_filter.judge(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+def test_pipeline(spark, odd, none, labels, tests, tmp_path):
+    import corpus_pipeline
+
+    prose = " ".join(f"word{k} and other words follow in line {k % 9}" for k in range(40))
+    more = spark.createDataFrame([(30, prose, "en", "s", 1), (30, prose, "en", "s", 1), (31, prose + " end", "en", "s", 1), (32, prose[::-1], None, None, None)], DOCS)
+    for name, docs, marks, items in (
+        ("odd", odd.unionByName(more, allowMissingColumns=True), labels, tests), ("none", none, labels.limit(0), tests.limit(0)),
+    ):
+        for table, rows in (("documents", docs), ("labels", marks), ("benchmark", items)):
+            rows.write.parquet(str(tmp_path / name / f"{table}.parquet"))
+        seen = docs
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            seen = corpus_pipeline.settle(function(spark, seen, str(tmp_path / name)))
+            assert seen.columns == docs.columns, stage
+        packed = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert sorted((r.doc_id for r in packed.where("piece = 0").collect()), key=repr) == sorted((r.doc_id for r in seen.collect()), key=repr)
+        if name == "none":
+            assert packed.count() == 0
+        else:
+            assert {r.doc_id for r in seen.collect()}.isdisjoint({1, 2, 3})
+    bare = str(tmp_path / "none")  # without labels or benchmark items
+    assert corpus_pipeline.quality_classifier(spark, more, bare).count() == 4
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, more, bare).collect()) == [30, 32]
+    assert corpus_pipeline.decontamination(spark, more, bare).count() == 4
