@@ -226,3 +226,15 @@ def test_model_agreement(spark):
     assert tuple(got) == (4, 0.75, 1.0, pytest.approx(0.1))
     none = evaluate.model_agreement(a, b.limit(0)).first()
     assert tuple(none) == (0, None, None, None)
+
+
+@pytest.mark.parametrize("rows_per_cut", [1, 7, 64, 1000])
+def test_cuts_do_not_show_in_sequential_filling(spark, rows_per_cut):
+    sizes = {"m": [(i * 37) % 90 + 1 for i in range(200)] + [500], "n": [300, 1, 1], "o": [1] * 23, "p": [250] * 9}
+    requests = spark.createDataFrame(
+        [(m, f"t{i:03}", s) for m, own in sizes.items() for i, s in enumerate(own)], "model string, sample_data_token string, size long")
+    got = labelling.fill_batches(requests, chunk_size=5, max_bytes=200, rows_per_cut=rows_per_cut)
+    whole = labelling.assign_batches(requests, chunk_size=5, max_bytes=200, shards=1)
+    columns = ("model", "sample_data_token", "size", "batch")
+    assert rows(got.select(*columns)) == rows(whole.select(*columns))
+    assert labelling.fill_batches(requests.limit(0)).count() == 0

@@ -6,10 +6,13 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wayframe.functions.labels import TERMINAL, frame_price, with_status
 from wayframe.functions.taxonomy import COUNT_FIELDS
+from wayframe.sources.scratch import settle
 
 KNOWN_RESULTS = ("succeeded", "errored", "canceled", "expired")
 
@@ -134,6 +137,85 @@ def assign_batches(
     return sharded.groupBy("model", "shard").applyInPandas(fill, schema)
 
 
+def _next_starts(sizes: np.ndarray, chunk_size: int, max_bytes: int) -> np.ndarray:
+    """Where the batch after one that begins at each item begins."""
+    upto = np.cumsum(sizes)
+    spent = upto - sizes
+    at = np.arange(len(sizes))
+    fits = np.searchsorted(upto, spent + max_bytes, side="right")
+    return np.minimum(np.minimum(np.maximum(fits, at + 1), at + chunk_size), len(sizes))
+
+
+def fill_batches(
+    requests: DataFrame, *, chunk_size: int = 500, max_bytes: int = 190_000_000, rows_per_cut: int = 200_000,
+) -> DataFrame:
+    """Plain sequential filling of each model's requests in token order, by many tasks.
+
+    Adds ``batch`` to requests ``(model, sample_data_token, size)``; the result is that of
+    :func:`assign_batches` with one shard, whatever ``rows_per_cut`` is. A model's requests
+    are numbered in token order and cut after every ``rows_per_cut``. How a cut is filled
+    depends on what is before it only through the number of its first items that still go
+    to the batch left open there, which is at most ``chunk_size``. So each cut, seeing also
+    the first items of the next, turns every such number into the one it hands on and the
+    batches it begins; following these from cut to cut, a short table per cut, gives where
+    each begins, and then all cuts are filled at once.
+    """
+    cut_rows = max(rows_per_cut, chunk_size)
+    narrow = requests.select("model", "sample_data_token", F.col("size").cast("long").alias("size"))
+    parts = max(1, -(-narrow.count() // cut_rows))
+    dealt = settle(narrow.repartitionByRange(parts, "model", "sample_data_token").withColumn("part", F.spark_partition_id()), "requests")
+    held = dealt.groupBy("model", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("model").orderBy("part")) - F.col("n")
+    held = held.select("model", "part", before.alias("before"))  # a row per model and part
+    inside = F.row_number().over(Window.partitionBy("model", "part").orderBy("sample_data_token"))
+    number = F.col("before") + F.col("inside") - 1
+    numbered = settle(
+        dealt.withColumn("inside", inside).join(held, ["model", "part"]).select(
+            "model", "sample_data_token", "size", number.alias("i"), F.floor(number / cut_rows).cast("long").alias("cut")), "numbered")
+    ahead = numbered.filter((F.col("cut") > 0) & (F.col("i") % cut_rows < chunk_size)).withColumn("cut", F.col("cut") - 1)
+    seen = numbered.withColumn("own", F.lit(True)).unionByName(ahead.withColumn("own", F.lit(False)))
+
+    def hand_on(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(table["i"]))
+        sizes, n = np.asarray(table["size"])[order], int(pc.sum(table["own"]).as_py())
+        following = _next_starts(sizes, chunk_size, max_bytes).tolist()
+        left, begun = [0] * (len(sizes) + 1), [0] * (len(sizes) + 1)
+        for at in range(n, len(sizes) + 1):
+            left[at] = at - n
+        for at in range(n - 1, -1, -1):
+            left[at], begun[at] = left[following[at]], begun[following[at]] + 1
+        upto = min(n, chunk_size) + 1
+        return pa.table({"model": table["model"].slice(0, 1), "cut": table["cut"].slice(0, 1),
+                         "left": pa.array([left[:upto]], pa.list_(pa.int32())), "begun": pa.array([begun[:upto]], pa.list_(pa.int32()))})
+
+    tables = settle(seen.groupBy("model", "cut").applyInArrow(hand_on, "model string, cut long, left array<int>, begun array<int>"), "cuts")
+
+    def follow(table: pa.Table) -> pa.Table:
+        table = table.sort_by("cut")
+        entry, batch, entries, firsts = 0, 0, [], []
+        for left, begun in zip(table["left"].to_pylist(), table["begun"].to_pylist()):
+            entries.append(entry)
+            firsts.append(batch)
+            entry, batch = left[entry], batch + begun[entry]
+        return pa.table({"model": table["model"], "cut": table["cut"], "entry": pa.array(entries, pa.int32()), "first": pa.array(firsts, pa.int64())})
+
+    entries = settle(tables.groupBy("model").applyInArrow(follow, "model string, cut long, entry int, first long"), "entries")
+
+    def fill(table: pa.Table) -> pa.Table:
+        table = table.sort_by("i")
+        following = _next_starts(np.asarray(table["size"]), chunk_size, max_bytes)
+        begins = np.zeros(len(following) + 1, np.int64)
+        at = table["entry"][0].as_py()
+        while at < len(following):
+            begins[at] = 1
+            at = int(following[at])
+        batch = table["first"][0].as_py() - 1 + np.cumsum(begins[:-1])
+        return pa.table({"model": table["model"], "sample_data_token": table["sample_data_token"], "size": table["size"], "batch": pa.array(batch)})
+
+    return numbered.join(entries, ["model", "cut"]).groupBy("model", "cut").applyInArrow(
+        fill, "model string, sample_data_token string, size long, batch long")
+
+
 def batch_summary(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("model", "shard", "batch").agg(
         F.count("*").alias("n_requests"), F.sum("size").alias("n_bytes")

@@ -396,6 +396,29 @@ def request_batches(spark, d):
     )
 
 
+# Sequential filling over whole models: where the batch after one that begins at i begins.
+view("numbered", """
+    SELECT *, row_number() OVER w AS i, sum(size) OVER w AS upto
+    FROM {requests} WINDOW w AS (PARTITION BY model ORDER BY sample_data_token ROWS UNBOUNDED PRECEDING)""")
+view("nexts", """
+    SELECT model, i, i + greatest(1, %s) AS after FROM {numbered} WINDOW w AS (PARTITION BY model ORDER BY i)""" % " + ".join(
+    f"CASE WHEN lead(upto, {k}) OVER w - upto + size <= 2000000 THEN 1 ELSE 0 END" if k else "CASE WHEN size <= 2000000 THEN 1 ELSE 0 END"
+    for k in range(8)))
+view("starts", """
+    SELECT model, CAST(1 AS BIGINT) AS i FROM {numbered} WHERE i = 1
+    UNION ALL
+    SELECT n.model, n.after FROM starts s JOIN {nexts} n ON n.model = s.model AND n.i = s.i
+    JOIN {numbered} x ON x.model = n.model AND x.i = n.after""")
+
+
+@query("P25", """
+    SELECT model, sample_data_token, size, CAST(count(s.found) OVER (PARTITION BY model ORDER BY i) - 1 AS BIGINT) AS batch
+    FROM {numbered} LEFT JOIN (SELECT *, true AS found FROM {starts}) s USING (model, i)""")
+def sequential_batches(spark, d):
+    """Every model's requests in batches filled one after another, though by many tasks."""
+    return labelling.fill_batches(table(spark, d, "requests"), chunk_size=8, max_bytes=2_000_000, rows_per_cut=500)
+
+
 # --- evaluation -----------------------------------------------------------------------
 
 _FIELD_SQL = "CASE " + " ".join(

@@ -223,12 +223,12 @@ def stream_dedup(spark, d):
 def stream_append(spark, d):
     """Append the events to a store that already has the clicks, then replay them all."""
     store = scratch_path(spark, "appended")
-    streams.write_frames(table(spark, d, "events").filter("event_type = 'click'"), store, "event_id")
+    streams.write_frames(table(spark, d, "events").filter("event_type = 'click'"), store, "event_id", buckets=16)
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     for _ in range(2):
         events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
         job = streams.append_missing(
-            events.parquet(d), store, scratch_path(spark, "appended-state"), "event_id"
+            events.parquet(d), store, scratch_path(spark, "appended-state"), "event_id", 16
         )
         job.start().awaitTermination()
     return streams.read_frames(spark, store).groupBy("event_type").agg(
