@@ -53,8 +53,8 @@ def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFram
 
     Directories are listed in blocks of ``batch`` by Spark's own parallel listing, which
     looks at names alone (empty files included), and each block's files go to a table, so
-    that the driver holds the names of one block. Every directory is listed once, without
-    those below it; one that does not exist has no files. Names that begin with a dot or an
+    that the driver holds the names of one block. A directory's files are its own, not those of
+    directories below it (which are walked all the same); one that does not exist has none. Names that begin with a dot or an
     underscore are hidden from Spark and are not listed.
     """
     spark = directories.sparkSession
@@ -75,7 +75,7 @@ def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFram
             if not block:
                 continue
             # Names are encoded as in a URI, but for the plus sign.
-            found = spark.read.format("binaryFile").load([f"{base}/{d}" for d in block]).inputFiles()
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{base}/{d}" for d in block]).inputFiles()
             listed = spark.createDataFrame(pa.table({"value": pa.array(found, pa.string())}))
             path = F.url_decode(F.replace(F.regexp_replace("value", "^[^/]*(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
             files = listed.select(F.substring(path, skip, 1 << 30).alias("filename"))
