@@ -262,12 +262,14 @@ def _k_means_views(name: str, source: str, k: int, restarts: int, seed: int = 64
                     SELECT s.r, s.round, s.centers, x.p, list_transform(s.centers, lambda c: {away("c", "x.p")}) AS d
                     FROM {name}_rounds s, {{{name}_points}} x WHERE NOT s.done)),
                   (SELECT unnest(range(1, 65)) AS i) GROUP BY r, round, j, i) GROUP BY r, round, j) GROUP BY r, round))""")
+    view(f"{name}_best", f"""
+        SELECT any_value(centers) AS centers FROM (
+          SELECT s.r, s.centers, list_min(list_transform(s.centers, lambda c: {away("c", "x.p")})) AS cost
+          FROM {{{name}_rounds}} s, {{{name}_points}} x WHERE s.done) GROUP BY r ORDER BY sum(cost), r LIMIT 1""")
     view(f"{name}_assigned", f"""
         SELECT t AS sample_data_token, CAST(list_position(d, list_min(d)) - 1 AS INT) AS cluster FROM (
-          SELECT r, t, d, sum(list_min(d)) OVER (PARTITION BY r) AS cost FROM (
-            SELECT s.r, x.t, list_transform(s.centers, lambda c: {away("c", "x.p")}) AS d
-            FROM {{{name}_rounds}} s, {{{name}_points}} x WHERE s.done))
-        QUALIFY dense_rank() OVER (ORDER BY cost, r) = 1""")
+          SELECT x.t, list_transform(b.centers, lambda c: {away("c", "x.p")}) AS d
+          FROM {{{name}_best}} b, {{{name}_points}} x)""")
 
 
 view("worst", "SELECT * FROM {failing} ORDER BY failure_score DESC, sample_data_token LIMIT 80")
@@ -292,6 +294,39 @@ def cluster_assignments(spark, d):
     return mining.cluster_failures(failing, k=3, restarts=2)[0]
 
 
+# The whole run: quotas by cluster size, then each cluster's nearest free frames in turn.
+view("mined_sizes", """
+    SELECT c AS cluster, greatest(count(sample_data_token), 1) AS n
+    FROM (SELECT CAST(unnest(range(2)) AS INT) AS c) LEFT JOIN {worst_clusters_assigned} ON cluster = c GROUP BY c""")
+view("mined_quotas", """
+    SELECT *, row_number() OVER (ORDER BY quota DESC, cluster) AS turn FROM (
+      SELECT cluster, CASE WHEN t <= 60 THEN n ELSE 60 * n // t + CASE WHEN row_number() OVER (
+          ORDER BY 60 * n % t DESC, n DESC, cluster) <= 60 - sum(60 * n // t) OVER () THEN 1 ELSE 0 END END AS quota
+      FROM (SELECT *, sum(n) OVER () AS t FROM {mined_sizes}))""")
+view("mined_candidates", f"""
+    SELECT turn, cluster, quota, list({{{{'t': sample_data_token, 's': score}}}} ORDER BY score DESC, sample_data_token) AS found
+    FROM (SELECT a.cluster, a.quota, a.turn, b.sample_data_token, {_SCORE} AS score
+      FROM (SELECT q.*, list_transform(k.centers[q.cluster + 1], lambda x: CAST(x AS DOUBLE) / 1000000) AS vector
+            FROM {{mined_quotas}} q, {{worst_clusters_best}} k) a, {{vectors}} b WHERE b.label <= 6) GROUP BY ALL""")
+view("mined_picking", _picking("mined_picking", "mined_candidates"))
+view("mined_picks", "SELECT cluster, p.t AS sample_data_token, p.s AS score FROM (SELECT cluster, unnest(picks) AS p FROM {mined_picking})")
+
+
+@query("M5 M3 W7 J15 W1 T1", f"""
+    SELECT CAST(cluster AS INT) AS cluster, sample_data_token, {r6("score")} AS score
+    FROM (SELECT * FROM {{mined_picks}} UNION ALL (
+      SELECT cluster, sample_data_token, score FROM (
+        SELECT cluster, f.t AS sample_data_token, f.s AS score, row_number() OVER
+          (PARTITION BY f.t ORDER BY f.s DESC, turn) AS again
+        FROM (SELECT cluster, turn, unnest(found) AS f FROM {{mined_candidates}})
+        WHERE f.t NOT IN (SELECT sample_data_token FROM {{mined_picks}}))
+      WHERE again = 1 QUALIFY row_number() OVER (ORDER BY score DESC, sample_data_token)
+        <= 60 - (SELECT count(*) FROM {{mined_picks}})))""")
+def mined_failures(spark, d):
+    """The frames that a whole mining run picks for its clusters of failures."""
+    return rounded(_mining_run(spark, d)[1].mined.select("cluster", TOKEN, "score"), "score")
+
+
 @query("M5 W6 J19 U3", """
     SELECT least(60, count(*)) AS n_mined, least(60, count(*)) AS n_random,
       avg(CAST(is_night AS INT)) AS night_share, count(*) > 0 AS inside_pool
