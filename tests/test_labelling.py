@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from wayframe.functions import labels
 from wayframe.functions.labels import with_status
 from wayframe.functions.taxonomy import COUNT_FIELDS
 from wayframe.operators import evaluate, labelling
@@ -238,3 +239,50 @@ def test_cuts_do_not_show_in_sequential_filling(spark, rows_per_cut):
     columns = ("model", "sample_data_token", "size", "batch")
     assert rows(got.select(*columns)) == rows(whole.select(*columns))
     assert labelling.fill_batches(requests.limit(0)).count() == 0
+
+
+def _requests(spark, n):
+    return spark.createDataFrame([("m", f"t{i:04}", (i * 37) % 90 + 1) for i in range(n)], "model string, sample_data_token string, size long")
+
+
+def test_short_cuts_do_not_make_more_ranges(spark, monkeypatch):
+    parts, settle = {}, labelling.settle
+    monkeypatch.setattr(labelling, "settle", lambda df, name: (parts.setdefault(name, df.rdd.getNumPartitions()), settle(df, name))[1])
+    assert labelling.fill_batches(_requests(spark, 90), chunk_size=1, max_bytes=200, rows_per_cut=1).count() == 90
+    assert parts["dealt"] == 1  # 90 cuts
+
+
+def test_shards_are_filled_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(labelling, "CUT_ROWS", 10)
+    rows_at_once, settle = [], labelling.settle
+
+    def seen(df, name):
+        if name == "cuts":
+            rows_at_once.append(df.count())
+        return settle(df, name)
+
+    monkeypatch.setattr(labelling, "settle", seen)
+    got = labelling.assign_batches(_requests(spark, 95), chunk_size=5, max_bytes=200, shards=1)
+    whole = labelling.fill_batches(_requests(spark, 95), chunk_size=5, max_bytes=200, rows_per_cut=1000)
+    assert rows(got.drop("shard")) == rows(whole)
+    assert rows_at_once[0] == 10  # cuts of ten, not one group of a shard
+
+
+def test_texts_that_settle_nothing_are_not_parsed(spark):
+    raw = spark.createDataFrame(
+        [("a", "errored", None, "x", "{}"), ("b", "succeeded", "refusal", None, "{}"), ("c", "succeeded", None, None, "{}"), ("d", None, None, None, "{}")],
+        "custom_id string, result_type string, stop_reason string, error_type string, text string")
+    got = {r.custom_id: r.parse_status for r in with_status(raw).collect()}
+    assert got == {"a": "errored_server", "b": "refusal", "c": "schema_invalid", "d": "schema_invalid"}
+    parsed = raw.select("custom_id", F.try_parse_json(labels._read_text()).isNotNull().alias("parsed"))
+    assert {r.custom_id for r in parsed.collect() if r.parsed} == {"c", "d"}
+
+
+def test_only_last_results_are_parsed(spark):
+    raw = spark.createDataFrame(
+        [("a", "m", p, k, "succeeded", None, None, t) for p, k, t in (("1", 1, "not json"), ("1", 2, ""), ("2", 0, "{}"))],
+        "custom_id string, model string, path string, position long, result_type string, stop_reason string, error_type string, text string")
+    collected = labelling.collect_labels(raw)
+    assert [r.parse_status for r in collected.collect()] == ["schema_invalid"]
+    plan = collected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("parseJson") < plan.index("Aggregate")  # a plan is read from its last step

@@ -134,10 +134,20 @@ def parse_status(json_ok: Column, schema_ok: Column) -> Column:
     )
 
 
+def _read_text() -> Column:
+    """The text of a result whose status depends on it; NULL for those settled before."""
+    settled = F.col("result_type").isin("errored", "expired", "canceled")
+    stopped = F.col("stop_reason").isin("refusal", "max_tokens")
+    return F.when(settled, None).when(stopped, None).otherwise(F.col("text"))
+
+
 def with_status(raw: DataFrame) -> DataFrame:
-    """Add ``parse_status`` and the parsed ``label`` (NULL unless the status is ok)."""
+    """Add ``parse_status`` and the parsed ``label`` (NULL unless the status is ok).
+
+    Only texts on which the status depends are parsed.
+    """
     parsed = parse_documents(
-        raw.withColumn("_document", F.try_parse_json("text")), "_document", "_label"
+        raw.withColumn("_document", F.try_parse_json(_read_text())), "_document", "_label"
     )
     status = parse_status(F.col("_document").isNotNull(), F.col("_label").isNotNull())
     return (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
@@ -15,6 +14,8 @@ from wayframe.functions.taxonomy import COUNT_FIELDS
 from wayframe.sources.scratch import settle
 
 KNOWN_RESULTS = ("succeeded", "errored", "canceled", "expired")
+CUT_ROWS = 200_000  # of a batch's order that a task fills at once
+RANGE_ROWS = 500_000  # that a task numbers
 
 
 def flatten_labels(parsed: DataFrame) -> DataFrame:
@@ -46,8 +47,15 @@ def keep_last(labels: DataFrame, order: tuple[str, ...] = ("path", "position"))
 
 
 def collect_labels(raw: DataFrame) -> DataFrame:
-    """Raw results (with ``model``, ``path``, ``position``) to the labels table."""
-    return keep_last(flatten_labels(with_status(raw)))
+    """Raw results (with ``model``, ``path``, ``position``) to the labels table.
+
+    Only each request's last result is parsed.
+    """
+    raw = raw.select(
+        F.col("custom_id").alias("sample_data_token"), "model", "result_type", "stop_reason", "error_type", "text", "path", "position"
+    )
+    last = keep_last(raw).withColumnRenamed("sample_data_token", "custom_id")
+    return flatten_labels(with_status(last))
 
 
 def latest_status(raw: DataFrame) -> DataFrame:
@@ -94,20 +102,6 @@ def estimate_cost(
     return n.withColumn("cost", F.col("n_frames") * frame_price(F.col("model"), prices))
 
 
-def _fill(sizes: np.ndarray, chunk_size: int, max_bytes: int) -> np.ndarray:
-    """Batch number of each item when batches are filled in order."""
-    upto = np.cumsum(sizes)
-    batch = np.empty(len(sizes), dtype=np.int64)
-    start = number = 0
-    while start < len(sizes):
-        spent = upto[start - 1] if start else 0
-        fits = int(np.searchsorted(upto, spent + max_bytes, side="right"))
-        stop = min(max(fits, start + 1), start + chunk_size)
-        batch[start:stop] = number
-        start, number = stop, number + 1
-    return batch
-
-
 def assign_batches(
     requests: DataFrame,
     *,
@@ -121,20 +115,15 @@ def assign_batches(
     batch of its own. Filling is sequential, so each model's requests are first spread
     over shards by token hash and batches never span shards; with one shard the result is
     plain sequential filling in token order. ``shards`` is the caller's, so that a growing
-    table does not regroup what was batched before.
+    table does not regroup what was batched before; a shard is itself filled by many tasks,
+    so that its size bounds no task's memory.
     """
     prefix = F.conv(F.substring(F.md5("sample_data_token"), 1, 8), 16, 10).cast("long")
     sharded = requests.select(
         "model", "sample_data_token", F.col("size").cast("long").alias("size"),
         F.pmod(prefix, F.lit(shards)).cast("int").alias("shard"),
     )
-
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("sample_data_token", ignore_index=True)
-        return part.assign(batch=_fill(part["size"].to_numpy(), chunk_size, max_bytes))
-
-    schema = "model string, sample_data_token string, size long, shard int, batch long"
-    return sharded.groupBy("model", "shard").applyInPandas(fill, schema)
+    return _filled(sharded, ("model", "shard"), chunk_size, max_bytes, CUT_ROWS)
 
 
 def _next_starts(sizes: np.ndarray, chunk_size: int, max_bytes: int) -> np.ndarray:
@@ -147,33 +136,45 @@ def _next_starts(sizes: np.ndarray, chunk_size: int, max_bytes: int) -> np.ndarr
 
 
 def fill_batches(
-    requests: DataFrame, *, chunk_size: int = 500, max_bytes: int = 190_000_000, rows_per_cut: int = 200_000,
+    requests: DataFrame, *, chunk_size: int = 500, max_bytes: int = 190_000_000, rows_per_cut: int = CUT_ROWS,
 ) -> DataFrame:
     """Plain sequential filling of each model's requests in token order, by many tasks.
 
     Adds ``batch`` to requests ``(model, sample_data_token, size)``; the result is that of
-    :func:`assign_batches` with one shard, whatever ``rows_per_cut`` is. A model's requests
-    are numbered in token order and cut after every ``rows_per_cut``. How a cut is filled
-    depends on what is before it only through the number of its first items that still go
-    to the batch left open there, which is at most ``chunk_size``. So each cut, seeing also
-    the first items of the next, turns every such number into the one it hands on and the
-    batches it begins; following these from cut to cut, a short table per cut, gives where
-    each begins, and then all cuts are filled at once.
+    :func:`assign_batches` with one shard, whatever ``rows_per_cut`` is.
     """
-    cut_rows = max(rows_per_cut, chunk_size)
     narrow = requests.select("model", "sample_data_token", F.col("size").cast("long").alias("size"))
-    parts = max(1, -(-narrow.count() // cut_rows))
-    dealt = settle(narrow.repartitionByRange(parts, "model", "sample_data_token").withColumn("part", F.spark_partition_id()), "requests")
-    held = dealt.groupBy("model", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("model").orderBy("part")) - F.col("n")
-    held = held.select("model", "part", before.alias("before"))  # a row per model and part
-    inside = F.row_number().over(Window.partitionBy("model", "part").orderBy("sample_data_token"))
+    return _filled(narrow, ("model",), chunk_size, max_bytes, rows_per_cut)
+
+
+def _filled(requests: DataFrame, keys: tuple[str, ...], chunk_size: int, max_bytes: int, rows_per_cut: int) -> DataFrame:
+    """Requests with the ``batch`` that sequential filling per ``keys`` gives them.
+
+    A key's requests are numbered in token order and cut after every ``rows_per_cut``. How a
+    cut is filled depends on what is before it only through the number of its first items
+    that still go to the batch left open there, which is at most ``chunk_size``. So each cut,
+    seeing also the first items of the next, turns every such number into the one it hands on
+    and the batches it begins; following these from cut to cut, a short table per cut, gives
+    where each begins, and then all cuts are filled at once. The numbering is by ranges of
+    RANGE_ROWS, however short the cuts are.
+    """
+    cut_rows = max(rows_per_cut, chunk_size)
+    types = {f.name: f.dataType.simpleString() for f in requests.schema}
+    key_types = ", ".join(f"{k} {types[k]}" for k in keys)
+    requests = settle(requests, "requests")
+    parts = max(1, -(-requests.count() // RANGE_ROWS))
+    dealt = settle(requests.repartitionByRange(parts, *keys, "sample_data_token").withColumn("part", F.spark_partition_id()), "dealt")
+    held = dealt.groupBy(*keys, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*keys).orderBy("part")) - F.col("n")
+    held = held.select(*keys, "part", before.alias("before"))  # a row per key and part
+    inside = F.row_number().over(Window.partitionBy(*keys, "part").orderBy("sample_data_token", "size"))
     number = F.col("before") + F.col("inside") - 1
     numbered = settle(
-        dealt.withColumn("inside", inside).join(held, ["model", "part"]).select(
-            "model", "sample_data_token", "size", number.alias("i"), F.floor(number / cut_rows).cast("long").alias("cut")), "numbered")
+        _with(dealt.withColumn("inside", inside), held, *keys, "part").select(
+            *requests.columns, number.alias("i"), F.floor(number / cut_rows).cast("long").alias("cut")), "numbered")
     ahead = numbered.filter((F.col("cut") > 0) & (F.col("i") % cut_rows < chunk_size)).withColumn("cut", F.col("cut") - 1)
     seen = numbered.withColumn("own", F.lit(True)).unionByName(ahead.withColumn("own", F.lit(False)))
+    seen = seen.select(*keys, "cut", "i", "size", "own")
 
     def hand_on(table: pa.Table) -> pa.Table:
         order = np.argsort(np.asarray(table["i"]))
@@ -185,10 +186,10 @@ def fill_batches(
         for at in range(n - 1, -1, -1):
             left[at], begun[at] = left[following[at]], begun[following[at]] + 1
         upto = min(n, chunk_size) + 1
-        return pa.table({"model": table["model"].slice(0, 1), "cut": table["cut"].slice(0, 1),
+        return pa.table({**{k: table[k].slice(0, 1) for k in keys}, "cut": table["cut"].slice(0, 1),
                          "left": pa.array([left[:upto]], pa.list_(pa.int32())), "begun": pa.array([begun[:upto]], pa.list_(pa.int32()))})
 
-    tables = settle(seen.groupBy("model", "cut").applyInArrow(hand_on, "model string, cut long, left array<int>, begun array<int>"), "cuts")
+    tables = settle(seen.groupBy(*keys, "cut").applyInArrow(hand_on, f"{key_types}, cut long, left array<int>, begun array<int>"), "cuts")
 
     def follow(table: pa.Table) -> pa.Table:
         table = table.sort_by("cut")
@@ -197,9 +198,9 @@ def fill_batches(
             entries.append(entry)
             firsts.append(batch)
             entry, batch = left[entry], batch + begun[entry]
-        return pa.table({"model": table["model"], "cut": table["cut"], "entry": pa.array(entries, pa.int32()), "first": pa.array(firsts, pa.int64())})
+        return pa.table({**{k: table[k] for k in keys}, "cut": table["cut"], "entry": pa.array(entries, pa.int32()), "first": pa.array(firsts, pa.int64())})
 
-    entries = settle(tables.groupBy("model").applyInArrow(follow, "model string, cut long, entry int, first long"), "entries")
+    entries = settle(tables.groupBy(*keys).applyInArrow(follow, f"{key_types}, cut long, entry int, first long"), "entries")
 
     def fill(table: pa.Table) -> pa.Table:
         table = table.sort_by("i")
@@ -210,10 +211,17 @@ def fill_batches(
             begins[at] = 1
             at = int(following[at])
         batch = table["first"][0].as_py() - 1 + np.cumsum(begins[:-1])
-        return pa.table({"model": table["model"], "sample_data_token": table["sample_data_token"], "size": table["size"], "batch": pa.array(batch)})
+        return pa.table({**{c: table[c] for c in types}, "batch": pa.array(batch)})
+
+    filled = ", ".join(f"{c} {t}" for c, t in types.items())
+    return _with(numbered, entries, *keys, "cut").groupBy(*keys, "cut").applyInArrow(fill, f"{filled}, batch long")
+
 
-    return numbered.join(entries, ["model", "cut"]).groupBy("model", "cut").applyInArrow(
-        fill, "model string, sample_data_token string, size long, batch long")
+def _with(df: DataFrame, found: DataFrame, *keys: str) -> DataFrame:
+    """A join on keys that may be null; the keys are those of ``df``."""
+    named = found.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(named, same).drop(*[f"_{k}" for k in keys])
 
 
 def batch_summary(assigned: DataFrame) -> DataFrame:
