@@ -11,11 +11,12 @@ from wayframe.plans.metadata import MIN_AREA, exported, flat_tables, label_files
 from wayframe.plans.proxies import table
 from wayframe.plans.registry import TWINS, query, r6, rounded
 from wayframe.sources import tables as io
-from wayframe.sources.scratch import scratch_path
+from wayframe.sources.scratch import scratch_path, settle
 from wayframe.streaming import capture as streams
 
 
 FILE_ROWS = 50_000  # of a JSON array, about
+LINE_ROWS = 200_000  # of a file of JSON lines, about
 
 
 def _json_arrays(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
@@ -74,7 +75,7 @@ def written_summary(spark: SparkSession, d: str) -> DataFrame:
     SELECT count(*) AS n_rows, false AS first_skipped, true AS second_skipped, false AS changed_skipped FROM {samples}""")
 def build_skipped(spark: SparkSession, d: str) -> DataFrame:
     """A build runs, is skipped while nothing changed, and runs again for another option."""
-    path, samples = scratch_path(spark, "build"), flat_tables(spark, d)[0]
+    path, samples = scratch_path(spark, "build"), settle(flat_tables(spark, d)[0], "samples")
 
     def run(floor: int) -> tuple[dict, bool]:
         key = build_key({"samples": samples}, {"floor": floor})
@@ -89,11 +90,13 @@ def build_skipped(spark: SparkSession, d: str) -> DataFrame:
 @query("S7 P21 P22 P23 W8", TWINS["collected_labels"])
 def labels_from_files(spark: SparkSession, d: str) -> DataFrame:
     """Label results written as JSON lines, a folder per batch, and collected from there."""
-    path, results = scratch_path(spark, "results"), table(spark, d, "results")
-    lines = results.withColumnRenamed("path", "batch").repartitionByRange(8, "batch", "position").sortWithinPartitions("batch", "position")
-    lines.select("custom_id", "result_type", "stop_reason", "text", "error_type", "batch").write.partitionBy("batch").json(path)
+    path, results = scratch_path(spark, "results"), settle(table(spark, d, "results"), "raw-results")
+    parts = max(8, -(-results.count() // LINE_ROWS))
+    lines = results.withColumnRenamed("path", "batch").repartitionByRange(parts, "batch", "position").sortWithinPartitions("batch", "position")
+    lines = lines.select("custom_id", "result_type", "stop_reason", "text", "error_type", "batch")
+    lines.write.partitionBy("batch").option("compression", "gzip").json(path)
     batches = results.select(F.col("path").alias("batch_id"), "model").distinct()
-    return labelling.collect_labels(io.read_label_results(spark, path, batches, "*.json", r"/batch=([^/]+)/"))
+    return labelling.collect_labels(io.read_label_results(spark, path, batches, "*.json.gz", r"/batch=([^/]+)/"))
 
 
 @query("ST1", f"""

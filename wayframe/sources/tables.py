@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wayframe import schemas
-from wayframe.sources.scratch import scratch_path
+from wayframe.sources.scratch import scratch_path, settle
 
 # Capture-log names of the drift features.
+LISTERS = 8  # blocks of directories that are listed at a time
 CAPTURE_RENAMES = {"image_width": "width", "image_height": "height", "n_detections": "n_boxes"}
 
 
@@ -52,8 +53,8 @@ def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFram
     """Files of each relative ``directory`` under ``root``, on any file system, as ``filename``.
 
     Directories are listed in blocks of ``batch`` by Spark's own parallel listing, which
-    looks at names alone (empty files included), and each block's files go to a table, so
-    that the driver holds the names of one block. A directory's files are its own, not those of
+    looks at names alone (empty files included). LISTERS blocks are under way at a time and
+    their files go to a table together, so that the driver holds their names. A directory's files are its own, not those of
     directories below it (which are walked all the same); one that does not exist has none. Names that begin with a dot or an
     underscore are hidden from Spark and are not listed.
     """
@@ -69,18 +70,23 @@ def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFram
         return system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{directory}"))
 
     names = (r["directory"] for r in directories.select("directory").distinct().toLocalIterator())
-    with ThreadPool(16) as pool:
-        while block := list(islice(names, batch)):
-            block = [d for d, found in zip(block, pool.map(there, block)) if found]
-            if not block:
+
+    def files_below(block: list[str]) -> list[str]:
+        return list(spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{base}/{d}" for d in block]).inputFiles())
+
+    with ThreadPool(16) as pool, ThreadPool(LISTERS) as listers:
+        while wave := list(islice(names, batch * LISTERS)):
+            wave = [d for d, found in zip(wave, pool.map(there, wave)) if found]
+            if not wave:
                 continue
+            # A folder may lie below one of another block: its files are found twice.
+            found = set().union(*listers.map(files_below, [wave[i:i + batch] for i in range(0, len(wave), batch)]))
+            listed = spark.createDataFrame(pa.table({"value": pa.array(sorted(found), pa.string())}))
             # Names are encoded as in a URI, but for the plus sign.
-            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{base}/{d}" for d in block]).inputFiles()
-            listed = spark.createDataFrame(pa.table({"value": pa.array(found, pa.string())}))
             path = F.url_decode(F.replace(F.regexp_replace("value", "^[^/]*(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
             files = listed.select(F.substring(path, skip, 1 << 30).alias("filename"))
             parent = F.regexp_replace("filename", "/?[^/]*$", "")
-            files.filter(parent.isin(block)).write.mode("append").parquet(out)
+            files.filter(parent.isin(wave)).write.mode("append").parquet(out)
     return spark.read.schema("filename string").parquet(out)
 
 
@@ -106,7 +112,8 @@ def read_label_results(
     raw = lines.filter(F.trim("value") != "").select("path", "position", record.alias("r"))
     stem = F.regexp_extract("path", batch, 1)
     raw = raw.select("r.*", "path", "position", stem.alias("batch_id"))
-    known = batches.select("batch_id", "model")
+    # Written, so that its measured size decides: a few batches must not deal the lines out.
+    known = settle(batches.select("batch_id", "model"), "batches")
     return raw.join(known, "batch_id", "left").withColumn(
         "model", F.coalesce("model", F.lit("?"))
     )
