@@ -171,3 +171,30 @@ def test_running_totals_do_not_depend_on_the_cuts(spark, descending):
         total[k] = total.get(k, 0) + n
         total[k, v] = total[k]
     assert {(r.k, r.v): r.cum_n for r in cut.collect()} == {x: n for x, n in total.items() if len(x) == 2}
+
+
+def test_small_groups_have_one_cell(spark, monkeypatch):
+    grids, gridded = [], matching._gridded_pairs
+
+    def seen(pred, gt, iou_min):
+        grids.extend(r["_grid"] for r in pred.collect())
+        return gridded(pred, gt, iou_min)
+
+    monkeypatch.setattr(matching, "_gridded_pairs", seen)
+    box = "frame string, box_id string, cls int, conf double, x_min double, y_min double, x_max double, y_max double"
+    pred = spark.createDataFrame([("f", "p", 0, 0.9, 10.0, 10.0, 700.0, 700.0)], box)
+    gt = spark.createDataFrame([("f", "g", 0, 0.0, 10.0, 10.0, 690.0, 700.0)], box).drop("conf")
+    assert [r.gt_id for r in matching.match_boxes(pred, gt, (0.5,), fold_limit=0).collect()] == ["g"]
+    assert grids == [1]  # not the 64 cells a side of a crowded frame
+
+
+def test_boxes_inside_the_image_cross_no_edge():
+    import numpy as np
+
+    from wayframe.functions import geometry
+
+    inside = np.stack([np.linspace(100, 200, 8), np.linspace(50, 90, 8)], axis=1)
+    points, seen = np.stack([inside, inside - [150, 0]]), np.ones((2, 8), bool)
+    size = np.full(2, 1600.0), np.full(2, 900.0)
+    reached = [rows.tolist() for rows, _, _ in geometry._chord_crossings(points, seen, *size)]
+    assert reached == [[1], [], [], []]

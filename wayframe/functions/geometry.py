@@ -105,16 +105,25 @@ def _rotation(q: np.ndarray) -> np.ndarray:
     ).reshape(-1, 3, 3)
 
 
+def _extent(points: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and largest coordinates of each row's valid points; infinite without any."""
+    valid = valid[..., None]
+    return np.where(valid, points, np.inf).min(axis=1), np.where(valid, points, -np.inf).max(axis=1)
+
+
 def _chord_crossings(points: np.ndarray, seen: np.ndarray, w: np.ndarray, h: np.ndarray):
     """Where the segments between visible corners cross the four canvas edges.
 
     Every such segment lies inside the convex hull, so its crossings belong to
     hull-and-canvas, and the hull's own edges are among the segments.
     """
-    a, b = points[:, _CHORDS[:, 0]], points[:, _CHORDS[:, 1]]
-    both = seen[:, _CHORDS[:, 0]] & seen[:, _CHORDS[:, 1]]
+    low, high = _extent(points, seen)
     for axis, limit in ((0, np.zeros_like(w)), (0, w), (1, np.zeros_like(h)), (1, h)):
-        other, bound = 1 - axis, (h if axis == 0 else w)
+        rows = np.flatnonzero((low[:, axis] <= limit) & (limit <= high[:, axis]))  # others don't reach the edge
+        own, limit = points[rows], limit[rows]
+        a, b = own[:, _CHORDS[:, 0]], own[:, _CHORDS[:, 1]]
+        both = seen[rows][:, _CHORDS[:, 0]] & seen[rows][:, _CHORDS[:, 1]]
+        other, bound = 1 - axis, (h if axis == 0 else w)[rows]
         delta = b[..., axis] - a[..., axis]
         with np.errstate(divide="ignore", invalid="ignore"):
             t = (limit[:, None] - a[..., axis]) / delta
@@ -123,20 +132,25 @@ def _chord_crossings(points: np.ndarray, seen: np.ndarray, w: np.ndarray, h: np.
         found = np.empty(at.shape + (2,))
         found[..., axis] = limit[:, None]
         found[..., other] = at
-        yield found, hit
+        yield rows, found, hit
 
 
 def _covered_canvas_corners(points: np.ndarray, seen: np.ndarray, w: np.ndarray, h: np.ndarray):
     """Canvas corners inside the hull: no half-plane through them holds every point."""
+    low, high = _extent(points, seen)
     for fx, fy in product((0.0, 1.0), repeat=2):
         corner = np.stack([fx * w, fy * h], axis=1)
-        away = points - corner[:, None, :]
-        angle = np.where(seen, np.arctan2(away[..., 1], away[..., 0]), np.nan)
+        rows = np.flatnonzero(((low <= corner) & (corner <= high)).all(axis=1))
+        if not len(rows):
+            continue
+        corner = corner[rows]
+        away = points[rows] - corner[:, None, :]
+        angle = np.where(seen[rows], np.arctan2(away[..., 1], away[..., 0]), np.nan)
         angle = np.sort(angle, axis=1)  # NaN sorts last
         gaps = np.diff(angle, axis=1)
         first, last = angle[:, 0], np.nanmax(angle, axis=1)
         widest = np.fmax(np.nanmax(gaps, axis=1), first + 2 * np.pi - last)
-        yield corner[:, None, :], (widest <= np.pi)[:, None]
+        yield rows, corner[:, None, :], (widest <= np.pi)[:, None]
 
 
 def _project(center, size, rotation, intrinsic, width, height, clip, min_z):
@@ -159,15 +173,13 @@ def _project(center, size, rotation, intrinsic, width, height, clip, min_z):
             seen & (points >= 0).all(axis=2)
             & (points[..., 0] <= w[:, None]) & (points[..., 1] <= h[:, None])
         )
-        found = [(points, inside)]
-        found += list(_chord_crossings(points, seen, w, h))
-        found += list(_covered_canvas_corners(points, seen, w, h))
+        low, high = _extent(points, inside)
+        for source in (_chord_crossings, _covered_canvas_corners):
+            for rows, where, valid in source(points, seen, w, h):
+                least, most = _extent(where, valid)
+                low[rows], high[rows] = np.minimum(low[rows], least), np.maximum(high[rows], most)
     else:
-        found = [(points, seen)]
-    where = np.concatenate([p for p, _ in found], axis=1)
-    valid = np.concatenate([v for _, v in found], axis=1)[..., None]
-    low = np.where(valid, where, np.inf).min(axis=1)
-    high = np.where(valid, where, -np.inf).max(axis=1)
+        low, high = _extent(points, seen)
     solid = (high > low).all(axis=1)
     out[enough] = np.where(solid[:, None], np.concatenate([low, high], axis=1), np.nan)
     return out

@@ -22,6 +22,7 @@ CLAIM_COLUMNS = ("frame", "cls", "pred_id", "gt_id", "conf", "iou", "reached")
 # Above this many prediction-truth pairs a (frame, class) is matched by rounds of joins
 # instead of in one row.
 FOLD_LIMIT = 250_000
+GRID = 64  # cells across the image of the most crowded groups
 
 
 def ground_truth(
@@ -58,12 +59,13 @@ def overlapping_pairs(pred: DataFrame, gt: DataFrame, iou_min: float = 0.5) -> D
 
 
 def _gridded_pairs(pred: DataFrame, gt: DataFrame, iou_min: float) -> DataFrame:
-    """The same pairs for crowded frames, compared only within cells of a fine grid.
+    """The same pairs for crowded frames, compared only within cells of a grid.
 
-    Each box is listed in every cell it touches; a pair is kept in the one cell that holds
+    Rows carry ``_grid``, how many cells their group's grid has across the image: a box of a
+    small group is in one cell, or a few at its border. Each box is listed in every cell it touches; a pair is kept in the one cell that holds
     the corner where its overlap starts, so nothing is found twice.
     """
-    cell = IMAGE_WIDTH / 64
+    cell = F.lit(float(IMAGE_WIDTH)) / F.col("_grid")
 
     def cells(df: DataFrame) -> DataFrame:
         for axis in ("x", "y"):
@@ -72,7 +74,7 @@ def _gridded_pairs(pred: DataFrame, gt: DataFrame, iou_min: float) -> DataFrame:
             df = df.withColumn(f"cell_{axis}", F.explode(F.sequence(first, last)))
         return df
 
-    keys = ["frame", "cls", "cell_x", "cell_y"]
+    keys = ["frame", "cls", "_grid", "cell_x", "cell_y"]
     p = cells(pred).select(*keys, F.struct("box_id", "conf", *CORNERS).alias("p"))
     g = cells(gt).select(*keys, F.struct("box_id", *CORNERS).alias("g"))
     start = [F.floor(F.greatest(f"p.{a}_min", f"g.{a}_min") / cell) for a in ("x", "y")]
@@ -193,7 +195,8 @@ def match_claims(
     crowded = settle(
         sizes[0].join(sizes[1], ["frame", "cls"])
         .filter(F.col("_n_pred") * F.col("_n_gt") > fold_limit)
-        .select("frame", "cls"),
+        # As many cells as there are boxes on a side, about.
+        .select("frame", "cls", F.least(F.lit(GRID), F.pow(F.col("_n_pred") * F.col("_n_gt"), F.lit(0.25))).cast("int").alias("_grid")),
         "crowded",
     )
     if crowded.isEmpty():
@@ -203,7 +206,7 @@ def match_claims(
         return df.join(crowded, ["frame", "cls"], how)
 
     ordinary = overlapping_pairs(part(pred, "left_anti"), part(gt, "left_anti"), lowest)
-    dense = _gridded_pairs(part(pred, "left_semi"), part(gt, "left_semi"), lowest)
+    dense = _gridded_pairs(part(pred, "inner"), part(gt, "inner"), lowest)
     rounds = _claim_by_rounds(_per_threshold(dense.withColumn("reached", _reach(thresholds)), thresholds))
     bit = reduce(lambda x, kt: x.when(F.col("iou_threshold") == kt[1], 1 << kt[0]), enumerate(map(float, thresholds)), F).cast("long")
     rounds = rounds.groupBy("frame", "cls", "pred_id", "gt_id", "conf", "iou").agg(F.sum(bit).alias("reached"))
