@@ -21,6 +21,7 @@ def operating_points(
     gt: DataFrame,
     slices: DataFrame | None = None,
     thresholds: Sequence[float] = IOU_LADDER,
+    truth: DataFrame | None = None,
 ) -> DataFrame:
     """True and false positives at every distinct confidence.
 
@@ -30,30 +31,36 @@ def operating_points(
     also counts towards ``overall``.
     """
     claims = match_claims(pred, gt, thresholds)
-
-    def sliced(df: DataFrame) -> DataFrame:
-        everything = df.withColumn("slice", F.lit("overall"))
-        if slices is None:
-            return everything
-        return everything.unionByName(df.join(slices.select("frame", "slice"), "frame"))
-
-    # The ladder stays a handful of columns until every prediction and hit is counted.
+    # The ladder stays a handful of columns until every prediction and hit is counted. Rows
+    # meet their frame's slices in one join, and are counted where they are before they move.
     steps = [f"tp{k}" for k in range(len(thresholds))]
-    seen = pred.groupBy("frame", "cls", "conf").agg(F.count("*").alias("n_pred"))
-    seen = sliced(seen).groupBy("slice", "cls", "conf").agg(F.sum("n_pred").alias("n_pred"))
-    hits = claims.groupBy("frame", "cls", "conf").agg(
+    seen = _sliced(pred.select("frame", "cls", "conf"), slices)
+    seen = seen.groupBy("slice", "cls", "conf").agg(F.count("*").alias("n_pred"))
+    hits = _sliced(claims.select("frame", "cls", "conf", "reached"), slices).groupBy("slice", "cls", "conf").agg(
         *[F.sum(F.getbit("reached", F.lit(k)).cast("long")).alias(step) for k, step in enumerate(steps)])
-    hits = sliced(hits).groupBy("slice", "cls", "conf").agg(*[F.sum(step).alias(step) for step in steps])
     keys = ["slice", "cls", "iou_threshold"]
     ladder = F.array(*[
         F.struct(F.lit(float(t)).alias("iou_threshold"), F.coalesce(step, F.lit(0)).alias("tp"))
         for t, step in zip(thresholds, steps)])
     points = seen.join(hits, ["slice", "cls", "conf"], "left").select("slice", "cls", "conf", "n_pred", F.inline(ladder))
     points = settle(points.select(*keys, "conf", "tp", (F.col("n_pred") - F.col("tp")).alias("fp")), "operating-points")
-    truth = gt.groupBy("frame", "cls").agg(F.count("*").alias("n_gt"))
-    truth = sliced(truth).groupBy("slice", "cls").agg(F.sum("n_gt").alias("n_gt"))
     curve = running_totals(points, keys, "conf", ["tp", "fp"], descending=True)
-    return curve.join(truth, ["slice", "cls"])
+    return curve.join(_truth_counts(gt, slices) if truth is None else truth, ["slice", "cls"])
+
+
+def _sliced(df: DataFrame, slices: DataFrame | None) -> DataFrame:
+    """Rows once for ``overall`` and once for every slice of their ``frame``."""
+    everything = F.array(F.lit("overall"))
+    if slices is None:
+        return df.withColumn("slice", F.explode(everything))
+    held = slices.groupBy("frame").agg(F.collect_list("slice").alias("_slices"))
+    found = df.join(held, "frame", "left")
+    return found.withColumn("slice", F.explode(F.concat(everything, F.coalesce("_slices", F.array().cast("array<string>"))))).drop("_slices")
+
+
+def _truth_counts(gt: DataFrame, slices: DataFrame | None) -> DataFrame:
+    """Boxes ``n_gt`` per slice and class: a small table, written."""
+    return settle(_sliced(gt.select("frame", "cls"), slices).groupBy("slice", "cls").agg(F.count("*").alias("n_gt")), "truth-counts")
 
 
 def class_metrics(
@@ -70,7 +77,8 @@ def class_metrics(
     keys = ["slice", "cls", "iou_threshold"]
     recall = F.col("cum_tp") / F.col("n_gt")
     precision = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
-    curve = operating_points(pred, gt, slices, thresholds).select(
+    truth = _truth_counts(gt, slices)
+    curve = operating_points(pred, gt, slices, thresholds, truth).select(
         *keys, "n_gt", precision.alias("precision"), recall.alias("recall"),
         # The highest level this point reaches, by integer division.
         F.floor(F.col("cum_tp") * RECALL_LEVELS / F.col("n_gt")).cast("int").alias("level"),
@@ -98,7 +106,8 @@ def class_metrics(
         .alias("ap"),
         F.max("best").alias("best"),
     )
-    truth_keys = _classes_with_truth(gt, slices, thresholds)
+    ladder = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("iou_threshold")
+    truth_keys = truth.select("slice", "cls", ladder)
     return truth_keys.join(scored, keys, "left").select(
         *keys,
         F.coalesce("ap", F.lit(0.0)).alias("ap"),
@@ -107,17 +116,6 @@ def class_metrics(
     )
 
 
-def _classes_with_truth(
-    gt: DataFrame, slices: DataFrame | None, thresholds: Sequence[float]
-) -> DataFrame:
-    found = gt.select("frame", "cls").distinct()
-    every = found.select(F.lit("overall").alias("slice"), "cls")
-    if slices is not None:
-        every = every.union(found.join(slices, "frame").select("slice", "cls"))
-    ladder = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("iou_threshold")
-    return every.distinct().select("*", ladder)
-
-
 def detection_metrics(per_class: DataFrame, n_images: DataFrame | None = None) -> DataFrame:
     """Mean over classes: ``slice, mAP50, mAP50-95, precision, recall`` (+ ``n_images``)."""
     at_half = F.col("iou_threshold") == IOU_LADDER[0]

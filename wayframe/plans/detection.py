@@ -288,27 +288,27 @@ def first_frames(spark, d):
 # --- average precision ----------------------------------------------------------------
 
 
-def _class_metrics(spark, d):
+def _frames(spark, d):
     samples = flat_tables(spark, d)[0].select(
         F.col("sample_data_token").alias("frame"), "scene_description"
     )
-    samples = settle(samples, "frames")
-    members = slice_members(samples).select("frame", "slice")
-    frames = samples.select("frame")
-    pred, gt = _detections(spark, d)
-    pred = settle(pred.join(frames, "frame", "left_semi"), "predictions")
-    return detection.class_metrics(pred, gt, settle(members, "members"))
+    return settle(samples, "frames")
+
+
+def _class_metrics(spark, d, frames=None):
+    frames = _frames(spark, d) if frames is None else frames
+    members = slice_members(frames).select("frame", "slice")
+    pred = table(spark, d, "predictions").join(frames.select("frame"), "frame", "left_semi")
+    truth = settle(matching.ground_truth(flat_tables(spark, d)[1]), "truth")
+    return detection.class_metrics(settle(pred, "predictions"), truth, members)
 
 
 def _metrics(spark, d):
-    sizes = detection.slice_sizes(
-        slice_members(flat_tables(spark, d)[0]).select("slice")
-    ).unionByName(
-        flat_tables(spark, d)[0].agg(F.count("*").alias("n_images")).select(
-            F.lit("overall").alias("slice"), "n_images"
-        )
+    frames = _frames(spark, d)
+    sizes = detection.slice_sizes(slice_members(frames).select("slice")).unionByName(
+        frames.agg(F.count("*").alias("n_images")).select(F.lit("overall").alias("slice"), "n_images")
     )
-    return detection.detection_metrics(_class_metrics(spark, d), sizes)
+    return detection.detection_metrics(_class_metrics(spark, d, frames), sizes)
 
 
 @query("A24 W4", f"""
