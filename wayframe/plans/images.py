@@ -15,10 +15,11 @@ from wayframe.plans.proxies import table
 from wayframe.plans.registry import query, r6, rounded, view
 from wayframe.plans.vectors import _MILLIONTHS_SQL, _millionths
 from wayframe.sources import tables as io, vectors
-from wayframe.sources.scratch import scratch_path
+from wayframe.sources.scratch import scratch_path, settle
 
 TOKEN = "sample_data_token"
 SIDE = 8
+TASK_FILES = 200  # image files that a task writes, about
 
 # Both engines run this; colours stay below 128.
 _UNITS = """
@@ -67,7 +68,10 @@ def _written(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
     root, units = scratch_path(spark, "images"), _units(spark, d)
     files = units.filter("NOT absent").select(
         "channel", F.col("token").alias("unit"), F.when(F.col("broken"), F.lit("not an image")).otherwise(_bitmap()).alias("value"))
-    files.write.partitionBy("channel", "unit").text(root)
+    # A file per unit, written by as many tasks as there are units, and moved into place by
+    # them, not by the driver one by one.
+    files = files.repartition(max(8, -(-units.count() // TASK_FILES)), "unit")
+    files.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("channel", "unit").text(root)
     return units, root
 
 
@@ -83,8 +87,8 @@ def _decoded(spark: SparkSession, root: str) -> DataFrame:
 def image_brightness(spark: SparkSession, d: str) -> DataFrame:
     """Bitmaps written from a table, some of them junk, decoded and measured."""
     _, root = _written(spark, d)
-    read = _decoded(spark, root).select(
-        TOKEN, "height", "width", pixels.brightness("height", "width", "n_channels", "data").alias("brightness"))
+    read = settle(_decoded(spark, root).select(
+        TOKEN, "height", "width", pixels.brightness("height", "width", "n_channels", "data").alias("brightness")), "brightness")
     unreadable = read.filter("height IS NULL").count()
     return rounded(read, "brightness").withColumn("n_unreadable", F.lit(unreadable).cast("long"))
 
@@ -124,7 +128,8 @@ def _mean_colour():
 def image_embedding_job(spark: SparkSession, d: str) -> DataFrame:
     """Images that are present, embedded with thumbnails into a store; a second run adds nothing."""
     units, root = _written(spark, d)
-    frames = _decoded(spark, root).withColumn("scene_name", F.lit("scene-0"))
+    # Both runs read tokens and pixels: files are opened and decoded once.
+    frames = settle(_decoded(spark, root).withColumn("scene_name", F.lit("scene-0")), "decoded")
     store, embedder = scratch_path(spark, "image-store"), embedding.FunctionEmbedder(_mean_colour, 3, "colour")
     options = dict(manifest=_manifest(units, root), thumbnail_side=SIDE)
     first = embedding.run_embedding(frames, embedder, "data", store, **options)
