@@ -192,6 +192,33 @@ def test_three_words_are_told_from_their_pairs(spark):
     assert trained[3][kneser_ney.UNKNOWN] == pytest.approx(unseen)
 
 
+def test_counts_come_from_all_documents_of_the_training_half(spark, monkeypatch):
+    frame = spark.createDataFrame([(k, f"w{k} is w{k + 1}", "en") for k in range(9000)], "doc_id long, text string, lang string")
+    labels = frame.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    train, sizes = kneser_ney.train, []
+    monkeypatch.setattr(kneser_ney, "train", lambda texts, order: sizes.append(texts.count()) or train(texts, order))
+    assert kneser_ney.classify(frame, labels).count() == 9000
+    assert 4300 < sizes[0] < 4700
+
+
+def test_rare_words_rounds_and_partitions_change_no_perplexity(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.randrange(1, 40))) for _ in range(80)]
+    frame = spark.createDataFrame(list(enumerate([*texts, "never seen w1 w2 words"])), "doc_id long, text string")
+
+    def perplexities(shards):
+        trained = kneser_ney.train(frame.where("doc_id < 50").select("text"), 3)
+        assert len(trained[0]) <= kneser_ney.FREQUENT
+        return {r.doc_id: (r.n_pairs, round(r.log_perplexity, 5)) for r in kneser_ney.score(frame, trained, shards).collect()}
+
+    whole = perplexities(1)
+    assert len(whole) == 81 and whole[80][0] == 6
+    monkeypatch.setattr(kneser_ney, "FREQUENT", 4)
+    monkeypatch.setattr(kneser_ney, "PART_RUNS", 50)
+    monkeypatch.setattr(kneser_ney, "PIECE_BYTES", 200)
+    assert perplexities(2) == {doc: (n, pytest.approx(x, abs=2e-5)) for doc, (n, x) in whole.items()}
+
+
 # Decontamination
 
 

@@ -1,25 +1,25 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over runs of ``order`` words. Every word of the training sample is an id of its
-own; a word the sample lacks is one id, never seen, whose probability is the mass that the
-discounts leave to unseen words, spread over IDS possible words. Counts are Spark
-aggregates; the discounts of each order follow from its counts of counts (Chen and Goodman),
-the lower orders from continuation counts (runs from a text's beginning, which nothing
-precedes, by their counts).
-
-Scoring is a sharded count join by 64-bit hashes of runs: the counts are dealt into shards by
-the word before the last, which all orders from two share, so that a run finds all its counts
-in one shard. Each shard, SHARD_ENTRIES counts at most but for one very common word's, is
-sent to the tasks, packed, and joined with all documents, whose texts are neither shuffled nor
-written; partial scores are summed per document. There are as many shards, and readings of
-the texts, as the training sample needs, however many documents there are. The sample's
-distinct words and their lowest-order probabilities, a number each, go to every task too.
-Partial scores are whole millionths, so that their sums don't depend on order.
-
-A language's threshold is a quantile of the perplexity of its trusted documents that the
-model was not trained on. Only the training sample is bounded (``train_documents`` per
-language, at most half of the trusted documents, chosen by a hash of doc_id); the quantiles
-take all other trusted documents.
+The model is over runs of ``order`` words. Every word of the training texts is a word of its
+own, and its counts come from all of them, however many there are; the probability of a word
+they lack is the mass that the discounts leave to unseen words, spread over IDS possible
+words. The discounts of each order follow from its counts of counts (Chen and Goodman), the
+lower orders from continuation counts (runs from a text's beginning, which nothing precedes,
+by their counts).
+
+Counts are never gathered: all runs of the training texts and of the documents are dealt out
+by the word before the last, which all orders from two share, so that a run meets all its
+counts in one partition. A partition counts its training runs first and then passes over the
+documents' runs piece by piece. What it finds is linear in the last word's lowest-order
+probability. The FREQUENT most frequent words (a fixed number) have theirs, and short ids, in
+every task; a run that ends in another word is joined with a table of those. The runs are
+dealt in ROUNDS rounds, a fixed number, each of which reads the texts once and leaves a sum
+per document, so that only a round's runs are on disk at a time; partitions grow in number
+with the texts. Sums are of whole millionths and don't depend on order.
+
+The trusted documents are split in two halves by a hash of doc_id: the model counts all of
+one half, and a language's threshold is a quantile of the perplexity of all of its other half,
+since a model's perplexity of its own training texts says nothing of others.
 
 Defined results: trusted means quality 1 and toxic not 1; repeated label rows count by
 their smallest quality and largest toxic. Rows of one doc_id are scored as one document. A
@@ -31,35 +31,70 @@ doc_id, text and lang are not read; the filtering form returns all columns as th
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wayframe.llm import words as wd
-from wayframe.sources.scratch import scope, settle
+from wayframe.sources.scratch import scope, scratch_path, settle
 
 ORDER = 3
-IDS = 1 << 20  # words that an unseen word may be, or as many as the sample has
-SHARD_ENTRIES = 4 << 20  # counts of runs and contexts that a task holds at once
+IDS = 1 << 20  # words that an unseen word may be, or as many as the training texts have
+FREQUENT = 1 << 18  # words with short ids, whose lowest-order probability every task has
+ROUNDS = 4  # parts of the runs that are on disk one after another
+PART_RUNS = 250_000  # training runs of a partition, about
+PART_DOCUMENTS = 50_000  # documents for each partition at most
+PIECE_BYTES = 2 << 20  # text whose runs are sent together
 EDGE = 0  # before the first word and after the last
 UNKNOWN = 1
-NAMED = 2  # ids from here on are words of the sample, the most frequent first
-
+NAMED = 2  # ids from here on are the frequent words, the most frequent first
+RARE = 1 << 61  # ids from here on are hashes of all other words
+
+
+class Index:
+    """Sorted hashes that are found by their first bits."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.zeros(1 << bits, np.int64)
+        np.cumsum(np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)[:-1], out=self.starts[1:])
+        self.size = len(keys)
+        self.keys = np.append(keys, np.uint64(0xFFFFFFFFFFFFFFFF))
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each is there, and where."""
+        at = self.starts[(wanted >> self.shift).astype(np.int64)]
+        near = self.keys[at]
+        known = near == wanted
+        left = np.flatnonzero(near < wanted)
+        while len(left):
+            at[left] += 1
+            near, want = self.keys[at[left]], wanted[left]
+            known[left[near == want]] = True
+            left = left[near < want]
+        return known & (at < self.size), at
+
+
+def word_ids(texts: wd.Texts, found: wd.Words, hashes: np.ndarray, vocabulary: np.ndarray | Index, order: np.ndarray) -> np.ndarray:
+    """Ids of words; ``vocabulary`` are sorted hashes of the frequent words, or their index, and ``order`` their ids."""
+    index = vocabulary if isinstance(vocabulary, Index) else Index(vocabulary)
+    out = (hashes >> np.uint64(3)).astype(np.int64) | RARE
+    known, at = index.find(hashes)
+    out[known] = order[at[known]]
+    return out
 
-def word_ids(texts: wd.Texts, found: wd.Words, hashes: np.ndarray, vocabulary: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Ids of words; ``vocabulary`` are sorted hashes and ``order`` their ids."""
-    if not len(vocabulary):
-        return np.full(len(hashes), UNKNOWN, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, order[at], UNKNOWN)
 
+def runs(texts: wd.Texts, vocabulary: np.ndarray | Index, order: np.ndarray, size: int,
+         shard: int = 0, shards: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of ``size`` ids that end in each word or the text's end, as (ids, text, what deals them out further).
 
-def runs(texts: wd.Texts, vocabulary: np.ndarray, order: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of ``size`` ids that end in each word or the text's end, as (ids, text)."""
+    Only those of a shard, by the hash of the last word but one.
+    """
     found = wd.words(texts)
     ids = word_ids(texts, found, wd.word_hashes(texts, found), vocabulary, order)
     some = np.flatnonzero(found.counts > 0)
@@ -69,7 +104,11 @@ def runs(texts: wd.Texts, vocabulary: np.ndarray, order: np.ndarray, size: int)
     flat[np.arange(len(ids)) + block[found.doc] + size - 1] = ids
     doc = np.repeat(some, found.counts[some] + 1)
     ends = np.arange(len(doc)) + (size - 1) * (np.cumsum(np.diff(doc, prepend=-1) > 0))
-    return np.stack([flat[ends - back] for back in range(size - 1, -1, -1)], axis=1), doc
+    rest = wd.mix(flat.view(np.uint64))[ends - 1]
+    if shards > 1:
+        mine = np.flatnonzero(rest % np.uint64(shards) == shard)
+        doc, ends, rest = doc[mine], ends[mine], rest[mine]
+    return np.stack([flat[ends - back] for back in range(size - 1, -1, -1)], axis=1), doc, rest // np.uint64(shards)
 
 
 def _keys(kind: int, ids: np.ndarray) -> np.ndarray:
@@ -91,22 +130,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _counted(wd.word_hashes(texts, wd.words(texts)), ["word", "n"])
 
 
-def _run_counter(vocabulary: np.ndarray, order: np.ndarray, size: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for texts in wd.slices(batch.column("text")):
-                ids, _ = runs(texts, vocabulary, order, size)
-                _, at, n = np.unique(_keys(2 * size, ids), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in ids[at].T), pa.array(n)], names=[*_names(size), "n"])
-
-    return count
-
-
-def _names(size: int) -> list[str]:
-    """Columns of a run's ids; shorter runs have the last of them."""
-    return [f"c{k}" for k in range(size)]
-
-
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     """D1, D2 and D3+ from how many entries were seen once, twice, three and four times."""
     n1, n2, n3, n4 = (counts_of_counts.get(k, 0) for k in (1, 2, 3, 4))
@@ -117,196 +140,273 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1))
 
 
-def _count_of_counts(df: DataFrame, column: str) -> dict[int, int]:
-    return {r[0]: r[1] for r in df.where(F.col(column) <= 4).groupBy(column).count().collect()}
-
+def _discounts_of(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    return np.asarray(d)[np.minimum(n, 3).astype(np.int64) - 1]
 
-def _discount(count, d: tuple[float, float, float]):
-    return F.when(count == 1, d[0]).when(count == 2, d[1]).otherwise(d[2])
 
+def pack(ids: np.ndarray, *others: np.ndarray) -> bytes:
+    """Runs of ids and further columns of small numbers as they are sent: byte by byte, compressed, rare words apart."""
+    flat = ids.T.ravel()
+    rare = flat >= RARE
+    columns = np.concatenate([np.where(rare, UNKNOWN, flat), *others]).astype(np.int32)
+    planes = np.ascontiguousarray(columns.view(np.uint8).reshape(len(columns), 4).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True) + flat[rare].tobytes()
 
-def train(trusted: DataFrame, order: int = 2) -> tuple[np.ndarray, np.ndarray, DataFrame, np.ndarray, int]:
-    """Vocabulary, its ids, the table of counts (kind, ids, x, y), the lowest order, the order.
 
-    Kind 2 k are runs of k words with their discounted count x; kind 2 k + 1 are what is
-    before the last word, with the runs' total x and what was taken from it y. The vocabulary
-    and the lowest order have an entry for each distinct word; the counts stay in Spark.
-    """
-    counted = trusted.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
-    hashes, n = np.asarray(counted["word"]).view(np.uint64), np.asarray(counted["n"])
-    ids = np.empty(len(n), np.int64)
-    ids[np.lexsort((hashes, -n))] = NAMED + np.arange(len(n))
-    by_hash = np.argsort(hashes)
-    vocabulary, ids = hashes[by_hash], ids[by_hash]
+def unpack(data: bytes, n: int, rare: int, size: int, others: int = 0) -> tuple[np.ndarray, ...]:
+    cut = len(data) - 8 * rare
+    planes = np.frombuffer(pa.decompress(data[:cut], n * (size + others) * 4, "zstd", asbytes=True), np.uint8).reshape(4, n * (size + others))
+    columns = np.ascontiguousarray(planes.T).view(np.int32).ravel()
+    flat = columns[: n * size].astype(np.int64)
+    flat[flat == UNKNOWN] = np.frombuffer(data[cut:], np.int64)
+    return flat.reshape(size, n).T, *columns[n * size:].reshape(others, n)
 
-    names = _names(order)
-    columns = ", ".join(f"{c} long" for c in names)
-    level = settle(
-        trusted.mapInArrow(_run_counter(vocabulary, ids, order), f"{columns}, n long").groupBy(*names).agg(F.sum("n").alias("n")), "runs")
-    levels = {order: level}
-    for size in range(order - 1, 0, -1):
-        own = names[order - size:]
-        n = F.count("*") if size == 1 else F.when(F.col(own[0]) == EDGE, F.sum("n")).otherwise(F.count("*"))
-        levels[size] = level = settle(level.groupBy(*own).agg(n.alias("n")), "runs")
-
-    # Lowest order: in how many contexts a word was seen; an entry per word.
-    n, last = F.col("n"), names[-1]
-    d = discounts(_count_of_counts(level, "n"))
-    sums = level.agg(F.sum("n").alias("total"), F.sum(_discount(n, d)).alias("taken")).first()
-    total, size = max(sums["total"] or 0, 1), NAMED + len(vocabulary)
-    unseen = (sums["taken"] / total if sums["total"] else 1.0) / max(IDS, size)
-    lowest = level.select(last, ((n - _discount(n, d)) / total + unseen).alias("p")).toArrow()
-    lower = np.full(size, unseen)
-    lower[np.asarray(lowest[last])] = np.asarray(lowest["p"])
-
-    table = None
-    for size in range(2, order + 1):
-        own = names[order - size:]
-        d = discounts(_count_of_counts(levels[size], "n"))
-        known = levels[size].select(*own, (n - _discount(n, d)).alias("x"), F.lit(0.0).alias("y"))
-        before = settle(levels[size].groupBy(*own[:-1]).agg(
-            F.sum("n").cast("double").alias("x"), F.sum(_discount(n, d)).alias("y")), "contexts")
-        for kind, rows, have in ((2 * size, known, own), (2 * size + 1, before, own[:-1])):
-            rows = rows.select(F.lit(kind).alias("kind"), *[F.col(c) if c in have else F.lit(0).cast("long").alias(c) for c in names], "x", "y")
-            table = rows if table is None else table.union(rows)
-    return vocabulary, ids, table, lower, order
 
+SENT = "part int, side int, n long, rare long, documents array<long>, data binary"
+TRAINING, ASKED = 0, 1
 
-def _shard_of(v: np.ndarray, shards: int) -> np.ndarray:
-    return (wd.mix(v.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
 
+def _sender(vocabulary: np.ndarray, order: np.ndarray, size: int, side: int, shard: int, shards: int, parts: int):
+    """The runs of a shard by the partition that counts them; with their documents, if asked."""
 
-def _keyed(order: int, shard: int, shards: int):
-    """The rows of a shard by hash."""
+    index = Index(vocabulary)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.stack([np.asarray(batch.column(c)) for c in _names(order)], axis=1)
-            mine = np.flatnonzero(_shard_of(ids[:, -2], shards) == shard)
-            kinds, ids = np.asarray(batch.column("kind"))[mine], ids[mine]
-            keys = np.empty(len(kinds), np.uint64)
-            for kind in np.unique(kinds):
-                m = kinds == kind
-                keys[m] = _keys(int(kind), ids[m, order - kind // 2: order - kind % 2])
-            x, y = (np.asarray(batch.column(c))[mine].astype(np.float32) for c in ("x", "y"))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys.view(np.int64)), pa.array(x), pa.array(y)], names=["kind", "key", "x", "y"])
-
-    return rows
+            for texts in wd.slices(batch.column("text"), PIECE_BYTES):
+                ids, doc, rest = runs(texts, index, order, size, shard, shards)
+                part = (rest % np.uint64(parts)).astype(np.int32)
+                by_part = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+                ids, doc, part = ids[by_part], doc[by_part], part[by_part]
+                cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+                rows, holders = [], []
+                for low, high in zip(cuts, cuts[1:]):
+                    others = []
+                    if side == ASKED:  # a document's runs are side by side
+                        some, n = np.unique(doc[low:high], return_counts=True)
+                        holders.append(batch.column("doc_id").take(pa.array(some + texts.first)))
+                        others = [np.repeat(np.arange(len(some)), n)]
+                    else:
+                        holders.append(pa.nulls(0, pa.int64()))
+                    rows.append((int(part[low]), side, high - low, int((ids[low:high] >= RARE).sum()), pack(ids[low:high], *others)))
+                if rows:
+                    lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, holders)]).astype(np.int32), pa.concat_arrays(holders))
+                    *plain, data = (pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())))
+                    yield pa.RecordBatch.from_arrays([*plain, lists, data], names=["part", "side", "n", "rare", "documents", "data"])
+
+    return send
 
 
 @dataclass
-class Shard:
-    """Sorted hashes of a shard with their values, per kind."""
+class Level:
+    """Distinct runs of one size with their counts."""
 
-    number: int
-    of: int
-    keys: dict[int, np.ndarray]
-    x: dict[int, np.ndarray]
-    y: dict[int, np.ndarray]
-
-    def find(self, kind: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the ids' runs are there, and where."""
-        keys = self.keys.get(kind)
-        if keys is None or not len(ids):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        wanted = _keys(kind, ids)
-        near = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        known = np.flatnonzero(keys[near] == wanted)
-        return known, near[known]
-
-
-def _shard(table: DataFrame, order: int, number: int, shards: int) -> Shard:
-    found = table.mapInArrow(_keyed(order, number, shards), "kind int, key long, x float, y float").toArrow()
-    kinds, keys = np.asarray(found["kind"]), np.asarray(found["key"]).view(np.uint64)
-    x, y = np.asarray(found["x"]), np.asarray(found["y"])
-    out = Shard(number, shards, {}, {}, {})
-    for kind in np.unique(kinds).tolist():
-        mine = np.flatnonzero(kinds == kind)
-        mine = mine[np.argsort(keys[mine])]
-        out.keys[kind], out.x[kind] = keys[mine], x[mine]
-        if kind % 2:
-            out.y[kind] = y[mine]
-    return out
+    ids: np.ndarray
+    n: np.ndarray
 
+    def shorter(self) -> Level:
+        """The runs' last words, with how often each was seen after different words."""
+        own = self.ids[:, 1:]
+        once = np.ones(len(own), np.int64)
+        return _level(own, once if own.shape[1] == 1 else np.where(own[:, 0] == EDGE, self.n, once))
 
-def pack(shard: Shard) -> tuple:
-    """A shard as it is sent: keys by their differences, all byte by byte, compressed."""
 
-    def squeezed(values: np.ndarray) -> bytes:
-        planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
-        return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+def _level(ids: np.ndarray, n: np.ndarray) -> Level:
+    _, first, inverse = np.unique(_keys(2 * ids.shape[1], ids), return_index=True, return_inverse=True)
+    return Level(ids[first], np.bincount(inverse, n, len(first)).astype(np.int64))
 
-    kinds = [(kind, len(keys), squeezed(np.diff(keys, prepend=np.uint64(0))), squeezed(shard.x[kind]), squeezed(shard.y[kind]) if kind % 2 else None)
-             for kind, keys in shard.keys.items()]
-    return shard.number, shard.of, kinds
 
+@dataclass
+class Counts:
+    """Hashes of the runs and contexts of a partition with their values, per kind."""
 
-def unpack(packed: tuple) -> Shard:
-    def restored(raw: bytes, n: int, kind: type) -> np.ndarray:
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(pa.decompress(raw, n * width, "zstd", asbytes=True), np.uint8)
-        return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+    keys: dict[int, Index]
+    x: dict[int, np.ndarray]  # discounted counts of runs, totals of contexts
+    taken: dict[int, np.ndarray]
 
-    number, of, kinds = packed
-    out = Shard(number, of, {}, {}, {})
-    for kind, n, keys, x, y in kinds:
-        out.keys[kind], out.x[kind] = np.cumsum(restored(keys, n, np.uint64), dtype=np.uint64), restored(x, n, np.float32)
-        if y is not None:
-            out.y[kind] = restored(y, n, np.float32)
+    def find(self, kind: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the ids' runs are there, and where."""
+        if kind not in self.keys or not len(ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        known, at = self.keys[kind].find(_keys(kind, ids))
+        known = np.flatnonzero(known)
+        return known, at[known]
+
+
+def counts(level: Level, cuts: dict[int, tuple[float, float, float]]) -> Counts:
+    """Counts of all orders from two, from the runs of the highest."""
+    out = Counts({}, {}, {})
+    while (size := level.ids.shape[1]) > 1:
+        d = _discounts_of(level.n, cuts[size])
+        keys = _keys(2 * size, level.ids)
+        by_key = np.argsort(keys)
+        out.keys[2 * size], out.x[2 * size] = Index(keys[by_key]), (level.n - d)[by_key]
+        before, context = np.unique(_keys(2 * size + 1, level.ids[:, :-1]), return_inverse=True)
+        out.keys[2 * size + 1], out.x[2 * size + 1] = Index(before), np.bincount(context, level.n, len(before))
+        # By kinds of counts, so that the sum does not depend on the runs' order.
+        out.taken[2 * size + 1] = sum(
+            cuts[size][k - 1] * np.bincount(context[np.minimum(level.n, 3) == k], minlength=len(before)) for k in (1, 2, 3))
+        level = level.shorter()
     return out
 
 
-def log_probabilities(ids: np.ndarray, shard: Shard, lower: np.ndarray) -> np.ndarray:
-    """Interpolated log-probabilities of the last words of runs that lie in the shard."""
+def linear(ids: np.ndarray, found: Counts) -> tuple[np.ndarray, np.ndarray]:
+    """a and b of the runs' interpolated probabilities a + b * p, p the last word's lowest-order one."""
+    a, b = np.zeros(len(ids)), np.ones(len(ids))
     order = ids.shape[1]
-    p = lower[ids[:, -1]]
     for size in range(2, order + 1):
-        held, at = shard.find(2 * size + 1, ids[:, order - size: -1])
+        held, at = found.find(2 * size + 1, ids[:, order - size: -1])
         if not len(held):
             continue
-        total, taken = shard.x[2 * size + 1][at].astype(float), shard.y[2 * size + 1][at]
-        seen, where = shard.find(2 * size, ids[held, order - size:])
+        total, taken = found.x[2 * size + 1][at], found.taken[2 * size + 1][at]
+        seen, where = found.find(2 * size, ids[held, order - size:])
         own = np.zeros(len(held))
-        own[seen] = shard.x[2 * size][where]
-        p[held] = (own + taken * p[held]) / total
-    return np.log(p)
+        own[seen] = found.x[2 * size][where]
+        a[held] = (own + taken * a[held]) / total
+        b[held] = taken * b[held] / total
+    return a, b
 
 
-def _scorer(vocabulary: np.ndarray, order: np.ndarray, packed: tuple, lower: np.ndarray, size: int):
+def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(batch.column("side").to_pylist(), batch.column("n").to_pylist(), batch.column("rare").to_pylist(),
+                       batch.column("documents"), batch.column("data"))
+
+
+def _training_level(pieces: list[np.ndarray], size: int) -> Level:
+    ids = np.concatenate(pieces) if pieces else np.zeros((0, size), np.int64)
+    return _level(ids, np.ones(len(ids), np.int64))
+
+
+def _surveyor(size: int):
+    """Counts of counts by order (kind 2 k, the count, how many) and of words (kind 2, the word, its count)."""
+
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = _training_level([unpack(data.as_py(), n, rare, size)[0] for _, n, rare, _, data in _received(batches)], size)
+        while level.ids.shape[1] > 1:
+            v, n = np.unique(level.n[level.n <= 4], return_counts=True)
+            yield _survey_rows(2 * level.ids.shape[1], v, n)
+            level = level.shorter()
+        yield _survey_rows(2, level.ids[:, 0], level.n)
+
+    return survey
+
+
+def _survey_rows(kind: int, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(v), kind, np.int32)), pa.array(v), pa.array(n)], names=["kind", "value", "n"])
+
+
+def _dealt(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartition(parts, "part").sortWithinPartitions("side")
+
+
+def _parts(spark: SparkSession, n_runs: int, n_documents: int = 0) -> int:
+    return max(2 * spark.sparkContext.defaultParallelism, -(-n_runs // PART_RUNS), -(-n_documents // PART_DOCUMENTS))
+
+
+def train(trusted: DataFrame, order: int = 2) -> tuple:
+    """The frequent words' hashes and ids, the training texts, the lowest order by id, the order,
+    the discounts by size, the lowest order of other words (word, p), the number of training words.
+
+    The counts of runs are made where they are used (see ``score``).
+    """
+    spark = trusted.sparkSession
+    words = settle(trusted.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    all_words = words.agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    most = words.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    hashes, n = np.asarray(most["word"]).view(np.uint64), np.asarray(most["n"])
+    ids = np.empty(len(n), np.int64)
+    ids[np.lexsort((hashes, -n))] = NAMED + np.arange(len(n))
+    by_hash = np.argsort(hashes)
+    vocabulary, ids = hashes[by_hash], ids[by_hash]
+
+    parts = _parts(spark, all_words["n"])
+    sent = _dealt(trusted.select("text").mapInArrow(_sender(vocabulary, ids, order, TRAINING, 0, 1, parts), SENT), parts)
+    found = settle(
+        sent.mapInArrow(_surveyor(order), "kind int, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")), "survey")
+    cuts: dict[int, dict[int, int]] = {size: {} for size in range(2, order + 1)}
+    for r in found.where("kind > 2").collect():
+        cuts[r["kind"] // 2][r["value"]] = r["n"]
+    cuts = {size: discounts(c) for size, c in cuts.items()}
+
+    # Lowest order: in how many contexts a word was seen.
+    lowest = found.where("kind = 2").select(F.col("value").alias("word"), "n")
+    d = discounts({r[0]: r[1] for r in lowest.where("n <= 4").groupBy("n").count().collect()})
+    n = F.col("n")
+    discount = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
+    sums = lowest.groupBy(F.least(n, F.lit(3)).alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    total = max(sum(r["n"] for r in sums), 1)
+    taken = sum(d[k - 1] * sum(r["words"] for r in sums if r["k"] == k) for k in (1, 2, 3))
+    unseen = (taken / total if sums else 1.0) / max(IDS, NAMED + all_words["distinct"])
+    lowest = lowest.select("word", ((n - discount) / total + unseen).alias("p"))
+    named = lowest.where(F.col("word") < RARE).toArrow()
+    lower = np.full(NAMED + len(vocabulary), unseen)
+    lower[np.asarray(named["word"])] = np.asarray(named["p"])
+    rare = settle(lowest.where(F.col("word") >= RARE), "rare")
+    return vocabulary, ids, trusted, lower, order, cuts, rare, all_words["n"]
+
+
+def _scorer(lower: np.ndarray, order: int, cuts: dict[int, tuple[float, float, float]]):
+    """Sums per document of runs that end in a frequent word, and the other runs: word, a, b."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = unpack(packed)
-        for batch in batches:
-            doc_ids = batch.column("doc_id").cast(pa.int64())
-            for texts in wd.slices(batch.column("text")):
-                ids, doc = runs(texts, vocabulary, order, size)
-                if shard.of > 1:
-                    mine = np.flatnonzero(_shard_of(ids[:, -2], shard.of) == shard.number)
-                    ids, doc = ids[mine], doc[mine]
-                micro = np.rint(log_probabilities(ids, shard, lower) * 1e6)
-                some, n = np.unique(doc, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.take(pa.array(some + texts.first)), pa.array(wd.sums(micro, doc, len(texts))[some]), pa.array(n)], names=["doc_id", "micro", "n"])
+        pieces, found = [], None
+        for side, n, rare, documents, data in _received(batches):
+            if side == TRAINING:
+                pieces.append(unpack(data.as_py(), n, rare, order)[0])
+                continue
+            if found is None:
+                found = counts(_training_level(pieces, order), cuts)
+                pieces.clear()
+            ids, doc = unpack(data.as_py(), n, rare, order, 1)
+            a, b = linear(ids, found)
+            last = ids[:, -1]
+            named, other = np.flatnonzero(last < RARE), np.flatnonzero(last >= RARE)
+            micro = np.rint(np.log(a[named] + b[named] * lower[last[named]]) * 1e6)
+            holders, none = documents.values, pa.nulls(len(documents.values))
+            yield pa.RecordBatch.from_arrays(
+                [holders, pa.array(wd.sums(micro, doc[named], len(holders))), pa.array(np.bincount(doc[named], minlength=len(holders))),
+                 none.cast(pa.int64()), none.cast(pa.float64()), none.cast(pa.float64())], names=_SCORED)
+            yield pa.RecordBatch.from_arrays(
+                [holders.take(pa.array(doc[other])), pa.nulls(len(other), pa.int64()), pa.array(np.ones(len(other), np.int64)),
+                 pa.array(last[other]), pa.array(a[other]), pa.array(b[other])], names=_SCORED)
 
     return score
 
 
+_SCORED = ["doc_id", "micro", "n", "word", "a", "b"]
+
+
 def score(docs: DataFrame, model: tuple, shards: int | None = None) -> DataFrame:
-    """(doc_id, n_pairs, log_perplexity) of every doc_id that has a word."""
-    vocabulary, ids, table, lower, order = model
-    if shards is None:
-        shards = max(1, -(-table.count() // SHARD_ENTRIES))
-    texts = docs.select("doc_id", "text")
-    parts = [
-        texts.mapInArrow(_scorer(vocabulary, ids, pack(_shard(table, order, k, shards)), lower, order), "doc_id long, micro long, n long")
-        for k in range(shards)
-    ]
+    """(doc_id, n_pairs, log_perplexity) of every doc_id that has a word; ``shards`` are rounds."""
+    vocabulary, ids, trusted, lower, order, cuts, rare, n_words = model
+    spark = docs.sparkSession
+    shards = shards or ROUNDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = _parts(spark, n_words // shards, docs.count())
+    schema = "doc_id long, micro long, n long"
+    paths = [scratch_path(spark, "sums") for _ in range(shards)]
+    for k, path in enumerate(paths):
+        with scope(spark):
+            sent = trusted.select("text").mapInArrow(_sender(vocabulary, ids, order, TRAINING, k, shards, parts), SENT).union(
+                texts.mapInArrow(_sender(vocabulary, ids, order, ASKED, k, shards, parts), SENT))
+            found = settle(
+                _dealt(sent, parts).mapInArrow(_scorer(lower, order, cuts), "doc_id long, micro long, n long, word long, a double, b double"), "scored")
+            p = F.col("a") + F.col("b") * F.coalesce("p", F.lit(float(lower[UNKNOWN])))
+            others = found.where("word is not null").join(rare, "word", "left").select("doc_id", F.rint(F.log(p) * 1e6).cast("long").alias("micro"), "n")
+            found.where("word is null").select("doc_id", "micro", "n").union(others).groupBy("doc_id").agg(
+                F.sum("micro").alias("micro"), F.sum("n").alias("n")).write.parquet(path)
+            del sent, found, others
+        # Spark deletes the round's shuffle files once nothing refers to them.
+        gc.collect()
+        spark._jvm.System.gc()
     return (
-        reduce(DataFrame.union, parts).groupBy("doc_id").agg(F.sum("micro").alias("micro"), F.sum("n").alias("n_pairs"))
+        spark.read.schema(schema).parquet(*paths).groupBy("doc_id").agg(F.sum("micro").alias("micro"), F.sum("n").alias("n_pairs"))
         .select("doc_id", "n_pairs", (-F.col("micro") / F.col("n_pairs") / 1e6).alias("log_perplexity"))
     )
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, train_documents: int = 2000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> DataFrame:
     """One row per doc_id: doc_id, lang, n_pairs, log_perplexity, threshold, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
@@ -314,22 +414,19 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, train_
         "quality = 1 and coalesce(toxic, 0) <> 1 and doc_id is not null").select("doc_id")
     langs = settle(docs.groupBy("doc_id").agg(F.min("lang").alias("lang")), "langs")
     trusted = langs.join(trusted, "doc_id", "left_semi")
-    # One row per language, written so that its measured size decides on a broadcast.
-    sizes = settle(trusted.groupBy("lang").agg(F.count("*").alias("holders")), "sizes")
-    share = F.least(F.lit(0.5), train_documents / F.col("holders"))
     place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) / 1_000_003
-    same = F.col("a.lang").eqNullSafe(F.col("s.lang"))
-    trusted = settle(
-        trusted.alias("a").join(sizes.alias("s"), same).select("a.doc_id", "a.lang", (place < share).alias("train")), "trusted")
+    trusted = settle(trusted.select("doc_id", "lang", (place < 0.5).alias("train")), "trusted")
     sample = settle(docs.join(trusted.where("train").select("doc_id"), "doc_id", "left_semi").select("text"), "sample")
     if sample.isEmpty():
         scores = docs.groupBy("doc_id").agg(F.max(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("kept"))
         return langs.join(scores, langs.doc_id.eqNullSafe(scores.doc_id)).select(
             langs.doc_id, "lang", F.lit(None).cast("long").alias("n_pairs"), F.lit(None).cast("double").alias("log_perplexity"),
             F.lit(None).cast("double").alias("threshold"), "kept")
-    with scope(docs.sparkSession):  # the tables of counts are not needed once the shards are read
-        scored = score(docs, train(sample, ORDER))
-    scores = settle(scored, "scores")
+    path = scratch_path(docs.sparkSession, "scores")
+    with scope(docs.sparkSession):  # the tables of the model are not needed any more
+        scores = score(docs, train(sample, ORDER))
+        scores.write.parquet(path)
+    scores = docs.sparkSession.read.schema(scores.schema).parquet(path)
 
     # Quantiles from counts of perplexities in steps of a thousandth: small, exact, mergeable.
     held = trusted.where("not train").join(scores, "doc_id").select(
@@ -356,7 +453,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, train_
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, train_documents: int = 2000) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> DataFrame:
     """The rows of docs whose document is kept."""
-    kept = classify(docs, labels, quantile, train_documents).where("kept").select(F.col("doc_id").alias("kept_id"))
+    kept = classify(docs, labels, quantile).where("kept").select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
