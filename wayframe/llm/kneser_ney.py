@@ -14,8 +14,9 @@ documents' runs piece by piece. What it finds is linear in the last word's lowes
 probability. The FREQUENT most frequent words (a fixed number) have theirs, and short ids, in
 every task; a run that ends in another word is joined with a table of those. The runs are
 dealt in ROUNDS rounds, a fixed number, each of which reads the texts once and leaves a sum
-per document, so that only a round's runs are on disk at a time; partitions grow in number
-with the texts. Sums are of whole millionths and don't depend on order.
+per document, so that a round's runs can be deleted before the next (Spark often deletes its
+shuffle files later than that); partitions grow in number with the texts. One word's runs are
+one partition's, however frequent it is. Sums are of whole millionths and don't depend on order.
 
 The trusted documents are split in two halves by a hash of doc_id: the model counts all of
 one half, and a language's threshold is a quantile of the perplexity of all of its other half,
@@ -45,10 +46,10 @@ from wayframe.sources.scratch import scope, scratch_path, settle
 ORDER = 3
 IDS = 1 << 20  # words that an unseen word may be, or as many as the training texts have
 FREQUENT = 1 << 18  # words with short ids, whose lowest-order probability every task has
-ROUNDS = 4  # parts of the runs that are on disk one after another
+ROUNDS = 6  # parts of the runs that are dealt out one after another
 PART_RUNS = 250_000  # training runs of a partition, about
 PART_DOCUMENTS = 50_000  # documents for each partition at most
-PIECE_BYTES = 2 << 20  # text whose runs are sent together
+PIECE_BYTES = 1 << 20  # text whose runs are sent together
 EDGE = 0  # before the first word and after the last
 UNKNOWN = 1
 NAMED = 2  # ids from here on are the frequent words, the most frequent first
@@ -397,7 +398,7 @@ def score(docs: DataFrame, model: tuple, shards: int | None = None) -> DataFrame
             found.where("word is null").select("doc_id", "micro", "n").union(others).groupBy("doc_id").agg(
                 F.sum("micro").alias("micro"), F.sum("n").alias("n")).write.parquet(path)
             del sent, found, others
-        # Spark deletes the round's shuffle files once nothing refers to them.
+        # Spark may delete the round's shuffle files once nothing refers to them.
         gc.collect()
         spark._jvm.System.gc()
     return (
