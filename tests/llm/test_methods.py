@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -219,6 +220,52 @@ def test_rare_words_rounds_and_partitions_change_no_perplexity(spark, monkeypatc
     assert perplexities(2) == {doc: (n, pytest.approx(x, abs=2e-5)) for doc, (n, x) in whole.items()}
 
 
+def test_runs_after_a_very_frequent_word_are_dealt_to_several_partitions(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["the", f"w{rng.randrange(40)}", f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    frame = spark.createDataFrame(list(enumerate([*texts, "never seen the words the w1 the"])), "doc_id long, text string")
+
+    def perplexities(shards):
+        trained = kneser_ney.train(frame.where("doc_id < 50").select("text"), 3)
+        scores = {r.doc_id: (r.n_pairs, round(r.log_perplexity, 5)) for r in kneser_ney.score(frame, trained, shards).collect()}
+        return scores, trained
+
+    whole, plain = perplexities(1)
+    assert plain[8].max() == 1 and plain[9].isEmpty()
+    monkeypatch.setattr(kneser_ney, "HOT_RUNS", 40)
+    for frequent in (1 << 18, 7):
+        monkeypatch.setattr(kneser_ney, "FREQUENT", frequent)
+        dealt, trained = perplexities(2)
+        assert dealt == {doc: (n, pytest.approx(x, abs=2e-5)) for doc, (n, x) in whole.items()}
+        assert trained[5] == plain[5] and trained[8][kneser_ney.NAMED] > 5
+        ids, _, rest = kneser_ney.runs(one_slice(texts), trained[0], trained[1], 3, trained[8])
+        after = ids[:, 1] == kneser_ney.NAMED
+        assert np.unique(rest[after] % np.uint64(12)).size > 3
+        for w in np.unique(ids[after, 0]):  # what three words share stays together
+            assert np.unique(rest[after & (ids[:, 0] == w)]).size == 1
+
+
+def test_classifier_leaves_no_shuffle_files_and_no_settings(spark):
+    frame = spark.createDataFrame([(k, f"w{k % 7} is w{k % 5}", "en") for k in range(60)], "doc_id long, text string, lang string")
+    labels = frame.selectExpr("doc_id", "1 as quality", "0 as toxic")
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size())}
+
+    keys = {key: spark.conf.get(key, None) for key in kneser_ney.SETTINGS}
+    before = held()
+    scores = kneser_ney.classify(frame, labels)
+    for _ in range(50):  # files are deleted beside what runs next
+        left = [f for f in held() - before if f.startswith("shuffle_")]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert {key: spark.conf.get(key, None) for key in kneser_ney.SETTINGS} == keys
+    assert scores.count() == 60
+
+
 # Decontamination
 
 

@@ -9,14 +9,16 @@ by their counts).
 
 Counts are never gathered: all runs of the training texts and of the documents are dealt out
 by the word before the last, which all orders from two share, so that a run meets all its
-counts in one partition. A partition counts its training runs first and then passes over the
+counts in one partition. The runs after a word that the training texts hold more than HOT_RUNS
+times are dealt out further by the word before it, which all orders from three share; counts of
+two words after such a word are added up over its partitions and then sent to each of them. A
+partition counts its training runs first and then passes over the
 documents' runs piece by piece. What it finds is linear in the last word's lowest-order
 probability. The FREQUENT most frequent words (a fixed number) have theirs, and short ids, in
 every task; a run that ends in another word is joined with a table of those. The runs are
 dealt in ROUNDS rounds, a fixed number, each of which reads the texts once and leaves a sum
-per document, so that a round's runs can be deleted before the next (Spark often deletes its
-shuffle files later than that); partitions grow in number with the texts. One word's runs are
-one partition's, however frequent it is. Sums are of whole millionths and don't depend on order.
+per document; its shuffle files are deleted before the next begins (see SETTINGS). Partitions
+grow in number with the texts. Sums are of whole millionths and don't depend on order.
 
 The trusted documents are split in two halves by a hash of doc_id: the model counts all of
 one half, and a language's threshold is a quantile of the perplexity of all of its other half,
@@ -32,16 +34,16 @@ doc_id, text and lang are not read; the filtering form returns all columns as th
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wayframe.llm import words as wd
-from wayframe.sources.scratch import scope, scratch_path, settle
+from wayframe.sources.scratch import scope, scratch_path, settings, settle
 
 ORDER = 3
 IDS = 1 << 20  # words that an unseen word may be, or as many as the training texts have
@@ -49,7 +51,13 @@ FREQUENT = 1 << 18  # words with short ids, whose lowest-order probability every
 ROUNDS = 6  # parts of the runs that are dealt out one after another
 PART_RUNS = 250_000  # training runs of a partition, about
 PART_DOCUMENTS = 50_000  # documents for each partition at most
+HOT_RUNS = 62_500  # training runs after one word that stay together, about
 PIECE_BYTES = 1 << 20  # text whose runs are sent together
+SETTINGS = {  # of all jobs but the last
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",  # shuffle files end with their job
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 EDGE = 0  # before the first word and after the last
 UNKNOWN = 1
 NAMED = 2  # ids from here on are the frequent words, the most frequent first
@@ -90,11 +98,22 @@ def word_ids(texts: wd.Texts, found: wd.Words, hashes: np.ndarray, vocabulary: n
     return out
 
 
-def runs(texts: wd.Texts, vocabulary: np.ndarray | Index, order: np.ndarray, size: int,
+def _place(rest: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """What deals out the runs after a hot word."""
+    return wd.mix(rest + salt.astype(np.uint64) + np.uint64(1))
+
+
+def _hot(words: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """Which of the words have more than one part."""
+    return (words < len(salts)) & (salts[np.minimum(words, len(salts) - 1)] > 1)
+
+
+def runs(texts: wd.Texts, vocabulary: np.ndarray | Index, order: np.ndarray, size: int, salts: np.ndarray,
          shard: int = 0, shards: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of ``size`` ids that end in each word or the text's end, as (ids, text, what deals them out further).
 
-    Only those of a shard, by the hash of the last word but one.
+    Only those of a shard, by the hash of the last word but one; ``salts`` are the parts of
+    such a word's runs by its id.
     """
     found = wd.words(texts)
     ids = word_ids(texts, found, wd.word_hashes(texts, found), vocabulary, order)
@@ -109,7 +128,12 @@ def runs(texts: wd.Texts, vocabulary: np.ndarray | Index, order: np.ndarray, siz
     if shards > 1:
         mine = np.flatnonzero(rest % np.uint64(shards) == shard)
         doc, ends, rest = doc[mine], ends[mine], rest[mine]
-    return np.stack([flat[ends - back] for back in range(size - 1, -1, -1)], axis=1), doc, rest // np.uint64(shards)
+    rest = rest // np.uint64(shards)
+    hot = np.flatnonzero(_hot(flat[ends - 1], salts)) if size > 2 else []
+    if len(hot):
+        before = wd.mix(flat[ends[hot] - 2].view(np.uint64))
+        rest[hot] = _place(rest[hot], before % salts[flat[ends[hot] - 1]].astype(np.uint64))
+    return np.stack([flat[ends - back] for back in range(size - 1, -1, -1)], axis=1), doc, rest
 
 
 def _keys(kind: int, ids: np.ndarray) -> np.ndarray:
@@ -164,22 +188,33 @@ def unpack(data: bytes, n: int, rare: int, size: int, others: int = 0) -> tuple[
 
 
 SENT = "part int, side int, n long, rare long, documents array<long>, data binary"
-TRAINING, ASKED = 0, 1
+TRAINING, HOT, ASKED = 0, 1, 2
 
 
-def _sender(vocabulary: np.ndarray, order: np.ndarray, size: int, side: int, shard: int, shards: int, parts: int):
-    """The runs of a shard by the partition that counts them; with their documents, if asked."""
+def _by_part(rest: np.ndarray, parts: int, *columns: np.ndarray) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
+    """Where each partition's rows begin, all their partitions, and the columns in that order."""
+    part = (rest % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+    part = part[order]
+    return [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)], part, [c[order] for c in columns]
+
 
-    index = Index(vocabulary)
+def _sent(rows: list[tuple], holders: list[pa.Array]) -> pa.RecordBatch:
+    lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, holders)]).astype(np.int32), pa.concat_arrays(holders))
+    *plain, data = (pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())))
+    return pa.RecordBatch.from_arrays([*plain, lists, data], names=["part", "side", "n", "rare", "documents", "data"])
+
+
+def _sender(words: Broadcast, size: int, side: int, shard: int, shards: int, parts: int):
+    """The runs of a shard by the partition that counts them; with their documents, if asked."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, order, salts, *_ = words.value
+        index = Index(vocabulary)
         for batch in batches:
             for texts in wd.slices(batch.column("text"), PIECE_BYTES):
-                ids, doc, rest = runs(texts, index, order, size, shard, shards)
-                part = (rest % np.uint64(parts)).astype(np.int32)
-                by_part = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-                ids, doc, part = ids[by_part], doc[by_part], part[by_part]
-                cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+                ids, doc, rest = runs(texts, index, order, size, salts, shard, shards)
+                cuts, part, (ids, doc) = _by_part(rest, parts, ids, doc)
                 rows, holders = [], []
                 for low, high in zip(cuts, cuts[1:]):
                     others = []
@@ -191,9 +226,30 @@ def _sender(vocabulary: np.ndarray, order: np.ndarray, size: int, side: int, sha
                         holders.append(pa.nulls(0, pa.int64()))
                     rows.append((int(part[low]), side, high - low, int((ids[low:high] >= RARE).sum()), pack(ids[low:high], *others)))
                 if rows:
-                    lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, holders)]).astype(np.int32), pa.concat_arrays(holders))
-                    *plain, data = (pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())))
-                    yield pa.RecordBatch.from_arrays([*plain, lists, data], names=["part", "side", "n", "rare", "documents", "data"])
+                    yield _sent(rows, holders)
+
+    return send
+
+
+def _hot_sender(words: Broadcast, shard: int, shards: int, parts: int):
+    """A shard's counts of two words after a hot word, to each of the hot word's parts."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts = words.value[2]
+        step = max(1, 200_000 // int(salts.max()))
+        for batch in batches:
+            for low in range(0, len(batch), step):
+                word, last, n = (np.asarray(batch.column(c)[low: low + step]) for c in ("word", "value", "n"))
+                rest = wd.mix(word.view(np.uint64))
+                mine = np.flatnonzero(rest % np.uint64(shards) == shard)
+                times = salts[word[mine]]
+                salt = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                mine = np.repeat(mine, times)
+                cuts, part, (ids, counted) = _by_part(
+                    _place(rest[mine] // np.uint64(shards), salt), parts, np.stack([word[mine], last[mine]], axis=1), n[mine])
+                rows = [(int(part[a]), HOT, b - a, int((ids[a:b] >= RARE).sum()), pack(ids[a:b], counted[a:b])) for a, b in zip(cuts, cuts[1:])]
+                if rows:
+                    yield _sent(rows, [pa.nulls(0, pa.int64())] * len(rows))
 
     return send
 
@@ -234,8 +290,8 @@ class Counts:
         return known, at[known]
 
 
-def counts(level: Level, cuts: dict[int, tuple[float, float, float]]) -> Counts:
-    """Counts of all orders from two, from the runs of the highest."""
+def counts(level: Level, cuts: dict[int, tuple[float, float, float]], hot: Level, salts: np.ndarray) -> Counts:
+    """Counts of all orders from two, from the runs of the highest and the ``hot`` words' of two."""
     out = Counts({}, {}, {})
     while (size := level.ids.shape[1]) > 1:
         d = _discounts_of(level.n, cuts[size])
@@ -248,6 +304,9 @@ def counts(level: Level, cuts: dict[int, tuple[float, float, float]]) -> Counts:
         out.taken[2 * size + 1] = sum(
             cuts[size][k - 1] * np.bincount(context[np.minimum(level.n, 3) == k], minlength=len(before)) for k in (1, 2, 3))
         level = level.shorter()
+        if level.ids.shape[1] == 2 and len(hot.ids):
+            rest = np.flatnonzero(~_hot(level.ids[:, 0], salts))
+            level = Level(np.concatenate([level.ids[rest], hot.ids]), np.concatenate([level.n[rest], hot.n]))
     return out
 
 
@@ -279,12 +338,29 @@ def _training_level(pieces: list[np.ndarray], size: int) -> Level:
     return _level(ids, np.ones(len(ids), np.int64))
 
 
-def _surveyor(size: int):
-    """Counts of counts by order (kind 2 k, the count, how many) and of words (kind 2, the word, its count)."""
+def _hot_level(pieces: list[tuple[np.ndarray, np.ndarray]]) -> Level:
+    """The hot words' counts, of which a partition that has several of a word's parts got several copies."""
+    if not pieces:
+        return Level(np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+    ids, n = (np.concatenate(c) for c in zip(*pieces))
+    _, first = np.unique(_keys(4, ids), return_index=True)
+    return Level(ids[first], n[first].astype(np.int64))
+
+
+def _surveyor(words: Broadcast, size: int):
+    """Counts of counts by order (kind 2 k, the count, how many) and of words (kind 2, the word, its count).
+
+    Of two words after a hot word the partition's counts (kind 0, the hot word, the other, its count).
+    """
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salts = words.value[2]
         level = _training_level([unpack(data.as_py(), n, rare, size)[0] for _, n, rare, _, data in _received(batches)], size)
         while level.ids.shape[1] > 1:
+            if level.ids.shape[1] == 2 < size:
+                hot = _hot(level.ids[:, 0], salts)
+                yield _survey_rows(0, level.ids[hot, 1], level.n[hot], level.ids[hot, 0])
+                level = Level(level.ids[~hot], level.n[~hot])
             v, n = np.unique(level.n[level.n <= 4], return_counts=True)
             yield _survey_rows(2 * level.ids.shape[1], v, n)
             level = level.shorter()
@@ -293,8 +369,10 @@ def _surveyor(size: int):
     return survey
 
 
-def _survey_rows(kind: int, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(v), kind, np.int32)), pa.array(v), pa.array(n)], names=["kind", "value", "n"])
+def _survey_rows(kind: int, v: np.ndarray, n: np.ndarray, word: np.ndarray | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(v), kind, np.int32)), pa.array(np.zeros(len(v), np.int64) if word is None else word), pa.array(v), pa.array(n)],
+        names=["kind", "word", "value", "n"])
 
 
 def _dealt(df: DataFrame, parts: int) -> DataFrame:
@@ -307,7 +385,8 @@ def _parts(spark: SparkSession, n_runs: int, n_documents: int = 0) -> int:
 
 def train(trusted: DataFrame, order: int = 2) -> tuple:
     """The frequent words' hashes and ids, the training texts, the lowest order by id, the order,
-    the discounts by size, the lowest order of other words (word, p), the number of training words.
+    the discounts by size, the lowest order of other words (word, p), the number of training words,
+    the parts of each word's runs by id, the counts of two words after those that have several.
 
     The counts of runs are made where they are used (see ``score``).
     """
@@ -318,20 +397,30 @@ def train(trusted: DataFrame, order: int = 2) -> tuple:
     hashes, n = np.asarray(most["word"]).view(np.uint64), np.asarray(most["n"])
     ids = np.empty(len(n), np.int64)
     ids[np.lexsort((hashes, -n))] = NAMED + np.arange(len(n))
+    salts = np.ones(NAMED + len(n), np.int64)
+    if order > 2:
+        salts[ids] = -(-n // HOT_RUNS)
     by_hash = np.argsort(hashes)
     vocabulary, ids = hashes[by_hash], ids[by_hash]
 
     parts = _parts(spark, all_words["n"])
-    sent = _dealt(trusted.select("text").mapInArrow(_sender(vocabulary, ids, order, TRAINING, 0, 1, parts), SENT), parts)
+    named = spark.sparkContext.broadcast((vocabulary, ids, salts))  # once: each closure that holds them takes its own disk
+    sent = _dealt(trusted.select("text").mapInArrow(_sender(named, order, TRAINING, 0, 1, parts), SENT), parts)
     found = settle(
-        sent.mapInArrow(_surveyor(order), "kind int, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")), "survey")
+        sent.mapInArrow(_surveyor(named, order), "kind int, word long, value long, n long").groupBy("kind", "word", "value").agg(
+            F.sum("n").alias("n")), "survey")
+    named.destroy()
+    hot = found.where("kind = 0").select("word", "value", "n")
     cuts: dict[int, dict[int, int]] = {size: {} for size in range(2, order + 1)}
-    for r in found.where("kind > 2").collect():
-        cuts[r["kind"] // 2][r["value"]] = r["n"]
+    of_hot = hot.where("n <= 4").groupBy(F.lit(4).alias("kind"), F.col("n").alias("value")).agg(F.count("*").alias("n"))
+    for r in found.where("kind > 2").select("kind", "value", "n").union(of_hot).collect():
+        cuts[r["kind"] // 2][r["value"]] = cuts[r["kind"] // 2].get(r["value"], 0) + r["n"]
     cuts = {size: discounts(c) for size, c in cuts.items()}
 
     # Lowest order: in how many contexts a word was seen.
-    lowest = found.where("kind = 2").select(F.col("value").alias("word"), "n")
+    after_hot = hot.groupBy("value").agg(F.count("*").alias("n"))
+    lowest = settle(found.where("kind = 2").select("value", "n").union(after_hot).groupBy(F.col("value").alias("word")).agg(
+        F.sum("n").alias("n")), "lowest")
     d = discounts({r[0]: r[1] for r in lowest.where("n <= 4").groupBy("n").count().collect()})
     n = F.col("n")
     discount = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
@@ -344,21 +433,26 @@ def train(trusted: DataFrame, order: int = 2) -> tuple:
     lower = np.full(NAMED + len(vocabulary), unseen)
     lower[np.asarray(named["word"])] = np.asarray(named["p"])
     rare = settle(lowest.where(F.col("word") >= RARE), "rare")
-    return vocabulary, ids, trusted, lower, order, cuts, rare, all_words["n"]
+    return vocabulary, ids, trusted, lower, order, cuts, rare, all_words["n"], salts, hot
 
 
-def _scorer(lower: np.ndarray, order: int, cuts: dict[int, tuple[float, float, float]]):
+def _scorer(words: Broadcast, order: int, cuts: dict[int, tuple[float, float, float]]):
     """Sums per document of runs that end in a frequent word, and the other runs: word, a, b."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, found = [], None
+        *_, salts, lower = words.value
+        pieces, of_hot, found = [], [], None
         for side, n, rare, documents, data in _received(batches):
             if side == TRAINING:
                 pieces.append(unpack(data.as_py(), n, rare, order)[0])
                 continue
+            if side == HOT:
+                of_hot.append(unpack(data.as_py(), n, rare, 2, 1))
+                continue
             if found is None:
-                found = counts(_training_level(pieces, order), cuts)
+                found = counts(_training_level(pieces, order), cuts, _hot_level(of_hot), salts)
                 pieces.clear()
+                of_hot.clear()
             ids, doc = unpack(data.as_py(), n, rare, order, 1)
             a, b = linear(ids, found)
             last = ids[:, -1]
@@ -380,27 +474,27 @@ _SCORED = ["doc_id", "micro", "n", "word", "a", "b"]
 
 def score(docs: DataFrame, model: tuple, shards: int | None = None) -> DataFrame:
     """(doc_id, n_pairs, log_perplexity) of every doc_id that has a word; ``shards`` are rounds."""
-    vocabulary, ids, trusted, lower, order, cuts, rare, n_words = model
+    vocabulary, ids, trusted, lower, order, cuts, rare, n_words, salts, hot = model
     spark = docs.sparkSession
     shards = shards or ROUNDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = _parts(spark, n_words // shards, docs.count())
     schema = "doc_id long, micro long, n long"
+    words = spark.sparkContext.broadcast((vocabulary, ids, salts, lower))
     paths = [scratch_path(spark, "sums") for _ in range(shards)]
     for k, path in enumerate(paths):
         with scope(spark):
-            sent = trusted.select("text").mapInArrow(_sender(vocabulary, ids, order, TRAINING, k, shards, parts), SENT).union(
-                texts.mapInArrow(_sender(vocabulary, ids, order, ASKED, k, shards, parts), SENT))
+            sent = trusted.select("text").mapInArrow(_sender(words, order, TRAINING, k, shards, parts), SENT).union(
+                texts.mapInArrow(_sender(words, order, ASKED, k, shards, parts), SENT))
+            if salts.max() > 1:
+                sent = sent.union(hot.mapInArrow(_hot_sender(words, k, shards, parts), SENT))
             found = settle(
-                _dealt(sent, parts).mapInArrow(_scorer(lower, order, cuts), "doc_id long, micro long, n long, word long, a double, b double"), "scored")
+                _dealt(sent, parts).mapInArrow(_scorer(words, order, cuts), "doc_id long, micro long, n long, word long, a double, b double"), "scored")
             p = F.col("a") + F.col("b") * F.coalesce("p", F.lit(float(lower[UNKNOWN])))
             others = found.where("word is not null").join(rare, "word", "left").select("doc_id", F.rint(F.log(p) * 1e6).cast("long").alias("micro"), "n")
             found.where("word is null").select("doc_id", "micro", "n").union(others).groupBy("doc_id").agg(
                 F.sum("micro").alias("micro"), F.sum("n").alias("n")).write.parquet(path)
-            del sent, found, others
-        # Spark may delete the round's shuffle files once nothing refers to them.
-        gc.collect()
-        spark._jvm.System.gc()
+    words.destroy()
     return (
         spark.read.schema(schema).parquet(*paths).groupBy("doc_id").agg(F.sum("micro").alias("micro"), F.sum("n").alias("n_pairs"))
         .select("doc_id", "n_pairs", (-F.col("micro") / F.col("n_pairs") / 1e6).alias("log_perplexity"))
@@ -413,21 +507,24 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> Dat
                        F.col("lang").cast("string").alias("lang"))
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).where(
         "quality = 1 and coalesce(toxic, 0) <> 1 and doc_id is not null").select("doc_id")
-    langs = settle(docs.groupBy("doc_id").agg(F.min("lang").alias("lang")), "langs")
-    trusted = langs.join(trusted, "doc_id", "left_semi")
-    place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) / 1_000_003
-    trusted = settle(trusted.select("doc_id", "lang", (place < 0.5).alias("train")), "trusted")
-    sample = settle(docs.join(trusted.where("train").select("doc_id"), "doc_id", "left_semi").select("text"), "sample")
-    if sample.isEmpty():
+    spark = docs.sparkSession
+    path = scratch_path(spark, "scores")
+    with settings(spark, SETTINGS):
+        langs = settle(docs.groupBy("doc_id").agg(F.min("lang").alias("lang")), "langs")
+        trusted = langs.join(trusted, "doc_id", "left_semi")
+        place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) / 1_000_003
+        trusted = settle(trusted.select("doc_id", "lang", (place < 0.5).alias("train")), "trusted")
+        with scope(spark):  # the tables of the model are not needed any more
+            sample = settle(docs.join(trusted.where("train").select("doc_id"), "doc_id", "left_semi").select("text"), "sample")
+            if learned := not sample.isEmpty():
+                scores = score(docs, train(sample, ORDER))
+                scores.write.parquet(path)
+    if not learned:
         scores = docs.groupBy("doc_id").agg(F.max(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("kept"))
         return langs.join(scores, langs.doc_id.eqNullSafe(scores.doc_id)).select(
             langs.doc_id, "lang", F.lit(None).cast("long").alias("n_pairs"), F.lit(None).cast("double").alias("log_perplexity"),
             F.lit(None).cast("double").alias("threshold"), "kept")
-    path = scratch_path(docs.sparkSession, "scores")
-    with scope(docs.sparkSession):  # the tables of the model are not needed any more
-        scores = score(docs, train(sample, ORDER))
-        scores.write.parquet(path)
-    scores = docs.sparkSession.read.schema(scores.schema).parquet(path)
+    scores = spark.read.schema(scores.schema).parquet(path)
 
     # Quantiles from counts of perplexities in steps of a thousandth: small, exact, mergeable.
     held = trusted.where("not train").join(scores, "doc_id").select(
@@ -442,8 +539,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> Dat
             .where(F.col("below") >= quantile * F.col("holders")).groupBy(*by).agg((F.min("step") / 1000).alias("threshold"))
         )
 
-    each = settle(limit(steps, "lang"), "thresholds")
-    general = limit(every.withColumn("all", F.lit(1)), "all").first()
+    with settings(spark, SETTINGS):
+        each = settle(limit(steps, "lang"), "thresholds")
+        general = limit(every.withColumn("all", F.lit(1)), "all").first()
     found = langs.alias("d").join(scores.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left").select(
         "d.doc_id", "d.lang", "n_pairs", "log_perplexity")
     threshold = F.coalesce("threshold", F.lit(general["threshold"] if general else None).cast("double"))

@@ -53,6 +53,22 @@ def scope(spark: SparkSession) -> Iterator[None]:
         del _made[first:]
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings of the jobs that run inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write a frame out and read it back: stable input for several consumers.
 
