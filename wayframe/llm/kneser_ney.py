@@ -48,10 +48,10 @@ from wayframe.sources.scratch import scope, scratch_path, settings, settle
 ORDER = 3
 IDS = 1 << 20  # words that an unseen word may be, or as many as the training texts have
 FREQUENT = 1 << 18  # words with short ids, whose lowest-order probability every task has
-ROUNDS = 6  # parts of the runs that are dealt out one after another
+ROUNDS = 4  # parts of the runs that are dealt out one after another
 PART_RUNS = 250_000  # training runs of a partition, about
 PART_DOCUMENTS = 50_000  # documents for each partition at most
-HOT_RUNS = 62_500  # training runs after one word that stay together, about
+HOT_RUNS = 250_000  # training runs after one word that stay together, about
 PIECE_BYTES = 1 << 20  # text whose runs are sent together
 SETTINGS = {  # of all jobs but the last
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",  # shuffle files end with their job
@@ -219,9 +219,9 @@ def _sender(words: Broadcast, size: int, side: int, shard: int, shards: int, par
                 for low, high in zip(cuts, cuts[1:]):
                     others = []
                     if side == ASKED:  # a document's runs are side by side
-                        some, n = np.unique(doc[low:high], return_counts=True)
-                        holders.append(batch.column("doc_id").take(pa.array(some + texts.first)))
-                        others = [np.repeat(np.arange(len(some)), n)]
+                        new = np.diff(doc[low:high], prepend=-1) > 0
+                        holders.append(batch.column("doc_id").take(pa.array(doc[low:high][new] + texts.first)))
+                        others = [np.cumsum(new) - 1]
                     else:
                         holders.append(pa.nulls(0, pa.int64()))
                     rows.append((int(part[low]), side, high - low, int((ids[low:high] >= RARE).sum()), pack(ids[low:high], *others)))
@@ -380,7 +380,7 @@ def _dealt(df: DataFrame, parts: int) -> DataFrame:
 
 
 def _parts(spark: SparkSession, n_runs: int, n_documents: int = 0) -> int:
-    return max(2 * spark.sparkContext.defaultParallelism, -(-n_runs // PART_RUNS), -(-n_documents // PART_DOCUMENTS))
+    return max(3 * spark.sparkContext.defaultParallelism, -(-n_runs // PART_RUNS), -(-n_documents // PART_DOCUMENTS))
 
 
 def train(trusted: DataFrame, order: int = 2) -> tuple:
