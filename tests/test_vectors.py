@@ -285,6 +285,31 @@ def test_k_means_equals_a_plain_one(spark):
     assert rows(k_means(frame.coalesce(1), 4, seed=5, restarts=4)[0]) == rows(assigned)
 
 
+def test_k_means_goes_on_until_nothing_moves(spark):
+    from wayframe.operators import clusters
+    from wayframe.operators.draw import draw_key
+
+    points = np.round(np.random.default_rng(24).normal(size=(3000, 32)), 6)
+    frame = spark.createDataFrame(
+        [(f"t{i:04d}", p.tolist()) for i, p in enumerate(points)], f"{TOKEN} string, vector array<double>").coalesce(1)
+    whole = np.rint(points * 1e6).astype(np.int64)
+
+    def away(centers):
+        return np.stack([((whole - c) ** 2).sum(axis=1) for c in centers], axis=1)
+
+    centers = whole[[int(frame.orderBy(draw_key(TOKEN, 64), TOKEN).first()[TOKEN][1:])]]
+    while len(centers) < 3:
+        centers = np.concatenate([centers, whole[[away(centers).min(axis=1).argmax()]]])
+    rounds, before = 0, None
+    while before is None or (before != centers).any():
+        label, before, rounds = away(centers).argmin(axis=1), centers, rounds + 1
+        centers = np.stack([whole[label == j].sum(axis=0) // (label == j).sum() for j in range(3)])
+    assert rounds > 100
+    assigned, found = clusters.k_means(frame, 3, restarts=1)
+    assert (np.rint(found * 1e6) == centers).all()
+    assert [c for _, c in rows(assigned)] == label.tolist()
+
+
 def test_k_means_of_few_or_large_vectors(spark):
     from wayframe.operators.clusters import k_means, whole_points
 

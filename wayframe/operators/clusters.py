@@ -3,13 +3,15 @@
 Vectors are rounded to whole numbers, so that distances, sums and costs are exact and no
 order of addition shows. Each restart begins at another drawn vector and adds the vector
 farthest from those it has; then vectors go to their nearest centre and centres to the mean
-of their vectors, rounded down, until nothing moves. All restarts advance in the same job:
-a round reads the vectors once, and each task hands on one sum per restart and centre. What
-the driver holds is the centres, whose number the caller sets.
+of their vectors, rounded down, until nothing moves, however many rounds that takes. All
+restarts that still move advance in the same job: a round reads the vectors once, and each
+task hands on one sum per restart and centre. What the driver holds is the centres, whose
+number the caller sets, and a digest per restart and round.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,7 +71,8 @@ def _moves(centers: np.ndarray):
                 label = away.argmin(axis=1)
                 cost = away[np.arange(len(label)), label].astype(np.int64)
                 values = np.concatenate([whole, np.ones((len(label), 1), np.int64), (cost >> 20)[:, None], (cost & _LOW)[:, None]], axis=1)
-                np.add.at(total[restart], label, values)
+                for cluster in np.unique(label):
+                    total[restart, cluster] += values[label == cluster].sum(axis=0)
         at = np.arange(total.size)
         yield pa.RecordBatch.from_arrays(
             [pa.array((at // (k * (dims + 3))).astype(np.int32)), pa.array((at // (dims + 3) % k).astype(np.int32)),
@@ -87,6 +90,10 @@ def _labels(centers: np.ndarray):
     return assign
 
 
+def _digest(centers: np.ndarray) -> bytes:
+    return hashlib.sha256(centers.tobytes()).digest()
+
+
 def whole_points(vectors: DataFrame, token: str, vector: str) -> tuple[DataFrame, int]:
     """(token, point) in whole units of 1 / scale, and the scale: a power of ten, fine but exact."""
     measured = vectors.agg(
@@ -102,13 +109,14 @@ def whole_points(vectors: DataFrame, token: str, vector: str) -> tuple[DataFrame
 
 
 def k_means(
-    vectors: DataFrame, k: int, *, seed: int = 64, restarts: int = 10, rounds: int = 100,
+    vectors: DataFrame, k: int, *, seed: int = 64, restarts: int = 10,
     token: str = "sample_data_token", vector: str = "vector",
 ) -> tuple[DataFrame, np.ndarray]:
     """Assignments ``<token>, cluster`` and centres (k rows) of the restart with the least cost.
 
     Fewer distinct vectors than k leave clusters empty. Equal distances go to the lower
-    cluster, equal costs to the earlier restart.
+    cluster, equal costs to the earlier restart. A restart ends when its centres stay, or
+    come back to where they were before, which rounding down could cause.
     """
     points, scale = whole_points(vectors, token, vector)
     first = points.orderBy(draw_key("token", seed), "token").limit(restarts).collect()
@@ -120,17 +128,24 @@ def k_means(
         found = points.mapInArrow(_farthest(centers, names), "restart int, near long, token string, point array<bigint>")
         rows = found.groupBy("restart").agg(F.min(F.struct("near", "token", "point")).alias("b")).orderBy("restart").collect()
         centers = np.concatenate([centers, np.array([[r["b"]["point"]] for r in rows], np.float64)], axis=1)
-    for _ in range(rounds):
-        sums = points.mapInArrow(_moves(centers), "restart int, cluster int, dim int, value long").groupBy("restart", "cluster", "dim").agg(
+    costs, moving = [0] * len(centers), [*range(len(centers))]
+    been = [set() for _ in moving]
+    while moving:
+        own = centers[moving]
+        sums = points.mapInArrow(_moves(own), "restart int, cluster int, dim int, value long").groupBy("restart", "cluster", "dim").agg(
             F.sum("value").alias("value")).toArrow()
-        table = np.zeros((*centers.shape[:2], centers.shape[2] + 3), np.int64)
+        table = np.zeros((*own.shape[:2], own.shape[2] + 3), np.int64)
         table[tuple(np.asarray(sums[c]) for c in ("restart", "cluster", "dim"))] = np.asarray(sums["value"])
         size = table[:, :, -3:-2]
-        moved = np.where(size > 0, table[:, :, :-3] // np.maximum(size, 1), centers).astype(np.float64)
-        costs = [(int(t[:, -2].sum()) << 20) + int(t[:, -1].sum()) for t in table]
-        if (moved == centers).all():
-            break
-        centers = moved
+        moved = np.where(size > 0, table[:, :, :-3] // np.maximum(size, 1), own).astype(np.float64)
+        still = []
+        for restart, total, here, there in zip(moving, table, own, moved):
+            costs[restart] = (int(total[:, -2].sum()) << 20) + int(total[:, -1].sum())
+            been[restart].add(_digest(here))
+            if _digest(there) not in been[restart]:
+                centers[restart] = there
+                still.append(restart)
+        moving = still
     best = centers[int(np.argmin(costs))]
     assigned = points.mapInArrow(_labels(best), "token string, cluster int")
     return assigned.select(F.col("token").alias(token), "cluster"), best / scale
