@@ -5,7 +5,9 @@ import json
 import struct
 import subprocess
 import sys
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -365,6 +367,48 @@ def test_listing_takes_each_folder_alone(spark, tmp_path):
     assert tables.list_files(folders.limit(0), str(tmp_path)).count() == 0
 
 
+def test_listing_takes_tasks_for_cores_not_for_folders(spark, tmp_path, monkeypatch):
+    odd = ["a,b", "{c}", "[d]", "e*", "f?", "g^h", "i\\j", "k l", "m%6e", "o+p"]
+    names = [*odd, *(f"x/{i}" for i in range(70))]
+    for name in names:
+        (tmp_path / "in {1,2}" / name).mkdir(parents=True)
+        (tmp_path / "in {1,2}" / name / "f.jpg").write_bytes(b"")
+    (tmp_path / "in {1,2}" / "gh").mkdir()  # only named by a pattern
+    (tmp_path / "in {1,2}" / "gh" / "f.jpg").write_bytes(b"")
+    folders = spark.createDataFrame([(n,) for n in [*names, "../in {1,2}/x/1", "x//2", "none"]], "directory string")
+    tracker = spark.sparkContext.statusTracker()
+    before = {*tracker.getJobIdsForGroup(None)}
+    root = str(tmp_path / "in {1,2}")
+    assert rows(tables.list_files(folders, root)) == sorted((f"{n}/f.jpg",) for n in names)
+    time.sleep(1)
+    jobs = [tracker.getJobInfo(j) for j in {*tracker.getJobIdsForGroup(None)} - before]
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 2 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tables, "LISTED", 3)
+    assert rows(tables.list_files(folders, root, batch=4)) == sorted((f"{n}/f.jpg",) for n in names)
+
+
+def test_tasks_write_the_image_files_of_the_text_sink(spark, tmp_path, monkeypatch):
+    from wayframe.plans import images
+
+    spark.range(250).select(F.col("id").alias("s_suppkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+
+    def written():
+        units, root = images._written(spark, str(tmp_path))
+        place = Path(root.removeprefix("file:"))
+        files = {str(f.parent.relative_to(place)): f.read_bytes() for f in place.rglob("*") if f.is_file() and f.parent != place and f.suffix != ".crc"}
+        return files, units, images._decoded(spark, root)
+
+    by_tasks, units, decoded = written()
+    folders = units.filter("NOT absent").select(images._folder())
+    assert {(f,) for f in by_tasks} == {*rows(folders)} and len(by_tasks) == 214
+    with images.settings(spark, images.SMALL_FILES):
+        assert decoded.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1  # 7 with a file for 4 MB
+    assert decoded.filter("height IS NULL").count() == sum(b == b"not an image\n" for b in by_tasks.values()) == 24
+    monkeypatch.setattr(images, "_mounted", lambda spark, root: None)
+    assert written()[0] == by_tasks
+
+
 def test_json_files_grow_in_number_not_in_rows(spark, tmp_path):
     from wayframe.plans import files
 

@@ -6,7 +6,12 @@ nine files is junk, and one in seven is referenced but never written.
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayframe.functions import pixels
@@ -15,11 +20,13 @@ from wayframe.plans.proxies import table
 from wayframe.plans.registry import query, r6, rounded, view
 from wayframe.plans.vectors import _MILLIONTHS_SQL, _millionths
 from wayframe.sources import tables as io, vectors
-from wayframe.sources.scratch import scratch_path, settle
+from wayframe.sources.scratch import scratch_path, settings, settle
 
 TOKEN = "sample_data_token"
 SIDE = 8
-TASK_FILES = 200  # image files that a task writes, about
+TASK_FILES = 200  # image files that a task writes, about, and that a part has at most
+# Image files are small: each counts for 64 KB, not 4 MB, when they are dealt to tasks.
+SMALL_FILES = {"spark.sql.files.openCostInBytes": str(1 << 16)}
 
 # Both engines run this; colours stay below 128.
 _UNITS = """
@@ -39,8 +46,12 @@ def _units(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(_UNITS.replace("{supplier}", "supplier_of_units"))
 
 
+def _part() -> Column:
+    return F.expr(f"k div {TASK_FILES}")
+
+
 def _folder() -> Column:
-    return F.concat(F.lit("channel="), F.col("channel"), F.lit("/unit="), F.col("token"))
+    return F.concat(F.lit("part="), _part().cast("string"), F.lit("/channel="), F.col("channel"), F.lit("/unit="), F.col("token"))
 
 
 def _bitmap() -> Column:
@@ -63,15 +74,42 @@ def _bitmap() -> Column:
     return F.concat(*head, F.array_join(lines, ""))
 
 
+def _mounted(spark: SparkSession, root: str) -> str | None:
+    """A path that tasks open by themselves, where ``root`` is a folder of the machines' own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    place = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri()
+    return place.getPath() if place.getScheme() == "file" else None
+
+
+def _writer(root: str):
+    """The files that Spark's text sink writes: through Hadoop each would cost four processes that set permissions."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{root}/part={row['part']}/channel={row['channel']}/unit={row['unit']}"
+                os.makedirs(folder, exist_ok=True)
+                draft = f"{folder}/.{uuid.uuid4().hex}"  # hidden from Spark until it is whole
+                with open(draft, "wb") as file:
+                    file.write(row["value"].encode() + b"\n")
+                os.replace(draft, f"{folder}/image")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return write
+
+
 def _written(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
     """The units, and where the image files of those that have one are."""
     root, units = scratch_path(spark, "images"), _units(spark, d)
     files = units.filter("NOT absent").select(
-        "channel", F.col("token").alias("unit"), F.when(F.col("broken"), F.lit("not an image")).otherwise(_bitmap()).alias("value"))
-    # A file per unit, written by as many tasks as there are units, and moved into place by
-    # them, not by the driver one by one.
-    files = files.repartition(max(8, -(-units.count() // TASK_FILES)), "unit")
-    files.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("channel", "unit").text(root)
+        _part().alias("part"), "channel", F.col("token").alias("unit"), F.when(F.col("broken"), F.lit("not an image")).otherwise(_bitmap()).alias("value"))
+    # A task has whole parts, so that a commit renames a part, not each unit's folder.
+    files = files.repartitionByRange(max(8, -(-units.count() // TASK_FILES)), "part")
+    mounted = _mounted(spark, root)
+    if mounted is None:
+        files.write.option("mapreduce.fileoutputcommitter.algorithm.version", "1").partitionBy("part", "channel", "unit").text(root)
+    else:
+        files.mapInArrow(_writer(mounted), "n long").write.format("noop").mode("overwrite").save()
     return units, root
 
 
@@ -87,8 +125,9 @@ def _decoded(spark: SparkSession, root: str) -> DataFrame:
 def image_brightness(spark: SparkSession, d: str) -> DataFrame:
     """Bitmaps written from a table, some of them junk, decoded and measured."""
     _, root = _written(spark, d)
-    read = settle(_decoded(spark, root).select(
-        TOKEN, "height", "width", pixels.brightness("height", "width", "n_channels", "data").alias("brightness")), "brightness")
+    bright = pixels.brightness("height", "width", "n_channels", "data").alias("brightness")
+    with settings(spark, SMALL_FILES):
+        read = settle(_decoded(spark, root).select(TOKEN, "height", "width", bright), "brightness")
     unreadable = read.filter("height IS NULL").count()
     return rounded(read, "brightness").withColumn("n_unreadable", F.lit(unreadable).cast("long"))
 
@@ -129,7 +168,8 @@ def image_embedding_job(spark: SparkSession, d: str) -> DataFrame:
     """Images that are present, embedded with thumbnails into a store; a second run adds nothing."""
     units, root = _written(spark, d)
     # Both runs read tokens and pixels: files are opened and decoded once.
-    frames = settle(_decoded(spark, root).withColumn("scene_name", F.lit("scene-0")), "decoded")
+    with settings(spark, SMALL_FILES):
+        frames = settle(_decoded(spark, root).withColumn("scene_name", F.lit("scene-0")), "decoded")
     store, embedder = scratch_path(spark, "image-store"), embedding.FunctionEmbedder(_mean_colour, 3, "colour")
     options = dict(manifest=_manifest(units, root), thumbnail_side=SIDE)
     first = embedding.run_embedding(frames, embedder, "data", store, **options)

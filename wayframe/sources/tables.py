@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 from collections.abc import Mapping
+from contextlib import AbstractContextManager
 from itertools import islice
 from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wayframe import schemas
-from wayframe.sources.scratch import scratch_path, settle
+from wayframe.sources.scratch import scratch_path, settings, settle
 
-# Capture-log names of the drift features.
 LISTERS = 8  # blocks of directories that are listed at a time
+LISTED = 50_000  # names that the driver gathers before it writes them
+# Capture-log names of the drift features.
 CAPTURE_RENAMES = {"image_width": "width", "image_height": "height", "n_detections": "n_boxes"}
 
 
@@ -49,12 +55,32 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _listing_tasks(spark: SparkSession) -> AbstractContextManager[None]:
+    """Directories are listed by some tasks for each core; Spark's own number is a task for each directory, up to 10,000."""
+    tasks, found = max(LISTERS, 2 * spark.sparkContext.defaultParallelism), "spark.sql.sources.parallelPartitionDiscovery"
+    return settings(spark, {f"{found}.parallelism": str(tasks), f"{found}.threshold": str(LISTERS)})
+
+
+def _pattern(base: str, directories: list[str]) -> str:
+    """A Hadoop pattern of directories below ``base``.
+
+    Each choice has a slash, so that it is looked up by its name and no directory is searched
+    for it. Expanding the choices takes one level of escapes.
+    """
+
+    def literal(path: str) -> str:
+        return re.sub(r"([\\{}\[\]*?,^])", r"\\\1", path)
+
+    choices = (re.sub(r"([\\{},])", r"\\\1", literal(d)) + "/" for d in directories)
+    return f"{literal(base)}/{{{','.join(choices)}}}"
+
+
 def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFrame:
     """Files of each relative ``directory`` under ``root``, on any file system, as ``filename``.
 
     Directories are listed in blocks of ``batch`` by Spark's own parallel listing, which
-    looks at names alone (empty files included). LISTERS blocks are under way at a time and
-    their files go to a table together, so that the driver holds their names. A directory's files are its own, not those of
+    looks at names alone (empty files included). LISTERS blocks are under way at a time, and
+    names go to a table whenever the driver holds LISTED of them. A directory's files are its own, not those of
     directories below it (which are walked all the same); one that does not exist has none. Names that begin with a dot or an
     underscore are hidden from Spark and are not listed.
     """
@@ -62,31 +88,40 @@ def list_files(directories: DataFrame, root: str, batch: int = 1000) -> DataFram
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     base = system.makeQualified(where).toString().rstrip("/")
-    skip = len(system.makeQualified(where).toUri().getPath().rstrip("/")) + 2
+    skip = len(system.makeQualified(where).toUri().getPath().rstrip("/")) + 1
     out = scratch_path(spark, "listing")
     spark.createDataFrame([], "filename string").write.parquet(out)
 
-    def there(directory: str) -> bool:
-        return system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{directory}"))
-
-    names = (r["directory"] for r in directories.select("directory").distinct().toLocalIterator())
+    def files_in(block: list[str]) -> set[str]:
+        try:  # all directories are looked up by one call
+            below = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(_pattern(base, block))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # none of them exists
+                raise
+            return set()
+        # In one text instead of one call for each name; names are encoded as in a URI.
+        names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", below._jdf.inputFiles())
+        files = {unquote(re.sub("^[^/]*(//[^/]*)?", "", n))[skip:] for n in names.split("\n")}
+        wanted = {*block}
+        return {f for f in files if posixpath.dirname(f) in wanted}
 
-    def files_below(block: list[str]) -> list[str]:
-        return list(spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{base}/{d}" for d in block]).inputFiles())
+    def write(files: list[str]) -> None:
+        listed = pa.table({"filename": pa.array(files, pa.string())})
+        spark.createDataFrame(listed).write.mode("append").parquet(out)
 
-    with ThreadPool(16) as pool, ThreadPool(LISTERS) as listers:
+    names = (r["directory"] for r in directories.select("directory").distinct().toLocalIterator())
+    # Another spelling of a directory is not the name of any file's directory.
+    names = (d for d in names if d is not None and posixpath.normpath(f"/{d}") == f"/{d}")
+    files: list[str] = []
+    with _listing_tasks(spark), ThreadPool(LISTERS) as listers:
         while wave := list(islice(names, batch * LISTERS)):
-            wave = [d for d, found in zip(wave, pool.map(there, wave)) if found]
-            if not wave:
-                continue
-            # A folder may lie below one of another block: its files are found twice.
-            found = set().union(*listers.map(files_below, [wave[i:i + batch] for i in range(0, len(wave), batch)]))
-            listed = spark.createDataFrame(pa.table({"value": pa.array(sorted(found), pa.string())}))
-            # Names are encoded as in a URI, but for the plus sign.
-            path = F.url_decode(F.replace(F.regexp_replace("value", "^[^/]*(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
-            files = listed.select(F.substring(path, skip, 1 << 30).alias("filename"))
-            parent = F.regexp_replace("filename", "/?[^/]*$", "")
-            files.filter(parent.isin(wave)).write.mode("append").parquet(out)
+            for found in listers.imap(files_in, [wave[i:i + batch] for i in range(0, len(wave), batch)]):
+                files.extend(found)
+            if len(files) >= LISTED:
+                write(files)
+                files = []
+    if files:
+        write(files)
     return spark.read.schema("filename string").parquet(out)
 
 
@@ -124,13 +159,11 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     image = F.col("image")
     readable = image["width"] > 0
     columns = {"height": "height", "width": "width", "nChannels": "n_channels", "data": "data"}
-    return (
-        spark.read.format("image").option("dropInvalid", False)
-        .option("recursiveFileLookup", True).load(path)
-        .select(
-            image["origin"].alias("path"),
-            *[F.when(readable, image[k]).alias(v) for k, v in columns.items()],
-        )
+    with _listing_tasks(spark):
+        images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path)
+    return images.select(
+        image["origin"].alias("path"),
+        *[F.when(readable, image[k]).alias(v) for k, v in columns.items()],
     )
 
 
@@ -148,8 +181,6 @@ def write_slice_lists(images: DataFrame, path: str) -> None:
 
 def register_views(spark: SparkSession, tables: Mapping[str, str]) -> list[str]:
     """Register a SQL view per (name, Parquet path) that can be read; return the names."""
-    from pyspark.errors import AnalysisException
-
     made = []
     for name, path in tables.items():
         try:
